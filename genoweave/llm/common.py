@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +32,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives Python workers this package, where they wouldn't find it by their path or working folder."""
+    package = Path(__file__).parent.parent
+    root, sc = package.parent, spark.sparkContext
+    found = {os.path.realpath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p}
+    if str(root.resolve()) in found or getattr(sc, "_genoweave_shipped", False):
+        return
+    archive = f"{tempfile.mkdtemp()}/genoweave.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(archive)
+    sc._genoweave_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir, read in Arrow batches of a bounded number of rows."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -86,6 +86,22 @@ def ratios(raw: bytes, compress, bands: Bands) -> tuple[float, float]:
     return whole, bad / len(raw)
 
 
+def judged(raw: bytes, compress, bands: Bands) -> tuple:
+    """What compression_rules returns of a text, in the order of NAMES."""
+    counts = base_counts(raw)
+    failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+    whole, bad = ratios(raw, compress, bands)
+    low, high = bands.of(len(raw))
+    good = len(raw) < bands.least_bytes or (low <= whole <= high and bad <= bands.chunk_share)
+    return (*counts, failed, whole, bad, not failed and good)
+
+
+def compressor(bands: Bands):
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress
+
+
 def compression_rules(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, bad_share, kept.
 
@@ -96,18 +112,9 @@ def compression_rules(docs: DataFrame, bands: Bands = Bands(), id_col: str = "do
     """
 
     def run(batches):
-        import zstandard
-
-        compress = zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress
+        compress = compressor(bands)
         for b in batches:
-            rows = []
-            for raw in b.column(1).to_pylist():
-                counts = base_counts(raw)
-                failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
-                whole, bad = ratios(raw, compress, bands)
-                low, high = bands.of(len(raw))
-                good = len(raw) < bands.least_bytes or (low <= whole <= high and bad <= bands.chunk_share)
-                rows.append((*counts, failed, whole, bad, not failed and good))
+            rows = [judged(raw, compress, bands) for raw in b.column(1).to_pylist()]
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["id", *NAMES])
@@ -117,4 +124,17 @@ def compression_rules(docs: DataFrame, bands: Bands = Bands(), id_col: str = "do
     return docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("t")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
+def keep_good(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text") -> DataFrame:
+    """The rows of docs that compression_rules keeps, with all their columns, row by row."""
+
+    @F.pandas_udf("boolean")
+    def good(texts):
+        import pandas as pd
+
+        compress = compressor(bands)
+        return pd.Series([judged((t or "").encode(), compress, bands)[-1] for t in texts], dtype=bool)
+
+    return docs.where(good(text_col))
+
+
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "bad_share", "kept"]

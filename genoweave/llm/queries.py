@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compression, packing, sharding, simhash
+from . import bpe, chunks, compression, licenses, packing, sharding, simhash, spotsigs, toxicity, warc
 from .common import table
 
 SHARDS = 24
@@ -39,6 +39,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chunks.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "n_chunks", "removed_bytes", "removed_spans")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), SEQUENCE_TOKENS, ids_digest=True)
@@ -49,12 +54,31 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+    prints = [spotsigs.fingerprint(c).alias(n) for c, n in (("signatures", "fingerprint"), ("edited_signatures", "edited_fingerprint"))]
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
 def op10_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_bpe, op4_packing, op5_simhash, op10_compression)}
+    own = (op1_sharding, op2_bpe, op3_substrings, op4_packing, op5_simhash, op6_licenses, op7_toxicity, op8_spotsigs, op9_warc, op10_compression)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
