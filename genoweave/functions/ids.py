@@ -13,8 +13,8 @@ from .rules import ACCESSIONS, EMBEDDED_RULES, GI, ID_RULES, PLANT_PREFIXES, Rul
 
 def primary_token(header: Column) -> Column:
     """The first word of a FASTA header, up to its first pipe."""
-    bare = F.regexp_replace(header, r"^>+", "")
-    return F.split_part(F.split(F.trim(bare), r"\s+")[0], F.lit("|"), F.lit(1))
+    bare = F.regexp_replace(header, r"^>*\s*", "")
+    return F.split_part(F.split(bare, r"\s+")[0], F.lit("|"), F.lit(1))
 
 
 def normalise_id(header: Column) -> Column:

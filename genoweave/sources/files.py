@@ -37,7 +37,7 @@ def fasta(spark: SparkSession, path: str | Sequence[str], row_ord: bool = True)
     A record is one row: the files are split at `>` after a line break. Text before the first `>` is no record.
     """
     raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value"), F.col("value").startswith(">").alias("marked"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
-    raw = raw.withColumn("row_ord", F.monotonically_increasing_id()).where("trim(value) <> ''")
+    raw = raw.withColumn("row_ord", F.monotonically_increasing_id()).where(F.col("value").rlike(r"\S"))
     return raw.select(*_record(F.col("value"), F.col("path")), "row_ord") if row_ord else raw.select(*_record(F.col("value"), F.col("path")))
 
 
@@ -84,7 +84,7 @@ def fasta_archives(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """fasta's columns, without the order, of the FASTA members of archives."""
     texts = archive_members(spark, path).where("error is null")
     records = texts.select(F.concat_ws("/", "file", "member").alias("file"), F.explode(F.split(F.regexp_replace("text", r"^[^>]*>", ""), r"\n>")).alias("value"))
-    return records.where("trim(value) <> ''").select(*_record(F.col("value"), F.col("file")))
+    return records.where(F.col("value").rlike(r"\S")).select(*_record(F.col("value"), F.col("file")))
 
 
 def tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, optional: bool = True, header: bool = True, nulls: Sequence[str] = CSV_NULLS) -> DataFrame:
@@ -195,7 +195,8 @@ def whole_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def sentinels(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(key, ok, text) of status files `<key>.status` that say `ok` or what failed."""
-    return whole_texts(spark, path).select(F.regexp_replace("file", r"\.[^.]*$", "").alias("key"), (F.trim("text") == "ok").alias("ok"), F.trim("text").alias("text"))
+    bare = F.regexp_replace("text", r"^\s+|\s+$", "")
+    return whole_texts(spark, path).select(F.regexp_replace("file", r"\.[^.]*$", "").alias("key"), (bare == "ok").alias("ok"), bare.alias("text"))
 
 
 ENTREZGENE = "`Entrezgene_track-info` struct<`Gene-track`:struct<`Gene-track_geneid`:string>>, Entrezgene_gene struct<`Gene-ref`:struct<`Gene-ref_locus`:string>>, Entrezgene_source struct<BioSource:struct<BioSource_org:struct<`Org-ref`:struct<`Org-ref_taxname`:string>>>>, Entrezgene_locus struct<`Gene-commentary`:array<struct<`Gene-commentary_accession`:string,`Gene-commentary_version`:string,`Gene-commentary_label`:string>>>"
@@ -218,7 +219,7 @@ def genbank(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     gene_id and symbol are the first of the gene, mRNA and CDS features; genomic and assembly come from the links and comments.
     """
-    raw = spark.read.option("lineSep", "\n//").text(path).where("trim(value) <> ''")
+    raw = spark.read.option("lineSep", "\n//").text(path).where(F.col("value").rlike(r"\S"))
     v = F.col("value")
     head = F.substring_index(v, "\nFEATURES ", 1)
     features = F.concat_ws("\n", F.regexp_extract_all(v, F.lit(r"(?s)(\n {5}(?:gene|mRNA|CDS) .*?)(?=\n {5}\S|\nORIGIN|\nCONTIG|\z)"), 1))
@@ -242,7 +243,7 @@ def genbank(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def feature_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(transcript_id, gene_id) of feature-table texts: each record's first link to a gene."""
-    raw = spark.read.option("lineSep", ">Feature ").text(path).where("trim(value) <> ''")
+    raw = spark.read.option("lineSep", ">Feature ").text(path).where(F.col("value").rlike(r"\S"))
     name = F.regexp_extract("value", r"^(?:ref\|)?([^|\s]+)", 1)
     return raw.select(name.alias("transcript_id"), F.nullif(F.regexp_extract("value", r"db_xref\s+GeneID:(\d+)", 1), F.lit("")).alias("gene_id"))
 
