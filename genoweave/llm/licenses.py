@@ -188,8 +188,8 @@ def inline(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, para (from 0) and words of each non-empty line of each text."""
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("para", "line"))
+    """id (a struct, so that null ids are equal), para (from 0) and words of each line of two words or more of each text."""
+    lines = docs.select(F.struct(F.col(id_col).alias("v")).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("para", "line"))
     return lines.select("id", "para", F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "").alias("words")).where(F.size("words") > 1)
 
 
@@ -247,10 +247,9 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     found = best.groupBy("id").agg(
         F.max_by(F.struct(F.when(confirmed, F.col("family")).otherwise(UNKNOWN).alias("family"), "probability", "shared"), rank).alias("x"), F.count_if(confirmed).alias("n_paragraphs")
     )
-    ids = docs.select(F.col(id_col).alias("id")).distinct()
-    joined = ids.join(found.withColumnRenamed("id", "found_id"), F.col("id").eqNullSafe(F.col("found_id")), "left")
+    joined = docs.select(F.struct(F.col(id_col).alias("v")).alias("id")).distinct().join(found, "id", "left")
     return joined.select(
-        F.col("id").alias(id_col),
+        F.col("id.v").alias(id_col),
         F.coalesce("x.family", F.lit(NONE)).alias("family"),
         F.coalesce("x.probability", F.lit(0.0)).alias("probability"),
         F.coalesce("x.shared", F.lit(0.0)).alias("shared"),

@@ -159,6 +159,21 @@ def label_model(votes, given, rate: float, rounds: int):
     return p, np.stack([hit, alarm], axis=1), strength
 
 
+def covering(x, p, always: int, least: int = 3) -> list[int]:
+    """Columns of x for the classifier: of those in order after the first `always`, the ones that add so many likely toxic rows
+    to those that the ones before them hit. What says the same as another would only share its weight."""
+    import numpy as np
+
+    toxic = p > 0.5
+    hit, out = np.zeros(len(x), dtype=bool), []
+    for k in range(x.shape[1]):
+        new = (x[:, k] > 0) & toxic & ~hit
+        if k < always and x[:, k].any() or new.sum() >= least:
+            out.append(k)
+            hit |= x[:, k] > 0
+    return out
+
+
 def linear_fit(x, p, ridge: float = 0.02, steps: int = 40):
     """Weights and bias of a logistic regression of the soft labels p on x, by Newton's method."""
     import numpy as np
@@ -205,9 +220,10 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_col: s
     for k, r in enumerate(rows):
         x[k, r.signs] = 1
     p, rates, strength = label_model(x[:, : len(voters)], np.array([r.y for r in rows]), rate, limits.rounds)
+    used = covering(x, p, len(seeds))
+    weights, bias = linear_fit(x[:, used], p)
+    out = {names[k]: float(w) for k, w in zip(used, weights) if abs(w) > 1e-3}
     seen = x.sum(axis=0) > 0
-    weights, bias = linear_fit(x[:, seen], p)
-    out = {s: float(w) for s, w in zip(np.array(names)[seen], weights) if abs(w) > 1e-3}
     # a seed that the sample never shows is enough by itself
     shown = [out[s] for s in seeds if out.get(s, 0) > 0]
     out |= dict.fromkeys([s for k, s in enumerate(seeds) if not seen[k]], max(float(np.median(shown)) if shown else 0.0, 1.0 - bias))
