@@ -67,6 +67,16 @@ def batches(df: DataFrame, order: Sequence[str], size: int, buckets: int = 64) -
     return dealt.withColumn("g_place", place).join(F.broadcast(before), "g_part").withColumn("batch", F.floor((F.col("g_place") + F.col("g_before")) / size)).drop("g_part", "g_place", "g_before")
 
 
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows by order; each task keeps n at most."""
+    return df.orderBy(*order).limit(n)
+
+
+def sampled(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """n rows drawn by a hash of their key: the same ones in any run."""
+    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+
+
 def batch_count(n: Column, size: int) -> Column:
     return F.ceil(n / size)
 
