@@ -58,8 +58,3 @@ def exon_concat(exons: Column, strand: Column) -> Column:
     """The sequences of array<struct<start, seq>> in order of start, joined, and turned on `-`."""
     joined = F.array_join(F.transform(F.array_sort(exons), lambda e: e.seq), "")
     return stranded(joined, strand)
-
-
-def bed_name_line(width: int, seq: Column) -> Column:
-    """The sequence in lines of `width` letters."""
-    return F.regexp_replace(F.regexp_replace(seq, f"(.{{{width}}})", "$1\n"), "\n$", "")

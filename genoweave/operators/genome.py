@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import flanked, ordered, stranded
 from ..functions.text import toggle_chr
-from .joins import first_match_join
 from .rows import route
 
 CHUNK = 1 << 16
@@ -143,6 +142,3 @@ def spans(df: DataFrame, row_id: str, chunks: DataFrame, size: int = CHUNK) -> D
     keyed = df.withColumn("g_key", F.concat_ws("\u0001", F.col(row_id).cast("string"), F.col("exon_no").cast("string")))
     cut = slices(keyed, chunks, "g_key", size)
     return cut.groupBy(row_id).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ext_start", "seq"))), lambda x: x.seq), "").alias("seq"))
-
-
-__all__ = ["CHUNK", "annotations_by_gene", "bed", "chrom_aliases", "chunked", "extract", "fasta_text", "first_match_join", "genome_index", "resolve_chroms", "slices", "spans"]
