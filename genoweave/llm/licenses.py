@@ -6,15 +6,12 @@ The scan is DataFrame functions throughout. Only the fit, on the templates and a
 from __future__ import annotations
 
 import json
-import math
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
-
 #: Sentences by which each family of licences is known; fixed values, a few per family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (

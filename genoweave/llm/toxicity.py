@@ -68,8 +68,8 @@ class Limits:
     """Bounds of fitting. Counts, votes and scores cover every row; only the fit is on a sample of labelled rows."""
 
     sample_rows: int = 10_000
-    voters: int = 256
-    features: int = 512
+    candidates: int = 50_000  # signs of toxic texts, the most frequent
+    voters: int = 400
     chance: float = 0.05  # that any sign at all is taken for a voter by luck
     rounds: int = 40
 
@@ -97,34 +97,42 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, limits: Limits, id_col:
     return docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), id_col).select("text", "y")  # about sample_rows rows
 
 
-def mine_signs(sample: DataFrame, limits: Limits) -> tuple[list[str], list[str], float]:
-    """(signs of toxic texts that luck doesn't explain, further signs that tell the classes apart, share of toxic texts)."""
-    total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not toxic or toxic == total:
-        return [], [], 0.0
-    rate = toxic / total
+def count_signs(sample: DataFrame, candidates: Container[str] | None = None) -> DataFrame:
+    """(sign, n): in how many texts of the sample each sign is, or each of the candidates."""
 
     def run(batches):
+        of_word = word_signs if candidates is None else known_signs(candidates)
         for b in batches:
-            rows = [sorted(text_signs(t)) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string())), b.column(1)], ["signs", "y"])
+            found = Counter()
+            for t in b.column(0).to_pylist():
+                found.update(text_signs(t, of_word))
+            kept = [(s, n) for s, n in found.items() if candidates is None or s in candidates]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["sign", "n"])
+
+    return sample.select("text").mapInArrow(run, "sign string, n long").groupBy("sign").agg(F.sum("n").alias("n"))
+
 
-    signs = sample.mapInArrow(run, "signs array<string>, y int")
-    seen = signs.select("y", F.explode("signs").alias("sign")).groupBy("sign").agg(F.count("*").alias("n"), F.sum("y").alias("t")).where("n >= 3")
-    q = F.col("t") / F.col("n")
+def mine_signs(sample: DataFrame, limits: Limits) -> tuple[list[str], float]:
+    """(signs of toxic texts that luck doesn't explain, the most telling first; share of toxic texts).
+
+    Signs are first counted in the toxic texts, and those found in three or more then in the others.
+    """
+    total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not toxic or toxic == total:
+        return [], 0.0
+    rate = toxic / total
+    often = {r.sign: r.n for r in count_signs(sample.where("y = 1")).where("n >= 3").orderBy(F.desc("n"), "sign").limit(limits.candidates).collect()}
+    others = {r.sign: r.n for r in count_signs(sample.where("y = 0"), frozenset(often)).collect()}
 
-    def part(a: Column, b: float) -> Column:
-        return F.when(a > 0, a * F.log(a / F.lit(b))).otherwise(0.0)
+    def gain(t: int, c: int) -> float:
+        """Nats by which a sign's own rate explains its counts better than the common rate."""
+        q = t / (t + c)
+        return t * math.log(q / rate) + (c * math.log((1 - q) / (1 - rate)) if c else 0.0)
 
-    # nats by which the sign's own rate explains its counts better than the common rate
-    gain = F.col("n") * (part(q, rate) + part(1 - q, 1 - rate))
-    ranked = seen.withColumn("gain", gain).withColumn("high", q > 0.5)
-    tried = ranked.count()
-    least = math.log(max(tried, 1) / limits.chance)
-    good = ranked.where(F.col("gain") >= least)
-    voters = [r.sign for r in good.where("high").orderBy(F.desc("gain"), "sign").limit(limits.voters).collect()]
-    more = [r.sign for r in good.orderBy(F.desc("gain"), "sign").limit(limits.features).collect()]
-    return voters, more, rate
+    least = math.log(max(len(often), 1) / limits.chance)
+    gains = [(gain(t, others.get(s, 0)), s) for s, t in often.items() if t > others.get(s, 0)]
+    good = sorted((-g, -len(s), s) for g, s in gains if g >= least)
+    return [s for *_, s in good[: limits.voters]], rate
 
 
 def label_model(votes, given, rate: float, rounds: int):
@@ -196,17 +204,16 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_col: s
 
     Voters are the seed lexicon's words, the pattern for disguised spellings, and words and beginnings of words mined from the
     sample. Without labelled rows of both classes the seed lexicon alone decides. The driver holds at most about
-    limits.sample_rows rows of at most limits.features numbers.
+    limits.sample_rows rows of a number for each voter.
     """
     import numpy as np
 
     sample = cut(sample_labelled(docs, labels, limits, id_col, text_col, label_col))
-    mined, more, rate = mine_signs(sample, limits)
+    mined, rate = mine_signs(sample, limits)
     seeds = [f"={w}" for w in LEXICON] + ["#disguised"]
     if not rate:
         return Model(-3.0, dict.fromkeys(seeds, 6.0), seeds)
-    voters = list(dict.fromkeys([*seeds, *mined]))
-    names = list(dict.fromkeys([*voters, *more]))
+    names = list(dict.fromkeys([*seeds, *mined]))
     at = {s: k for k, s in enumerate(names)}
 
     def run(batches):
@@ -219,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_col: s
     x = np.zeros((len(rows), len(names)))
     for k, r in enumerate(rows):
         x[k, r.signs] = 1
-    p, rates, strength = label_model(x[:, : len(voters)], np.array([r.y for r in rows]), rate, limits.rounds)
+    p, rates, strength = label_model(x, np.array([r.y for r in rows]), rate, limits.rounds)
     used = covering(x, p, len(seeds))
     weights, bias = linear_fit(x[:, used], p)
     out = {names[k]: float(w) for k, w in zip(used, weights) if abs(w) > 1e-3}
@@ -227,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_col: s
     # a seed that the sample never shows is enough by itself
     shown = [out[s] for s in seeds if out.get(s, 0) > 0]
     out |= dict.fromkeys([s for k, s in enumerate(seeds) if not seen[k]], max(float(np.median(shown)) if shown else 0.0, 1.0 - bias))
-    return Model(bias, out, voters, {v: tuple(map(float, r)) for v, r in zip(voters, rates)}, dict(zip(voters, map(float, strength))))
+    return Model(bias, out, names, {v: tuple(map(float, r)) for v, r in zip(names, rates)}, dict(zip(names, map(float, strength))))
 
 
 def scorer(model: Model) -> Callable[[str], float]:
