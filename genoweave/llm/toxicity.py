@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Container, Iterable
+from collections.abc import Callable, Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ def known_signs(weights: Container[str]) -> Callable[[str], tuple[str, ...]]:
     def of_word(word: str) -> tuple[str, ...]:
         found = known.get(word)
         if found is None:
-            if len(known) > 400_000:
+            if len(known) > 100_000:
                 known.clear()
             found = known[word] = tuple(s for s in word_signs(word) if s in weights or any(s + mark in weights for mark in OFTEN.values()))
         return found
@@ -69,9 +70,9 @@ class Limits:
 
     sample_rows: int = 10_000
     candidates: int = 50_000  # signs of toxic texts, the most frequent
-    voters: int = 400
+    voters: int = 256
     chance: float = 0.05  # that any sign at all is taken for a voter by luck
-    rounds: int = 40
+    rounds: int = 20
 
 
 @dataclass
@@ -102,12 +103,19 @@ def count_signs(sample: DataFrame, candidates: Container[str] | None = None) ->
 
     def run(batches):
         of_word = word_signs if candidates is None else known_signs(candidates)
+        found = Counter()
+
+        def counted():
+            kept = [(s, n) for s, n in found.items() if candidates is None or s in candidates]
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array([s for s, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["sign", "n"])
+
         for b in batches:
-            found = Counter()
             for t in b.column(0).to_pylist():
                 found.update(text_signs(t, of_word))
-            kept = [(s, n) for s, n in found.items() if candidates is None or s in candidates]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["sign", "n"])
+                if len(found) > 50_000:  # a text has thousands of signs
+                    yield counted()
+        yield counted()
 
     return sample.select("text").mapInArrow(run, "sign string, n long").groupBy("sign").agg(F.sum("n").alias("n"))
 
@@ -148,18 +156,19 @@ def label_model(votes, given, rate: float, rounds: int):
     p = np.where(given == 1, 0.95, 0.05) if n else np.zeros(0)
     strength, trust = np.ones(m), np.array([0.95, 0.05])
     hit, alarm = np.full(m, 0.3), np.full(m, 0.01)
-    for _ in range(rounds):
+    for turn in range(rounds):
         hit = (p @ votes + 0.3) / (p.sum() + 1)
         alarm = ((1 - p) @ votes + 0.002 * rate) / ((1 - p).sum() + 1)
         hit, alarm = np.clip(hit, 1e-4, 1 - 1e-4), np.clip(alarm, 1e-6, 1 - 1e-4)
         trust = np.clip([(p @ given + 9.5) / (p.sum() + 10), ((1 - p) @ given + 0.5) / ((1 - p).sum() + 10)], 1e-3, 1 - 1e-3)
-        rest = votes - np.outer(p, hit) - np.outer(1 - p, alarm)
-        cov = rest.T @ rest / max(n, 1)
-        sd = np.sqrt(np.diag(cov)) + 1e-9
-        corr = np.clip(cov / np.outer(sd, sd), 0, 1)
-        corr[corr < 0.1] = 0
-        np.fill_diagonal(corr, 0)
-        strength = 1 / (1 + corr.sum(axis=1))
+        if turn % 5 == 0:  # they hardly move from turn to turn
+            rest = votes - np.outer(p, hit) - np.outer(1 - p, alarm)
+            cov = rest.T @ rest / max(n, 1)
+            sd = np.sqrt(np.diag(cov)) + 1e-9
+            corr = np.clip(cov / np.outer(sd, sd), 0, 1)
+            corr[corr < 0.1] = 0
+            np.fill_diagonal(corr, 0)
+            strength = 1 / (1 + corr.sum(axis=1))
         prior = np.clip(p.mean(), 1e-3, 0.5) if n else rate
         logit = np.log(prior / (1 - prior)) + votes @ (strength * np.log(hit / alarm)) + (1 - votes) @ (strength * np.log((1 - hit) / (1 - alarm)))
         logit += np.where(given == 1, np.log(trust[0] / trust[1]), np.log((1 - trust[0]) / (1 - trust[1])))
@@ -270,10 +279,9 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     """The rows of docs that the model doesn't call toxic, with all their columns, row by row."""
 
     @F.pandas_udf("boolean")
-    def clean(texts):
-        import pandas as pd
-
-        logit = scorer(model)
-        return pd.Series([logit(t or "") < 0 for t in texts], dtype=bool)
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        logit = scorer(model)  # once for all batches: it remembers words
+        for texts in batches:
+            yield pd.Series([logit(t or "") < 0 for t in texts], dtype=bool)
 
     return docs.where(clean(text_col))
