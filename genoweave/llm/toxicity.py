@@ -72,7 +72,7 @@ class Limits:
     candidates: int = 50_000  # signs of toxic texts, the most frequent
     voters: int = 256
     chance: float = 0.05  # that any sign at all is taken for a voter by luck
-    rounds: int = 20
+    rounds: int = 40
 
 
 @dataclass
@@ -156,19 +156,22 @@ def label_model(votes, given, rate: float, rounds: int):
     p = np.where(given == 1, 0.95, 0.05) if n else np.zeros(0)
     strength, trust = np.ones(m), np.array([0.95, 0.05])
     hit, alarm = np.full(m, 0.3), np.full(m, 0.01)
-    for turn in range(rounds):
+    gram = votes.T @ votes
+    for _ in range(rounds):
         hit = (p @ votes + 0.3) / (p.sum() + 1)
         alarm = ((1 - p) @ votes + 0.002 * rate) / ((1 - p).sum() + 1)
         hit, alarm = np.clip(hit, 1e-4, 1 - 1e-4), np.clip(alarm, 1e-6, 1 - 1e-4)
         trust = np.clip([(p @ given + 9.5) / (p.sum() + 10), ((1 - p) @ given + 0.5) / ((1 - p).sum() + 10)], 1e-3, 1 - 1e-3)
-        if turn % 5 == 0:  # they hardly move from turn to turn
-            rest = votes - np.outer(p, hit) - np.outer(1 - p, alarm)
-            cov = rest.T @ rest / max(n, 1)
-            sd = np.sqrt(np.diag(cov)) + 1e-9
-            corr = np.clip(cov / np.outer(sd, sd), 0, 1)
-            corr[corr < 0.1] = 0
-            np.fill_diagonal(corr, 0)
-            strength = 1 / (1 + corr.sum(axis=1))
+        # the covariance of what the classes leave unexplained, from sums already there
+        cross = np.outer(p @ votes, hit) + np.outer((1 - p) @ votes, alarm)
+        own = (p @ p) * np.outer(hit, hit) + ((1 - p) @ (1 - p)) * np.outer(alarm, alarm)
+        mixed = (p @ (1 - p)) * np.outer(hit, alarm)
+        cov = (gram - cross - cross.T + own + mixed + mixed.T) / max(n, 1)
+        sd = np.sqrt(np.clip(np.diag(cov), 0, None)) + 1e-9
+        corr = np.clip(cov / np.outer(sd, sd), 0, 1)
+        corr[corr < 0.1] = 0
+        np.fill_diagonal(corr, 0)
+        strength = 1 / (1 + corr.sum(axis=1))
         prior = np.clip(p.mean(), 1e-3, 0.5) if n else rate
         logit = np.log(prior / (1 - prior)) + votes @ (strength * np.log(hit / alarm)) + (1 - votes) @ (strength * np.log((1 - hit) / (1 - alarm)))
         logit += np.where(given == 1, np.log(trust[0] / trust[1]), np.log((1 - trust[0]) / (1 - trust[1])))
