@@ -26,6 +26,8 @@ LEXICON = tuple(
 )
 LEET = str.maketrans("013457@$!", "oieastasi")
 WORD = re.compile(r"[^\W\d_]+")
+STRETCHED = re.compile(r"(.)\1{2,}")
+MARKS = ".,;:!?\"'()"
 PREFIXES = (4, 5, 6, 7, 8)
 #: A sign in so many different words of a text is a sign of its own, with as many marks.
 OFTEN = {2: "+", 4: "++"}
@@ -37,8 +39,8 @@ def word_signs(word: str) -> set[str]:
     for w in WORD.findall(word):
         out.add(f"={w}")
         out.update(w[:n] for n in PREFIXES if len(w) >= n)
-    plain = re.sub(r"(.)\1{2,}", r"\1", word.translate(LEET).replace("*", "").replace(".", ""))
-    if plain not in out and plain != word.strip(".,;:!?\"'()") and plain.strip(".,;:!?\"'()") in LEXICON:
+    plain = STRETCHED.sub(r"\1", word.translate(LEET).replace("*", "").replace(".", ""))
+    if plain not in out and plain != word.strip(MARKS) and plain.strip(MARKS) in LEXICON:
         out.add("#disguised")
     return out
 
@@ -49,8 +51,9 @@ def text_signs(text: str, of_word: Callable[[str], Iterable[str]] = word_signs)
     return {*seen, *(s + mark for s, n in seen.items() if n > 1 for least, mark in OFTEN.items() if n >= least)}
 
 
-def known_signs(weights: Container[str]) -> Callable[[str], tuple[str, ...]]:
-    """word_signs of a word as far as weights has them, marked or not; a table of words seen before saves most of the work."""
+def known_signs(weights: Iterable[str]) -> Callable[[str], tuple[str, ...]]:
+    """word_signs of a word as far as weights has them, marked or not. Plain words are cut up by hand; words seen before are remembered."""
+    wanted = {s.rstrip("+") for s in weights}
     known: dict[str, tuple[str, ...]] = {}
 
     def of_word(word: str) -> tuple[str, ...]:
@@ -58,7 +61,12 @@ def known_signs(weights: Container[str]) -> Callable[[str], tuple[str, ...]]:
         if found is None:
             if len(known) > 100_000:
                 known.clear()
-            found = known[word] = tuple(s for s in word_signs(word) if s in weights or any(s + mark in weights for mark in OFTEN.values()))
+            core = word.strip(MARKS)
+            if core.isalpha() and "!" not in word and not STRETCHED.search(core):
+                signs = (f"={core}", *[core[:n] for n in PREFIXES if len(core) >= n])
+            else:
+                signs = word_signs(word)
+            found = known[word] = tuple([s for s in signs if s in wanted])
         return found
 
     return of_word
