@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import math
 import os
+import re
+import sys
 from collections import Counter
 
 import pyarrow as pa
@@ -13,7 +15,17 @@ from pyspark.sql import functions as F
 
 from .common import cut, utf8, without
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+#: A word and the punctuation after it. The tokenizer always parts the two, so one word isn't encoded anew for each mark.
+TAILED = re.compile(rb"(.*[a-z0-9])([.,;:!?]+)", re.DOTALL)
+#: Words that the normalizer leaves as they are and that stay whole: the merges alone make their ids.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The character by which byte-level vocabularies write each byte: itself where it is visible, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: b if b in seen else 256 + k for k, b in enumerate(sorted(set(range(256)) - set(seen)))} | {b: b for b in seen}
 
 
 @functools.cache
@@ -21,25 +33,51 @@ def words_encoder(tokenizer_file: str):
     """A function from texts in UTF-8 to their ids as bytes, once in each Python worker.
 
     The tokenizer splits at white space before all else and its normalizer maps character by character, so the ids of a
-    text are those of its words one after another. Words are looked up, and new ones encoded together.
+    text are those of its words one after another. Words are looked up; new ones of letters go straight to the merges,
+    others through the whole tokenizer.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
+    from array import array
+
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
     tokenizer.encode_special_tokens = True
+    merges, letters = tokenizer.model.tokenize, byte_letters()
     known: dict[bytes, bytes] = {}
 
+    def packed(ids: list[int]) -> bytes:
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def learn(words: set[bytes]) -> None:
+        rest = []
+        for w in words:
+            text = w.decode().lower()
+            if LETTERS.fullmatch(text):
+                known[w] = packed([t.id for t in merges(text.encode().decode("latin-1").translate(letters))])
+            else:
+                rest.append(w)
+        for start in range(0, len(rest), 5000):
+            part = rest[start : start + 5000]
+            ids = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            known.update((w, packed(x.ids)) for w, x in zip(part, ids))
+
     def encode(texts: list[bytes]) -> list[bytes]:
         split = [t.lower().split() for t in texts]
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for start in range(0, len(new), 5000):
-            part = new[start : start + 5000]
-            ids = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, np.array(x.ids, dtype="<u4").tobytes()) for w, x in zip(part, ids))
+        new, tailed = set(), []
+        for w in {w for words in split for w in words if w not in known}:
+            if m := TAILED.fullmatch(w):
+                tailed.append((w, *m.groups()))
+                new.update(x for x in m.groups() if x not in known)
+            else:
+                new.add(w)
+        learn(new)
+        known.update((w, known[a] + known[b]) for w, a, b in tailed)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     return encode

@@ -13,11 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import cut, shared_dir
 
 END = b"\r\n\r\n"
 GZIP = 31  # zlib's window bits for gzip members
 SALTS = 16
+#: Up to so many repeated payloads (a digest and an id each) are broadcast; more are joined over a shuffle.
+BROADCAST_ROWS = 100_000
 
 
 def file_system(uri: str):
@@ -38,13 +40,17 @@ def base32_sha1(data: str | Column) -> Column:
 def with_roles(pages: DataFrame, id_col: str, payload: Column, least_bytes: int = 0) -> DataFrame:
     """pages with payload, digest, n_bytes and refers_to: the smallest id of the equal payloads, null for that row itself.
 
-    The smallest ids are found on digests alone; only those of repeated payloads come back, spread over salts, so one
-    payload may be any share of the rows. Payloads under least_bytes, and those without any id, refer to none.
+    The smallest ids are found on digests alone, and only those of repeated payloads come back. They are counted: few are
+    broadcast, so no payload moves; many are spread over salts, so one payload may be any share of the rows. Payloads under
+    least_bytes, and those without any id, refer to none.
     """
     rows = pages.withColumn("payload", payload).withColumn("digest", base32_sha1("payload")).withColumn("n_bytes", F.octet_length("payload").cast("long"))
-    first = rows.groupBy("digest").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = rows.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")).join(first, ["digest", "salt"], "left")
+    first = cut(rows.groupBy("digest").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    if first.count() <= BROADCAST_ROWS:
+        joined = rows.withColumn("salt", F.lit(0)).join(F.broadcast(first), "digest", "left")
+    else:
+        spread = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")).join(spread, ["digest", "salt"], "left")
     refers = F.when((F.col("n_bytes") >= least_bytes) & ~F.col(id_col).eqNullSafe(F.col("first_id")), F.col("first_id"))
     return joined.withColumn("refers_to", refers).drop("salt", "first_id")
 

@@ -18,7 +18,9 @@ PAGES = [(i, f"http://h/{i}?a: b", f"<p>page {i} é</p>" * (i % 9 + 1)) for i in
 PAGES += [(200, None, None), (201, "http://h/\r\nX: y", ""), (202, "u", "z" * 300_000), (203, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (None, "u", "only a null id"), (None, "u", "<p>page 3 é</p>" * 4), (7, "again", "<p>page 7 é</p>" * 8)]
 
 
-def test_archives_round_trip(spark):
+@pytest.mark.parametrize("broadcast_rows", [warc.BROADCAST_ROWS, 0])
+def test_archives_round_trip(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast_rows)
     d = spark.createDataFrame([(*p, "clash") for p in PAGES], "page_id long, url string, html string, digest string")
     out = warc.archive_round_trip(d).collect()
     first = {}
