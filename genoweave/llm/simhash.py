@@ -114,7 +114,7 @@ def _bucket_links(radius: int, most: int):
                     if not passing and len(held) > 1:
                         links += within(held)
                     held, last, passing = [], keys[s], False
-                if e - s == 1 and not held and e < len(keys):
+                if e - s == 1 and not held and not passing and e < len(keys):
                     continue  # alone in its bucket
                 if passing:
                     yield batch(1, keys[s:e], fps[s:e])

@@ -67,6 +67,16 @@ def test_no_link_is_lost_in_dense_groups(spark, bucket_rows):
     assert {r.node: r.root for r in found} == {n: r for n, r in roots.items() if sizes[r] > 1}
 
 
+def test_the_last_row_of_a_large_bucket_in_a_new_batch_is_dealt_on():
+    import pyarrow as pa
+
+    rows = [(1, f) for f in range(5)] + [(2, 9), (3, 8)]
+    for size in range(1, len(rows) + 1):
+        parts = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[k : k + size])], ["bucket", "fp"]) for k in range(0, len(rows), size)]
+        out = [r for b in simhash._bucket_links(3, 3)(parts) for r in b.to_pylist()]
+        assert out == [{"kind": 1, "a": 1, "b": f} for f in range(5)], size
+
+
 def test_masks_cover_every_difference_and_buckets_of_the_second_level_are_small():
     first, second = simhash.masks_of(3, 0), simhash.masks_of(3, 1)
     for masks in (first, second):
