@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import chunks, compression, packing, simhash, toxicity
+from genoweave.llm import chunks, compression, neardup, packing, toxicity
 from genoweave.llm.common import shared_dir, table
 from genoweave.llm.queries import SEQUENCE_TOKENS, tokenizer_path
 
@@ -27,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id. Rows with a null id stay."""
-    return simhash.drop_near_duplicates(docs)
+    """Of each group of near-duplicates, at a Jaccard similarity of five-word shingles of 0.8 or more, the document with the smallest id. Rows with a null id stay."""
+    return neardup.drop_near_duplicates(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

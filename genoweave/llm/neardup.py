@@ -1,0 +1,163 @@
+"""Near-duplicates by the Jaccard similarity of word shingles: min-hash buckets give candidates, whole sets decide."""
+
+from __future__ import annotations
+
+from itertools import repeat
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut, utf8
+from .simhash import components
+
+#: A pair at similarity s shares no bucket with a chance of (1 - s ** ROWS) ** BANDS: 1.2e-7 at 0.8.
+BANDS, ROWS = 40, 5
+
+
+def shingles(raw: bytes, shingle: int = 5):
+    """The distinct XXH64 hashes of a text's word shingles, ascending; words as in simhash, fewer words are one shingle."""
+    import numpy as np
+    from xxhash import xxh64_digest
+
+    words = raw.lower().split()
+    rows = map(b" ".join, zip(*(words[k:] for k in range(shingle)))) if len(words) > shingle else [b" ".join(words)] if words else []
+    return np.unique(np.frombuffer(b"".join(map(xxh64_digest, rows, repeat(42))), dtype=">u8").astype(np.uint64))
+
+
+def class_of(found) -> int:
+    """A signed number for a set of hashes, the same for equal sets."""
+    from xxhash import xxh64_digest
+
+    return int.from_bytes(xxh64_digest(found.tobytes(), 7), "big", signed=True)
+
+
+def buckets(found) -> bytes:
+    """BANDS numbers of 8 bytes, each of the least of ROWS random orders of the hashes; the empty set has its own."""
+    import numpy as np
+    from xxhash import xxh64_digest
+
+    rnd = np.random.default_rng(11)
+    odd = rnd.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    mixed = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    least = np.array([(mixed * a).min() if found.size else 0 for a in odd], dtype=np.uint64).reshape(BANDS, ROWS)
+    return b"".join(xxh64_digest(row.tobytes(), k) for k, row in enumerate(least))
+
+
+def jaccard(a, b) -> float:
+    import numpy as np
+
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return both / (a.size + b.size - both) if a.size + b.size else 1.0
+
+
+def _sketch(shingle: int):
+    def run(batches):
+        import numpy as np
+
+        for b in batches:
+            sets = [shingles(t, shingle) for t in b.column(1).to_pylist()]
+            at = pa.array(np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32))
+            keys = np.frombuffer(b"".join(map(buckets, sets)), dtype=">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([class_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(at, pa.array(keys))], ["id", "cls", "buckets"])
+
+    return run
+
+
+def _sets(shingle: int):
+    def run(batches):
+        for b in batches:
+            sets = [shingles(t, shingle) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "s"])
+
+    return run
+
+
+def _verified(threshold: float):
+    """Of rows (a, b, s of a, s of b), the pairs (a, b) that are alike enough."""
+
+    def run(batches):
+        import numpy as np
+
+        for rows in batches:
+            read = [[np.frombuffer(x, dtype=np.uint64) for x in rows.column(k).to_pylist()] for k in (2, 3)]
+            yield rows.select(["a", "b"]).filter(pa.array([jaccard(x, y) >= threshold for x, y in zip(*read)], pa.bool_()))
+
+    return run
+
+
+def _bucket_links(threshold: float):
+    """For rows (bucket, cls, root, s) sorted by bucket: links (a, b) between all alike rows of a bucket with different roots."""
+
+    def within(held):
+        import numpy as np
+
+        sets = [np.frombuffer(s, dtype=np.uint64) for *_, s in held]
+        names, root = np.array([c for c, *_ in held], dtype=np.int64), np.array([r for _, r, _ in held], dtype=np.int64)
+        sizes = np.array([s.size for s in sets])
+        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        roots, n = np.unique(root, return_counts=True)
+        flag = np.zeros(codes.max(initial=0) + 1, dtype=np.int32)
+        for i in np.flatnonzero(root != roots[n.argmax()]):  # pairs of the commonest root are linked already
+            own = codes[starts[i] : starts[i] + sizes[i]]
+            flag[own] = 1
+            both = np.add.reduceat(flag[codes], starts)
+            flag[own] = 0
+            for j in np.flatnonzero((both >= threshold * (sizes + sizes[i] - both)) & (root != root[i])):
+                if root[j] != root[i] and both[j] / (sizes[j] + sizes[i] - both[j]) >= threshold:
+                    yield int(names[i]), int(names[j])
+                    root[root == root[j]] = root[i]
+
+    def run(batches):
+        held, last = [], None
+        for rows in batches:
+            links = []
+            for bucket, *row in zip(*(c.to_pylist() for c in rows.columns)):
+                if bucket != last:
+                    links += within(held) if len(held) > 1 else []
+                    held, last = [], bucket
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+        links = list(within(held)) if len(held) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, shingle: int = 5) -> DataFrame:
+    """The rows of docs whose id is the smallest of its component; components are of links at a Jaccard similarity of threshold or more.
+
+    Equal sets are one node, so copies make no pairs. First each node is compared with the least node of its buckets; then, in
+    the buckets that still hold several components, all pairs of different components, so no pair that shares a bucket is left out.
+    Rows with a null id are kept and take no part. Texts without words, null and empty ones included, are copies of each other.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    given = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), utf8(text_col).alias("t"))
+    sketches = cut(given.mapInArrow(_sketch(shingle), f"id {kind}, cls long, buckets array<long>"))
+    nodes = cut(sketches.groupBy("cls").agg(F.min("id").alias("least"), F.any_value("buckets").alias("buckets")))
+    keyed = nodes.select("cls", F.explode("buckets").alias("bucket"))
+    shared = keyed.groupBy("bucket").agg(F.min("cls").alias("b"), F.max("cls").alias("top")).where("b <> top").drop("top")
+    near = cut(keyed.join(shared, "bucket"))  # bucket, cls, b
+
+    def sets(of: DataFrame) -> DataFrame:
+        wanted = nodes.join(of.distinct(), "cls")
+        texts = given.join(wanted.select(F.col("least").alias("id")).distinct(), "id", "left_semi").select("t")
+        return texts.mapInArrow(_sets(shingle), "cls long, s binary").join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+
+    pairs = near.groupBy("cls").agg(F.min("b").alias("b")).where("cls <> b").withColumnRenamed("cls", "a")
+    of = cut(sets(near.select("cls")))
+    sided = pairs.join(of.select(F.col("cls").alias("a"), F.col("s").alias("sa")), "a").join(of.select(F.col("cls").alias("b"), F.col("s").alias("sb")), "b")
+    first = cut(sided.select("a", "b", "sa", "sb").mapInArrow(_verified(threshold), "a long, b long"))
+    linked = components(first)
+    rooted = near.select("bucket", "cls").join(linked.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rooted = cut(rooted)
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
+    left = rooted.join(open_, "bucket").join(of, "cls").select("bucket", "cls", "root", "s").repartition("bucket").sortWithinPartitions("bucket", "cls")
+    second = left.mapInArrow(_bucket_links(threshold), "a long, b long")
+    found = components(first.unionByName(second)).withColumnRenamed("node", "cls")
+    ids = nodes.select("cls", "least").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    smallest = ids.groupBy("root").agg(F.min("least").alias("smallest"))
+    of_class = ids.join(smallest, "root").select("cls", "smallest")
+    gone = sketches.select("id", "cls").join(of_class, "cls").where("id <> smallest").select(F.col("id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti")
