@@ -82,6 +82,8 @@ OTHERS = (
     "the university of california is a public university",
     "the foundation released its annual report, version 2.0 of which is available",
 )
+#: See paragraphs().
+RUN = 1 << 32
 UNKNOWN, NONE = "unknown", "none"
 #: Words that say nothing of licences. Fixed values.
 COMMON = frozenset(
@@ -185,9 +187,16 @@ def inline(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (a struct, so that null ids are equal), para (from 0) and words of each line of two words or more of each text."""
-    lines = docs.select(F.struct(F.col(id_col).alias("v")).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("para", "line"))
-    return lines.select("id", "para", F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "").alias("words")).where(F.size("words") > 1)
+    """id (a struct, so that null ids are equal), para and words of each line, and of each run of several lines, of two words or more.
+
+    Runs end at lines without letters or digits of ASCII; comment marks fall away with other signs. para is RUN times the run's
+    number, both from 0, and for a line its number in the run, from 1, on top.
+    """
+    runs = docs.select(F.struct(F.col(id_col).alias("v")).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), r"\n[^A-Za-z0-9\n]*+(?=\n)")).alias("run", "body"))
+    split = F.split("body", "\n")
+    worded = F.size(F.filter(split, lambda x: x.rlike("[A-Za-z0-9]")))
+    lines = runs.select("id", "run", F.posexplode(F.concat(F.array(F.when(worded > 1, F.col("body")).otherwise("")), split)).alias("at", "line"))
+    return lines.select("id", (F.col("run") * F.lit(RUN) + F.col("at")).alias("para"), F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "").alias("words")).where(F.size("words") > 1)
 
 
 def sampled_paragraphs(docs: DataFrame, limits: Limits, text_col: str) -> list[str]:
@@ -213,8 +222,8 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
 
     family is that of the surest confirmed paragraph (ties: the first family by name), `unknown` if paragraphs look licensed
     but no template confirms it, `none` otherwise. probability is the classifier's, calibrated; shared is the share of the
-    template's word triples that the paragraph has; n_paragraphs counts the confirmed ones. A paragraph is a line. Null and
-    empty texts are `none`; null ids are one id; rows with the same id are scanned as one document. Other columns are not
+    template's word triples that the paragraph has; n_paragraphs counts the confirmed ones. A paragraph is a line, or a
+    run of lines if as a whole it is confirmed (counted if none of its lines is), as texts may be wrapped. Null and empty texts are `none`; null ids are one id; rows with the same id are scanned as one document. Other columns are not
     returned. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -240,10 +249,13 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     share = F.size(F.array_intersect("triples", F.array_union(_ngrams("words", 3), F.array(F.array_join("words", " "))))) / F.size("triples")
     best = compared.withColumn("shared", share).groupBy("id", "para", "family").agg(F.max("shared").alias("shared"), F.first("probability").alias("probability"))
     confirmed = F.col("shared") >= limits.shared
+    is_line = F.col("para") % RUN > 0
     rank = F.struct(confirmed, "probability", F.negative("para"))
-    found = best.groupBy("id").agg(
-        F.max_by(F.struct(F.when(confirmed, F.col("family")).otherwise(UNKNOWN).alias("family"), "probability", "shared"), rank).alias("x"), F.count_if(confirmed).alias("n_paragraphs")
+    verdict = F.struct(F.when(confirmed, F.col("family")).otherwise(UNKNOWN).alias("family"), "probability", "shared")
+    of_run = best.where(is_line | confirmed).groupBy("id", F.expr(f"para div {RUN}").alias("run")).agg(
+        F.max_by(verdict, rank).alias("x"), F.max(rank).alias("rank"), F.count_if(confirmed & is_line).alias("lines"), F.count_if(confirmed).alias("all")
     )
+    found = of_run.groupBy("id").agg(F.max_by("x", "rank").alias("x"), F.sum(F.when(F.col("lines") > 0, F.col("lines")).otherwise(F.col("all"))).alias("n_paragraphs"))
     joined = docs.select(F.struct(F.col(id_col).alias("v")).alias("id")).distinct().join(found, "id", "left")
     return joined.select(
         F.col("id.v").alias(id_col),

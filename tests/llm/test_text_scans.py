@@ -90,6 +90,22 @@ def test_licences_are_told_apart_and_plain_text_is_none(spark):
     assert licenses.scan(d.limit(0)).count() == 0
 
 
+def test_wrapped_notices_are_confirmed(spark):
+    import textwrap
+
+    pick = {"BSD": (2, 3), "LGPL": (1,), "GPL": (1,), "Apache-2.0": (3,)}
+    want, rows = {}, []
+    for f, at in pick.items():
+        for k in at:
+            for width in (45, 70):
+                for mark in ("", "# ", " * ", "// "):
+                    body = "\n".join(mark + x for x in textwrap.wrap(licenses.TEMPLATES[f][k] + " and so on.", width))
+                    want[len(rows)] = f
+                    rows.append((len(rows), f"import os\n{mark}\n{body}\n{mark}\n\nprint()"))
+    out = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.family for i, r in out.items()} == want and all(r.n_paragraphs == 1 for r in out.values())
+
+
 def test_lines_that_are_skipped_could_not_be_confirmed():
     telling = set(licenses.telling_words())
     for ts in licenses.TEMPLATES.values():
