@@ -20,11 +20,13 @@ DOUBLINGS = 4
 
 @dataclass(frozen=True)
 class Chunking:
-    """word_bits: after a blank, a chunk ends with a chance of 1 in 2 ** word_bits; any_bits: after any other byte;
-    most_bytes: no chunk is longer; least_run: repeated chunks go only if, in a row, they have so many bytes."""
+    """word_bits: after a blank, a chunk ends with a chance of 1 in 2 ** word_bits; any_bits: after any other byte,
+    or 2 ** dense_bits where the last dense_window bytes hold no blank; most_bytes: no chunk is longer; least_run: repeated chunks go only if, in a row, they have so many bytes."""
 
     word_bits: int = 2
     any_bits: int = 12
+    dense_bits: int = 4
+    dense_window: int = 64
     most_bytes: int = 1 << 16
     least_run: int = 120
 
@@ -40,8 +42,8 @@ def gears():
 def chunk_ends(raw: bytes, how: Chunking = Chunking()) -> list[int]:
     """Where the chunks of a text in UTF-8 end, ascending, the last at its end.
 
-    The gear hash of the last 16 bytes alone decides on an end, so an insertion moves the ends near it and no others. Ends stand
-    after blanks mostly, and never inside a character.
+    The gear hash of the last 16 bytes decides on an end, and whether the last dense_window bytes hold a blank, so an insertion
+    moves the ends near it and no others. Ends stand after blanks mostly, and never inside a character.
     """
     import numpy as np
 
@@ -55,6 +57,11 @@ def chunk_ends(raw: bytes, how: Chunking = Chunking()) -> list[int]:
         h[step:] += h[:-step] << np.uint32(step)
     at = blank[b]
     stop = np.where(at, h >> np.uint32(32 - how.word_bits) == 0, h >> np.uint32(32 - how.any_bits) == 0)
+    if len(raw) > how.dense_window:
+        seen = np.cumsum(at)
+        dense = seen[how.dense_window :] == seen[: -how.dense_window]
+        dense[:-1] &= b[how.dense_window : -1] != b[how.dense_window + 1 :]  # not inside a run of one byte
+        stop[how.dense_window :] |= dense & (h[how.dense_window :] >> np.uint32(32 - how.dense_bits) == 0)
     stop[:-1] &= (b[1:] & 0xC0) != 0x80
     stop[:-1] &= ~(at[:-1] & at[1:])  # not inside a run of blanks
     stop[-1] = True

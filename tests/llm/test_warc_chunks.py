@@ -126,6 +126,20 @@ def test_an_insertion_moves_only_the_ends_near_it():
     assert chunks.chunk_ends(b"") == [] and chunks.chunk_ends("é".encode() * 100_000)[-1] == 200_000
 
 
+def test_a_passage_without_blanks_is_found_once(spark):
+    rnd = random.Random(12)
+
+    def some(n, first=0x4E00):
+        return "".join(chr(first + rnd.randrange(3000)) for _ in range(n))
+
+    for parted in ("", "\u3000"):
+        passage = parted.join(some(5) for _ in range(40))
+        texts = [(i, parted.join([some(300), passage, some(300)])) for i in range(6)]
+        out = chunks.dedup_substrings(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+        assert sum(passage[60:-60] in r.text for r in out) == 1
+        assert all(r.removed_bytes >= 240 for r in out if r.doc_id)
+
+
 def test_pipeline_stages_equal_their_plain_versions(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rnd = random.Random(6)
