@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .common import cut, utf8, without
 
 CACHED_WORDS = 200_000
-#: A word and the punctuation after it. The tokenizer always parts the two, so one word isn't encoded anew for each mark.
-TAILED = re.compile(rb"(.*[a-z0-9])([.,;:!?]+)", re.DOTALL)
+#: A word and the ASCII signs after it. The tokenizer always parts the two, so one word isn't encoded anew for each run of signs.
+TAILED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x9f-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
 #: Words that the normalizer leaves as they are and that stay whole: the merges alone make their ids.
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
@@ -34,7 +34,8 @@ def words_encoder(tokenizer_file: str):
 
     The tokenizer splits at white space before all else and its normalizer maps character by character, so the ids of a
     text are those of its words one after another. Words are looked up; new ones of letters go straight to the merges,
-    others through the whole tokenizer.
+    others through the whole tokenizer. Texts that spell out a special token, which the tokenizer takes for the token itself
+    and looks for before anything else, go through it whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from array import array
@@ -42,8 +43,8 @@ def words_encoder(tokenizer_file: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
     merges, letters = tokenizer.model.tokenize, byte_letters()
+    special = [t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values()]
     known: dict[bytes, bytes] = {}
 
     def packed(ids: list[int]) -> bytes:
@@ -66,7 +67,9 @@ def words_encoder(tokenizer_file: str):
             known.update((w, packed(x.ids)) for w, x in zip(part, ids))
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        split = [t.lower().split() for t in texts]
+        lower = [t.lower() for t in texts]
+        whole = {i: packed(tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids) for i, t in enumerate(lower) if any(s in t for s in special)}
+        split = [() if i in whole else t.split() for i, t in enumerate(lower)]
         if len(known) > CACHED_WORDS:
             known.clear()
         new, tailed = set(), []
@@ -78,7 +81,7 @@ def words_encoder(tokenizer_file: str):
                 new.add(w)
         learn(new)
         known.update((w, known[a] + known[b]) for w, a, b in tailed)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [whole[i] if i in whole else b"".join(map(known.__getitem__, words)) for i, words in enumerate(split)]
 
     return encode
 

@@ -42,7 +42,6 @@ def test_packing_keeps_every_token_and_is_near_the_bound(spark):
     file, cap = tokenizer_path("word_bpe_49k.json"), 256
     out = packing.pack_documents(data.frame(spark), file, cap).collect()
     tokenizer = Tokenizer.from_file(file)
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for i, t, *_ in data.rows():
         ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], dtype="<u4")
@@ -61,6 +60,16 @@ def test_packing_keeps_every_token_and_is_near_the_bound(spark):
     assert len(held) <= 1.02 * sum(r.length for r in out) / cap + 1
 
 
+def test_words_get_the_ids_that_whole_texts_get():
+    from tokenizers import Tokenizer
+
+    file = tokenizer_path("word_bpe_49k.json")
+    texts = ["see <|endoftext|> here", "a<|endoftext|>b <|startoftext|>", "<|EndOfText|> x", "It's word### (so) 'tis don't. end' Größe$$$ ÀÉ!! schö,***", "", " \u3000\u00a0x\u2026. é\u0301, a&&b a'.'s"]
+    encode, plain = packing.words_encoder(file), Tokenizer.from_file(file)
+    assert encode([t.encode() for t in texts * 2]) == [np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts * 2]
+    assert len(encode([b"<|endoftext|>"])[0]) == 4
+
+
 def test_best_two_fit_replaces_the_smallest_by_two_that_fit_better():
     assert best({6: 1, 3: 1, 2: 2}, 10) == [[6, 2, 2], [3]]  # 6 + 3 leaves 1; 2 + 2 in place of 3 fills it
     assert best({}, 10) == [] and best({10: 3}, 10) == [[10]] * 3
