@@ -2,58 +2,60 @@
 
 from __future__ import annotations
 
-import bisect
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, without
 
-Key = tuple[int, int]
+#: No ranges beyond this, so that what the driver samples has a bound: 16 keys of three numbers for each.
+MOST_RANGES = 50_000
 
 
-def sampled_splitters(keyed: DataFrame, ranges: int, total: int, per_range: int = 16) -> list[Key]:
-    """At most ranges - 1 keys (k1, k2) that cut keyed (k1, k2, size) into ranges of about equal size.
+def sampled_splitters(keyed: DataFrame, ranges: int, total: int, per_range: int = 16) -> np.ndarray:
+    """At most ranges - 1 ascending, distinct keys (rows of k1, k2) that cut keyed (k1, k2, size) into ranges of about equal size.
 
     A row is drawn with a probability in proportion to its size, by a hash of its key, so a retry draws the same rows.
     About per_range * ranges rows are drawn: that bounds what the driver gets.
     """
     step = total / (ranges * per_range)
     if ranges < 2 or step <= 0:
-        return []
+        return np.zeros((0, 2), dtype=np.int64)
     draw = F.pmod(F.xxhash64("k1", "k2", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = keyed.where(draw < F.col("size") / F.lit(step)).select("k1", "k2", F.greatest("size", F.lit(step)).alias("w"))
-    rows = sorted(map(tuple, drawn.collect()))
-    whole, out, done = sum(r[2] for r in rows), [], 0.0
-    for k1, k2, w in rows:
-        if done >= whole * (len(out) + 1) / ranges:
-            out.append((k1, k2))
-            while done >= whole * (len(out) + 1) / ranges:  # one heavy row may fill several ranges
-                out.append((k1, k2))
-        done += w
-    return sorted(set(out))
-
-
-def range_of(splitters: list[Key]) -> Column:
-    """The number of splitters at or below the row's key (k1, k2): 0 to len(splitters).
-
-    Found in two steps, first among every w-th splitter and then among w, so the cost is the square root of their number.
-    """
-    if not splitters:
-        return F.lit(0)
-    w = math.isqrt(len(splitters)) + 1
-    groups = [splitters[i : i + w] for i in range(0, len(splitters), w)]
-    key = "named_struct('k1', k1, 'k2', k2)"
+    drawn = keyed.where(draw < F.col("size") / F.lit(step)).select("k1", "k2", F.greatest("size", F.lit(step)).cast("double").alias("w")).toArrow()
+    keys, w = np.stack([drawn[c].to_numpy() for c in ("k1", "k2")], axis=1), drawn["w"].to_numpy()
+    return quantile_keys(keys, w, ranges)
+
+
+def quantile_keys(keys: np.ndarray, w: np.ndarray, ranges: int) -> np.ndarray:
+    """The first keys, by ascending key, before which at least 1, 2, ... of `ranges` parts of the weight lie."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    keys, before = keys[order], np.cumsum(w[order]) - w[order]
+    at = np.searchsorted(before, w.sum() * np.arange(1, ranges) / ranges)
+    return np.unique(keys[at[at < len(keys)]], axis=0)
 
-    def lit(keys: list[Key]) -> str:
-        return "array(" + ", ".join(f"named_struct('k1', {a}L, 'k2', {b}L)" for a, b in keys) + ")"
 
-    def below(keys: str) -> str:
-        return f"size(filter({keys}, s -> s <= {key}))"
+def range_of(splitters: np.ndarray) -> Column:
+    """The number of splitters (ascending rows of k1, k2) at or below the row's key: 0 to len(splitters). They go to the tasks as arrays."""
+    firsts, starts = np.unique(splitters[:, 0], return_index=True)
+    seconds, ends = splitters[:, 1], np.append(starts[1:], len(splitters))
 
-    group = f"greatest({below(lit([g[0] for g in groups]))} - 1, 0)"
-    return F.expr(f"{group} * {w} + {below(f'element_at(array({", ".join(map(lit, groups))}), {group} + 1)')}")
+    @F.pandas_udf("int")
+    def place(k1, k2):
+        import pandas as pd
+
+        a, b = k1.to_numpy(np.int64), k2.to_numpy(np.int64)
+        at = np.searchsorted(firsts, a, side="right")  # of the distinct first numbers, those at or below
+        out = np.append(0, ends)[at]
+        same = np.flatnonzero((at > 0) & (firsts[at - 1] == a)) if len(firsts) else []
+        for g in np.unique(at[same]) - 1 if len(same) else []:  # rows that share a splitter's first number: by the second
+            rows = same[at[same] == g + 1]
+            out[rows] = starts[g] + np.searchsorted(seconds[starts[g] : ends[g]], b[rows], side="right")
+        return pd.Series(out.astype(np.int32))
+
+    return place("k1", "k2") if len(splitters) else F.lit(0)
 
 
 def shard_records(
@@ -71,54 +73,58 @@ def shard_records(
     texts stand next to each other and a group of copies of any size is cut between its ids. Splitters are quantiles of a
     size-weighted sample; ranges measured at over `overfull` times their share are sampled again and subdivided. The exact
     running size over the ranges then gives the shards' boundaries, so a shard's bytes differ from the mean by less than
-    the size of the largest row. The driver gets about per_range keys for each range and one figure a range; there is a
-    range for range_bytes of the input, or 4 a shard.
+    the size of the largest row. There is a range, and so a task, for range_bytes of the input, at least 4 a shard and about MOST_RANGES at
+    most; the driver gets about per_range keys for each and a figure or two.
 
     Null ids come first among equal texts. Rows with the same text and id can't be told apart and stay in one shard.
-    Columns named size, shard or slot, and k1, k2 and piece, are replaced or dropped. An empty table gives no rows.
+    Columns named size, shard or slot, and k1, k2 and piece, are replaced or dropped. Ids have to be integers, or texts of them; others
+    count as null. An empty table gives no rows.
     """
     docs = without(docs, "size", "shard", "slot", "k1", "k2", "piece")
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 8
-    keyed = docs.withColumns({"size": size, "k1": F.xxhash64(text_col), "k2": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))})
+    keyed = docs.withColumns({"size": size, "k1": F.xxhash64(text_col), "k2": F.coalesce(F.expr(f"try_cast(`{id_col}` AS bigint)"), F.lit(-(1 << 63)))})
     slim = cut(keyed.select("k1", "k2", "size"))
     total = slim.agg(F.sum("size")).first()[0] or 0
-    ranges = max(4 * shards, math.ceil(total / range_bytes))
+    ranges = min(max(4 * shards, math.ceil(total / range_bytes)), max(4 * shards, MOST_RANGES))
     splitters = sampled_splitters(slim, ranges, total, per_range)
 
+    def measured(by: np.ndarray, what: Column) -> np.ndarray:
+        got, out = slim.groupBy(range_of(by).alias("piece")).agg(what.alias("n")).collect(), np.zeros(len(by) + 1, dtype=np.int64)
+        for piece, n in got:
+            out[piece] = n
+        return out
+
+    sizes = measured(splitters, F.sum("size"))
     for _ in range(5):
-        sizes = dict(slim.groupBy(range_of(splitters).alias("piece")).agg(F.sum("size")).collect())
-        large = [i for i, n in sizes.items() if n > overfull * total / ranges]
+        large = np.flatnonzero(sizes > overfull * total / ranges).tolist()
         if not large:
             break
         inside = slim.withColumn("piece", range_of(splitters)).where(F.col("piece").isin(large))
-        held = sum(sizes[i] for i in large)
-        more = set(sampled_splitters(inside, math.ceil(2 * held * ranges / total), held, per_range)) - set(splitters)
-        if not more:  # single rows as large as that
+        held = int(sizes[large].sum())
+        finer = np.unique(np.concatenate([splitters, sampled_splitters(inside, math.ceil(2 * held * ranges / total), held, per_range)]), axis=0)
+        if len(finer) == len(splitters):  # single rows as large as that
             break
-        splitters = sorted({*splitters, *more})
+        splitters = finer
+        sizes = measured(splitters, F.sum("size"))
 
-    before, offsets = 0, []
-    for i in range(len(splitters) + 1):
-        offsets.append((i, before))
-        before += sizes.get(i, 0) or 0
-    starts = docs.sparkSession.createDataFrame(offsets, "piece int, before long")
+    before = (np.cumsum(sizes) - sizes).tolist()
+    starts = docs.sparkSession.createDataFrame(list(enumerate(before)), "piece int, before long")
     run = Window.partitionBy("piece").orderBy("k1", "k2").rowsBetween(Window.unboundedPreceding, 0)
     middle = F.col("before") + F.sum("size").over(run) - F.col("size") / 2
-    placed = slim.withColumn("piece", range_of(splitters)).join(F.broadcast(starts), "piece")  # one row a range
+    placed = slim.withColumn("piece", range_of(splitters)).join(F.broadcast(starts), "piece", "left")  # one row a range; an inner join would place rows twice, to see that none is null
     shard = F.least(F.floor(middle * shards / F.lit(float(max(total, 1)))), F.lit(shards - 1))
     firsts = placed.withColumn("shard", shard.cast("int")).groupBy("shard").agg(F.min(F.struct("k1", "k2")).alias("k")).collect()
     bounds = {(r.k.k1, r.k.k2): r.shard for r in firsts}
 
-    cuts = sorted({*splitters, *bounds})
-    keys = sorted(bounds)
-    # the shard of a piece: that of the last boundary at or below its first key
-    shard_of = [0] + [bounds[keys[j - 1]] if (j := bisect.bisect_right(keys, c)) else 0 for c in cuts]
-    counts = dict(slim.groupBy(range_of(cuts).alias("piece")).count().collect())
-    base, filled = [], dict.fromkeys(range(shards), 0)
-    for i, s in enumerate(shard_of):
-        base.append(filled[s])
-        filled[s] += counts.get(i, 0)
-    info = docs.sparkSession.createDataFrame([(i, s, b) for i, (s, b) in enumerate(zip(shard_of, base))], "piece int, shard int, base long")
+    cuts = np.unique(np.concatenate([splitters, np.array(sorted(bounds), dtype=np.int64).reshape(-1, 2)]), axis=0)
+    counts = measured(cuts, F.count("*")).tolist()
+    info, filled, here = [], dict.fromkeys(range(shards), 0), 0
+    for i, key in enumerate([None, *map(tuple, cuts.tolist())]):  # a piece is in the shard of the last boundary at or below its first key
+        here = bounds.get(key, here)
+        info.append((i, here, filled[here]))
+        filled[here] += counts[i]
+    info = docs.sparkSession.createDataFrame(info, "piece int, shard int, base long")
     order = Window.partitionBy("piece").orderBy("k1", "k2")
-    numbered = keyed.withColumn("piece", range_of(cuts)).withColumn("rank", F.row_number().over(order))
-    return numbered.join(F.broadcast(info), "piece").withColumn("slot", F.col("base") + F.col("rank") - 1).drop("piece", "rank", "base", "k1", "k2")
+    dealt = keyed.withColumn("piece", range_of(cuts)).repartitionById(len(cuts) + 1, "piece")  # a task for each piece
+    numbered = dealt.withColumn("rank", F.row_number().over(order))
+    return numbered.join(F.broadcast(info), "piece", "left").withColumn("slot", F.col("base") + F.col("rank") - 1).drop("piece", "rank", "base", "k1", "k2")

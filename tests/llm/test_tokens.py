@@ -103,6 +103,32 @@ def test_shards_are_near_equal_gapless_and_whole(spark):
     assert max(r[1] for r in small) < 1.1 * sum(r[1] for r in small) / 8
 
 
+def test_splitters_and_ranges_equal_brute_force(spark):
+    rnd = np.random.default_rng(3)
+    keys = np.unique(rnd.integers(-5, 5, (400, 2)), axis=0)
+    keys, w = rnd.permutation(keys), rnd.pareto(1.2, len(keys)) + 0.1
+    found, want, done = sharding.quantile_keys(keys, w, 12), [], 0.0
+    for k, x in sorted(zip(map(tuple, keys.tolist()), w.tolist())):
+        if any(done >= w.sum() * j / 12 > last for j in range(1, 12) for last in [done - prior if want or done else -1.0]):
+            want.append(k)
+        done, prior = done + x, x
+    assert found.tolist() == [list(k) for k in want] and 3 < len(want) < 12
+    rows = spark.createDataFrame([(int(a), int(b)) for a, b in rnd.integers(-7, 7, (500, 2))], "k1 long, k2 long")
+    assert all(r.n == sum((r.k1, r.k2) >= k for k in want) for r in rows.withColumn("n", sharding.range_of(found)).collect())
+    assert {r.n for r in rows.withColumn("n", sharding.range_of(found[:0])).collect()} == {0}
+
+
+@pytest.mark.parametrize("texts", [["x" * min(int(20 * (1 - k / 3000) ** -1.1), 60_000) + str(k) for k in range(3000)], [f"short {k * k}" for k in range(3000)] + ["y" * 9000 + str(k) for k in range(40)]])
+def test_law_holds_on_heavy_tails_and_few_giants(spark, texts):
+    out = sharding.shard_records(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 24)
+    sizes, counts = defaultdict(int), defaultdict(set)
+    for r in out.collect():
+        sizes[r.shard] += r.size
+        counts[r.shard].add(r.slot)
+    assert max(abs(sizes[s] - sum(sizes.values()) / 24) for s in range(24)) <= max(map(len, texts)) + 8
+    assert sum(map(len, counts.values())) == len(texts) and all(v == set(range(len(v))) for v in counts.values())
+
+
 def test_a_group_of_copies_is_cut_between_shards(spark):
     rows = [(i, "same text" if i % 3 else f"text {i}") + data.rows()[0][2:] for i in range(3000)]
     sizes = [r[1] for r in sharding.shard_records(data.frame(spark, rows), 24).groupBy("shard").sum("size").collect()]
