@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8, without
+from .common import cut, utf8, without
 
 #: The bytes a text may be cut after: ASCII white space.
 BLANK = b"\t\n\x0b\x0c\r "
@@ -91,8 +91,9 @@ def digests(raw: bytes, ends: list[int]):
 def repeated_chunks(docs: DataFrame, how: Chunking = Chunking(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, digest) of the chunks that a document with a smaller id has too. Each is given once a document.
 
-    A digest's smallest and largest id are gathered with partial sums before the shuffle; only digests of several ids are joined
-    back. Rows with a null id take no part. The join is on rows of two numbers, which Spark splits where one digest is hot.
+    A digest's smallest and largest id are gathered with partial sums before the shuffle; only digests of several ids are written
+    and joined back. Both sides of that join are plain rows of two numbers dealt by digest, so Spark splits those of a digest
+    that is in very many documents. Rows with a null id take no part.
     """
 
     def run(batches):
@@ -107,7 +108,7 @@ def repeated_chunks(docs: DataFrame, how: Chunking = Chunking(), id_col: str = "
 
     kind = docs.schema[id_col].dataType.simpleString()
     chunks = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), utf8(text_col).alias("t")).mapInArrow(run, f"id {kind}, digest long")
-    first = chunks.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").drop("last")
+    first = cut(chunks.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").drop("last"))
     return chunks.join(first, "digest").where(F.col("id") > F.col("first")).select(F.col("id").alias(id_col), "digest")
 
 

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch. A batch of texts has to fit a Python worker, very long texts included.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch. A batch of texts has to fit a Python worker, very long texts included.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine (tests) a new one where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='genoweave-')}"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
@@ -32,6 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df, written as Parquet in the shared folder: as cut, but what reads it later reads only the columns it needs."""
+    place = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.parquet(place)
+
+
 def ship(spark: SparkSession) -> None:
     """Gives Python workers this package, where they wouldn't find it by their path or working folder."""
     package = Path(__file__).parent.parent
@@ -48,9 +58,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of sf_dir, read in Arrow batches of a bounded number of rows."""
+    """A table of sf_dir. From now on the session's Arrow batches keep to BATCH_LIMITS, where it doesn't set lower ones: a
+    query runs after this has returned, so the settings stay."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    for name, most in BATCH_LIMITS.items():
+        now = str(spark.conf.get(name, "0")).removesuffix("B")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
+import math
 import random
+from dataclasses import dataclass
 from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, utf8, without
+from .common import cut, utf8, written
 
 BITS = 64
 
 
-def simhash(raw: bytes, shingle: int = 3) -> bytes:
-    """The fingerprint of a text in UTF-8: 8 bytes, the highest bit first; zero without words.
+def shingle_hashes(raw: bytes, shingle: int):
+    """The XXH64 hashes (seed 42) of a text's word shingles, in order and with repeats, as rows of 8 bytes, the highest first.
 
-    A-Z are lower-cased, words end at the blanks of ASCII, and a bit is set if it is in over half the XXH64 hashes (seed 42)
-    of all shingles of so many words, repeats included; fewer words are one shingle.
+    A-Z are lower-cased, words end at the blanks of ASCII; fewer words than a shingle has are one shingle, no words none.
     """
     import numpy as np
     from xxhash import xxh64_digest
 
     words = raw.lower().split()  # of bytes: ASCII only, both
-    if not words:
-        return bytes(8)
     if len(words) <= shingle:
-        return xxh64_digest(b" ".join(words), 42)
-    rows = map(b" ".join, zip(*(words[k:] for k in range(shingle))))
-    hashes = np.frombuffer(b"".join(map(xxh64_digest, rows, repeat(42))), dtype=np.uint8).reshape(-1, 8)
+        rows = [b" ".join(words)] if words else []
+    else:
+        rows = map(b" ".join, zip(*(words[k:] for k in range(shingle))))
+    return np.frombuffer(b"".join(map(xxh64_digest, rows, repeat(42))), dtype=np.uint8).reshape(-1, 8)
+
+
+def majority(hashes) -> bytes:
+    """The fingerprint of rows of 8 bytes: each bit that is set in over half of them; zero if there are none."""
+    import numpy as np
+
     n = len(hashes)
+    if n == 1:
+        return hashes.tobytes()
     if n < 256:
         counts = np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
     else:
@@ -39,6 +47,11 @@ def simhash(raw: bytes, shingle: int = 3) -> bytes:
     return np.packbits(2 * counts > n).tobytes()
 
 
+def simhash(raw: bytes, shingle: int = 3) -> bytes:
+    """The fingerprint of a text in UTF-8, of all its shingles: 8 bytes, the highest bit first; zero without words."""
+    return majority(shingle_hashes(raw, shingle))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """id_col and fp, the text's 64-bit fingerprint as a signed long, for every row; a null text counts as empty."""
 
@@ -168,10 +181,11 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if not now[0]:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # minima are written first: joined with plain rows, Spark can split the rows of a hot centre
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        down = cut(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+        least = cut(down.groupBy("u").agg(F.min("v").alias("m")))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         was, now = now, state(edges)
@@ -192,16 +206,197 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     distinct = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
     found = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = rooted.join(smallest, "root").select("fp", "component_id")
+    rooted = cut(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    smallest = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")))  # apart: one root may have most of the rows
+    of_print = cut(rooted.join(smallest, "root").select("fp", "component_id"))
     return prints.join(of_print, "fp").select(id_col, "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component; rows with a null id are kept."""
-    found = simhash_components(docs, id_col, text_col, radius, shingle)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+@dataclass(frozen=True)
+class Likeness:
+    """What near-duplicates are, and how pairs of them are looked for.
+
+    Bits of fingerprints at a Jaccard similarity of 0.8 differ with a chance of 0.15, so the radius alone, for which masks can cover all
+    differences, finds few such pairs. Parts of the shingle set are compared besides: a hash deals shingles out to 2 ** k parts of two to four,
+    and of the first `parts` of them a pair at 0.8 has each alike with a chance of 0.41 or more, so that
+    none is with one of 3e-6. Texts of under `few` shingles have single ones instead. Large buckets, of over
+    bucket_rows sets or bucket_hashes hashes, are dealt again by each other part that their sets have.
+    """
+
+    shingle: int = 5
+    similarity: float = 0.8
+    radius: int = 3
+    parts: int = 24
+    few: int = 64
+    bucket_rows: int = 2048
+    bucket_hashes: int = 4_000_000
+
+
+def part_keys(found, how: Likeness = Likeness()):
+    """A number for each part of a set of hashes that is compared, equal for equal parts of sets of nearly the same size.
+
+    Parts depend on the size by powers of two. A set near such a bound has the parts of both sides, so that of sets whose
+    sizes allow for how.similarity there always are parts of a common power.
+    """
+    import numpy as np
+
+    near = math.sqrt(how.similarity)
+    mixed = np.sort((found ^ (found >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15))
+    out = []
+    for single, k in {(x < how.few, max(0, int(math.log2(x / (how.parts if x < how.few else 2))))) for x in (found.size * near, found.size / near) if x}:
+        most = 1 if single else how.parts
+        held = mixed[: np.searchsorted(mixed, np.uint64(most << (64 - k)))] if most < 1 << k else mixed
+        if not held.size:
+            continue
+        hashes = (held ^ (held >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        if not single and k:
+            part = held >> np.uint64(64 - k)
+            hashes = np.add.reduceat(hashes, np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))))
+        out.append((hashes ^ (hashes >> np.uint64(32)) ^ np.uint64(2 * k + single)) * np.uint64(0x94D049BB133111EB))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _sketch(how: Likeness):
+    def run(batches):
+        import numpy as np
+        from xxhash import xxh64_digest
+
+        for b in batches:
+            names, prints, parts, sets = [], [], [], []
+            for t in b.column(1).to_pylist():
+                found = np.unique(shingle_hashes(t, how.shingle).view(">u8").astype(np.uint64))
+                sets.append(found.tobytes())
+                names.append(xxh64_digest(sets[-1], 7))
+                prints.append(majority(found.astype(">u8").view(np.uint8).reshape(-1, 8)))
+                parts.append(part_keys(found, how).view(np.int64))
+            at = pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+            signed = [pa.array(np.frombuffer(b"".join(x), dtype=">i8").astype(np.int64)) for x in (names, prints)]
+            sizes = pa.array([len(s) // 8 for s in sets], pa.int32())
+            keys = pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
+            yield pa.RecordBatch.from_arrays([b.column(0), *signed, sizes, keys, pa.array(sets, pa.binary())], ["id", "cls", "fp", "n", "parts", "hashes"])
+
+    return run
+
+
+def jaccard(a, b) -> float:
+    """Of two ascending sets of numbers; 1 if both are empty."""
+    import numpy as np
+
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return both / (a.size + b.size - both) if a.size + b.size else 1.0
+
+
+def _verified(similarity: float):
+    """Of rows (a, b, hashes of a, hashes of b), the pairs (a, b) that are alike enough."""
+
+    def run(batches):
+        import numpy as np
+
+        for rows in batches:
+            read = [[np.frombuffer(x, dtype=np.uint64) for x in rows.column(k).to_pylist()] for k in (2, 3)]
+            yield rows.select(["a", "b"]).filter(pa.array([jaccard(x, y) >= similarity for x, y in zip(*read)], pa.bool_()))
+
+    return run
+
+
+def _bucket_sets(similarity: float):
+    """For rows (bucket, cls, root, hashes) sorted by bucket: links (a, b) between sets of different roots, as many as join their components."""
+    import numpy as np
+
+    def within(held):
+        names, root = np.array([c for c, *_ in held], dtype=np.int64), np.array([r for _, r, _ in held], dtype=np.int64)
+        sets = [np.frombuffer(s, dtype=np.uint64) for *_, s in held]
+        sizes = np.array([s.size for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, codes, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        common = often[codes] > 1
+        codes, owner = codes[common], owner[common]
+        starts = np.searchsorted(owner, np.arange(len(sets) + 1))
+        roots, n = np.unique(root, return_counts=True)
+        flag = np.zeros(len(often), dtype=bool)
+        for i in np.flatnonzero(root != roots[n.argmax()]):  # pairs of the commonest root are linked already
+            own = codes[starts[i] : starts[i + 1]]
+            if own.size < similarity * sizes[i]:
+                continue
+            flag[own] = True
+            both = np.bincount(owner[flag[codes]], minlength=len(sets))
+            flag[own] = False
+            for j in np.flatnonzero((both >= similarity * (sizes + sizes[i] - both)) & (root != root[i])):
+                if root[j] != root[i]:
+                    yield int(names[i]), int(names[j])
+                    root[root == root[j]] = root[i]
+
+    def run(batches):
+        held, last = [], None
+        for rows in batches:
+            links = []
+            for bucket, *row in zip(*(c.to_pylist() for c in rows.columns)):
+                if bucket != last:
+                    links += within(held) if len(held) > 1 else []
+                    held, last = [], bucket
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+        links = list(within(held)) if len(held) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Likeness = Likeness()) -> DataFrame:
+    """id and least for every row with an id: the smallest id that it is connected to by links of Jaccard similarity how.similarity or more.
+
+    Texts with equal shingle sets are one node, so copies make no pairs. A node's buckets are those of its fingerprint under covering masks
+    and its parts (see Likeness). Each node is first compared with the one set in its buckets that most others share
+    parts with; then, in buckets that still hold several components, all sets of different components are, by whole sets.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    given = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), utf8(text_col).alias("t"))
+    base = written(given.mapInArrow(_sketch(how), f"id {kind}, cls long, fp long, n int, parts array<long>, hashes binary"))
+    nodes = written(base.groupBy("cls").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("parts").alias("parts")))
+
+    covers = F.array(*[F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(m))) for t, m in enumerate(masks_of(how.radius, 0))])
+    keyed = nodes.select("cls", "n", F.explode(F.array_distinct(F.concat("parts", covers))).alias("bucket"))
+    shared = cut(keyed.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1"))
+    near = written(keyed.join(shared, "bucket"))
+    weights = cut(near.groupBy("cls").agg(F.sum("held").alias("weight")))
+    near = written(near.join(weights, "cls").select("bucket", "cls", "n", "weight"))
+    centres = cut(near.groupBy("bucket").agg(F.max(F.struct("weight", "cls", "n")).alias("c")))
+    fits = F.least("n", "c.n") >= how.similarity * F.greatest("n", "c.n")
+    pairs = near.join(centres, "bucket").where((F.col("cls") != F.col("c.cls")) & fits).groupBy("cls").agg(F.max("c").alias("c")).select(F.col("cls").alias("a"), F.col("c.cls").alias("b"))
+
+    sets = written(base.join(nodes.join(weights, "cls").select("cls", F.col("least").alias("id")), ["id", "cls"], "left_semi").dropDuplicates(["cls"]).select("cls", "hashes"))
+    sided = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+    first = cut(sided.mapInArrow(_verified(how.similarity), "a long, b long"))
+    linked = components(first).withColumnRenamed("node", "cls")
+
+    rooted = written(near.join(linked, "cls", "left").select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root")))
+
+    def still_open(of: DataFrame) -> DataFrame:
+        found = of.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows"), F.sum("n").alias("all"))
+        return cut(found.where("x <> y").select("bucket", ((F.col("rows") > how.bucket_rows) | (F.col("all") > how.bucket_hashes)).alias("large")))
+
+    left = rooted.join(still_open(rooted), "bucket")
+    again = left.where("large").join(nodes.select("cls", "parts"), "cls").select("bucket", "cls", "n", "root", F.explode("parts").alias("part")).where("part <> bucket")
+    again = written(again.select(F.xxhash64("bucket", "part").alias("bucket"), "cls", "n", "root"))
+    both = left.where("NOT large").select("bucket", "cls", "root").unionByName(again.join(still_open(again), "bucket").select("bucket", "cls", "root"))
+    dealt = both.join(sets, "cls").select("bucket", "cls", "root", "hashes").repartition("bucket").sortWithinPartitions("bucket", "cls")
+    second = dealt.mapInArrow(_bucket_sets(how.similarity), "a long, b long")
+
+    found = components(first.unionByName(second)).withColumnRenamed("node", "cls")
+    ids = cut(nodes.select("cls", "least").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
+    smallest = cut(ids.groupBy("root").agg(F.min("least").alias("smallest")))
+    of_class = cut(ids.join(smallest, "root").select("cls", "smallest"))
+    return base.select("id", "cls").join(of_class, "cls").select("id", F.col("smallest").alias("least"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Likeness = Likeness()) -> DataFrame:
+    """The rows of docs whose id is the smallest that it is connected to by near-duplicates; see similar_classes.
+
+    Rows with a null id are kept and take no part. Texts without words, null and empty ones included, are copies of each
+    other; repeated rows stay or go together. An empty table gives no rows.
+    """
+    found = similar_classes(docs, id_col, text_col, how)
+    gone = found.where(F.col("id") > F.col("least")).select(F.col("id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti")
 
 
