@@ -15,8 +15,8 @@ from .common import utf8, without
 
 #: Texts over so many characters are cut at safe boundaries before they are encoded.
 LONG_CHARS = 50_000
-#: Before white space that follows something else, and between letters and digits: no match of the pattern goes across.
-SAFE = re.compile(r"(?<=\S)(?=\s)|(?<=[^\W\d_])(?=[0-9])|(?<=[0-9])(?=[^\W\d_])")
+#: Before a blank that follows a visible ASCII sign, and between ASCII letters and digits: no match of the pattern goes across.
+SAFE = re.compile(r"(?<=[!-~])(?=[ \t\n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 
 
 @functools.cache
@@ -85,12 +85,11 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids
     so they aren't made a string here. Null ids give no bytes. A column of the new name is replaced.
     """
 
-    @F.pandas_udf("binary")
-    def run(ids):
+    @F.arrow_udf("binary")
+    def run(ids: pa.Array) -> pa.Array:
         import numpy as np
-        import pandas as pd
 
         enc = encoding(rank_file, pattern)
-        return pd.Series([enc.decode_bytes(np.frombuffer(x or b"", dtype="<u4").tolist()) for x in ids], dtype=object)
+        return pa.array([enc.decode_bytes(np.frombuffer(x.as_py() or b"", dtype="<u4").tolist()) for x in ids], pa.binary())
 
     return without(encoded, out_col).withColumn(out_col, run(ids_col))

@@ -147,15 +147,14 @@ def dedup_substrings(docs: DataFrame, how: Chunking = Chunking(), id_col: str =
     docs = without(docs, "n_chunks", "removed_spans", "removed_bytes", "g_repeated", "g_out")
     lists = repeated_chunks(docs.select(id_col, text_col), how, id_col, text_col).groupBy(id_col).agg(F.collect_list("digest").alias("g_repeated"))
 
-    @F.pandas_udf("text string, n_chunks int, removed_spans array<struct<start:int,end:int>>, removed_bytes int")
-    def strip(texts, repeated):
-        import pandas as pd
-
+    @F.arrow_udf("struct<text:string,n_chunks:int,removed_spans:array<struct<start:int,end:int>>,removed_bytes:int>")
+    def strip(texts: pa.Array, repeated: pa.Array) -> pa.Array:
         rows = []
-        for t, r in zip(texts, repeated):
-            new, n, spans = strip_repeats((t or "").encode(), set() if r is None else set(r.tolist()), how)
-            rows.append((None if t is None else new.decode() if spans else t, n, [{"start": s, "end": e} for s, e in spans], sum(e - s for s, e in spans)))
-        return pd.DataFrame(rows, columns=["text", "n_chunks", "removed_spans", "removed_bytes"])
+        for t, r in zip(texts.to_pylist(), repeated.to_pylist()):
+            new, n, spans = strip_repeats((t or "").encode(), set(r or ()), how)
+            rows.append({"text": None if t is None else new.decode() if spans else t, "n_chunks": n, "removed_spans": [{"start": s, "end": e} for s, e in spans], "removed_bytes": sum(e - s for s, e in spans)})
+        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        return pa.array(rows, pa.struct([("text", pa.string()), ("n_chunks", pa.int32()), ("removed_spans", span), ("removed_bytes", pa.int32())]))
 
     out = docs.join(lists, id_col, "left").withColumn("g_out", strip(text_col, "g_repeated"))
     kept = [F.col("g_out.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]

@@ -61,10 +61,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir. From now on the session's Arrow batches keep to BATCH_LIMITS, where it doesn't set lower ones: a
     query runs after this has returned, so the settings stay."""
     ship(spark)
-    for name, most in BATCH_LIMITS.items():
-        now = str(spark.conf.get(name, "0")).removesuffix("B")
-        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(name, str(most))
+    for limit, most in BATCH_LIMITS.items():
+        now = spark.conf.get(limit).lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(limit, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

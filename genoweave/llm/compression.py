@@ -127,12 +127,10 @@ def compression_rules(docs: DataFrame, bands: Bands = Bands(), id_col: str = "do
 def keep_good(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text") -> DataFrame:
     """The rows of docs that compression_rules keeps, with all their columns, row by row."""
 
-    @F.pandas_udf("boolean")
-    def good(texts):
-        import pandas as pd
-
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
         compress = compressor(bands)
-        return pd.Series([judged((t or "").encode(), compress, bands)[-1] for t in texts], dtype=bool)
+        return pa.array([judged((t.as_py() or "").encode(), compress, bands)[-1] for t in texts], pa.bool_())
 
     return docs.where(good(text_col))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, utf8, without
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 #: A word and the ASCII signs after it. The tokenizer always parts the two, so one word isn't encoded anew for each run of signs.
 TAILED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x9f-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
 #: Words that the normalizer leaves as they are and that stay whole: the merges alone make their ids.
@@ -185,13 +185,11 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", or
     by = np.argsort(starts)
     starts, firsts, offsets = starts[by], firsts[by], offsets[by]
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length, rank):
-        import pandas as pd
-
-        key = length.to_numpy(np.int64) * (1 << 42) + rank.to_numpy(np.int64)
+    @F.arrow_udf("struct<sequence_id:bigint,offset:bigint>")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        key = length.to_numpy(zero_copy_only=False).astype(np.int64) * (1 << 42) + rank.to_numpy(zero_copy_only=False)
         at = np.searchsorted(starts, key, side="right") - 1
-        return pd.DataFrame({"sequence_id": firsts[at] + key - starts[at], "offset": offsets[at]})
+        return pa.StructArray.from_arrays([pa.array(firsts[at] + key - starts[at]), pa.array(offsets[at])], ["sequence_id", "offset"])
 
     salts = max(8, math.ceil(max(counts.values(), default=0) / salt_rows))
     salted = pieces.withColumn("g_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,18 +43,16 @@ def range_of(splitters: np.ndarray) -> Column:
     firsts, starts = np.unique(splitters[:, 0], return_index=True)
     seconds, ends = splitters[:, 1], np.append(starts[1:], len(splitters))
 
-    @F.pandas_udf("int")
-    def place(k1, k2):
-        import pandas as pd
-
-        a, b = k1.to_numpy(np.int64), k2.to_numpy(np.int64)
+    @F.arrow_udf("int")
+    def place(k1: pa.Array, k2: pa.Array) -> pa.Array:
+        a, b = k1.to_numpy(zero_copy_only=False), k2.to_numpy(zero_copy_only=False)
         at = np.searchsorted(firsts, a, side="right")  # of the distinct first numbers, those at or below
         out = np.append(0, ends)[at]
         same = np.flatnonzero((at > 0) & (firsts[at - 1] == a)) if len(firsts) else []
         for g in np.unique(at[same]) - 1 if len(same) else []:  # rows that share a splitter's first number: by the second
             rows = same[at[same] == g + 1]
             out[rows] = starts[g] + np.searchsorted(seconds[starts[g] : ends[g]], b[rows], side="right")
-        return pd.Series(out.astype(np.int32))
+        return pa.array(out.astype(np.int32))
 
     return place("k1", "k2") if len(splitters) else F.lit(0)
 

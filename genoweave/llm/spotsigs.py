@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import without
-from .sharding import range_of
+from .common import cut, without
 
 #: Common words of four languages, the anchors; fixed values.
 ANCHORS = tuple(
@@ -69,28 +68,63 @@ def likeness(a: str, b: str, least: float = 0.0) -> Column:
     return F.when(large == 0, 1.0).when(small < least * large, 0.0).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 5_000, most_buckets: int = 10_000) -> DataFrame:
+def at_or_below(keys: list[int], value: Column) -> Column:
+    """How many of the ascending keys are at or below a value. Found in two steps, so the cost is the square root of their number."""
+    if not keys:
+        return F.lit(0)
+    w = math.isqrt(len(keys)) + 1
+    groups = [keys[i : i + w] for i in range(0, len(keys), w)]
+    tops, whole = F.array(*[F.lit(g[0]) for g in groups]), F.array(*[F.array(*map(F.lit, g)) for g in groups])
+
+    def count(of: Column) -> Column:
+        return F.size(F.filter(of, lambda k: k <= value))
+
+    return let(F.greatest(count(tops), F.lit(1)), lambda g: (g - 1) * w + count(F.element_at(whole, g)))
+
+
+def id_bucket(ids: DataFrame, rows: int, most_buckets: int, coarse: int) -> Column:
+    """A bucket number, ascending with "id", for the longs of ids: about `rows` ids each, or more where there would be over most_buckets.
+
+    Approximate quantiles cut the ids coarsely; each piece is cut into buckets of equal width, as many as its count asks for. The plan and
+    the driver have at most `coarse` figures of a kind.
+    """
+    n = ids.count()
+    share = max(rows, n / most_buckets)
+    pieces = min(coarse, math.ceil(n / share))
+    points = ids.agg(F.percentile_approx("id", [k / pieces for k in range(1, pieces)] or [0.5], 20 * coarse)).first()[0] or []
+    cuts = sorted(set(points)) if pieces > 1 else []
+    piece = at_or_below(cuts, F.col("id"))
+    found = {r.p: r for r in ids.where("id IS NOT NULL").groupBy(piece.alias("p")).agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).collect()}
+    of, base = [], 0
+    for p in range(len(cuts) + 1):
+        k = max(1, math.ceil(found[p].n / share)) if p in found else 1
+        lo, width = (float(found[p].lo), (float(found[p].hi) - float(found[p].lo)) / k or 1.0) if p in found else (0.0, 1.0)
+        of.append((base, k - 1, lo, width))
+        base += k
+    bases, lasts, los, widths = (F.array(*map(F.lit, x)) for x in zip(*of))
+    inside = let(piece, lambda p: bases[p] + F.least(lasts[p], F.greatest(F.lit(0), F.floor((F.col("id").cast("double") - los[p]) / widths[p]))).cast("int"))
+    return F.coalesce(inside, F.lit(0))
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 1_000, most_buckets: int = 100_000, coarse: int = 500) -> DataFrame:
     """id_col, text_col, g_bucket, g_hash and next_text for every row: the text of the row after it by ascending id; of the first, after the last.
 
-    Ids are dealt into buckets of neighbours by approximate quantiles, of about `rows` rows, so no task sees them all. A bucket's
-    last row takes the first text of the next bucket. Null ids come first; equal ids go by a hash of the text.
+    Ids are dealt into buckets of neighbours (see id_bucket), so no task sees them all, and texts are shuffled once. A bucket's
+    last row takes the first text of the next bucket; those first rows, one a bucket, are found on ids alone. Null ids come first; equal ids go by
+    a hash of the text.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("id"))
-    n = slim.count()
-    buckets = max(1, min(most_buckets, math.ceil(n / rows)))
-    points = slim.agg(F.percentile_approx("id", [k / buckets for k in range(1, buckets)] or [0.5], 20 * buckets)).first()[0] or []
-    cuts = [(p, -(1 << 63)) for p in sorted(set(points))]
-    first = F.lit(-(1 << 63))
-    keyed = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias(text_col)).withColumns({"k1": F.coalesce(F.col(id_col).cast("long"), first), "k2": first, "g_hash": F.xxhash64(text_col)})
-    keyed = keyed.withColumn("g_bucket", range_of(cuts)).drop("k1", "k2")
-    there = sorted(r[0] for r in slim.select(F.coalesce("id", first).alias("k1"), first.alias("k2")).select(range_of(cuts).alias("b")).distinct().collect())
-    before = F.create_map(*[F.lit(x) for pair in zip(there, [there[-1], *there[:-1]]) for x in pair]) if there else F.create_map(F.lit(0), F.lit(0))
-
-    dealt = keyed.repartition("g_bucket")
-    order = [F.asc_nulls_first(id_col), F.asc("g_hash")]
-    place = F.struct(F.col(id_col).isNotNull(), F.col(id_col), F.col("g_hash"))
-    heads = dealt.groupBy("g_bucket").agg(F.min_by(text_col, place).alias("g_head")).withColumn("g_bucket", before[F.col("g_bucket")])
-    led = dealt.withColumn("g_lead", F.lead(text_col).over(Window.partitionBy("g_bucket").orderBy(*order)))
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    bucket = id_bucket(ids, rows, most_buckets, coarse)
+    keyed = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias(text_col)).withColumns({"id": F.col(id_col).cast("long"), "g_hash": F.xxhash64(text_col)}).withColumn("g_bucket", bucket).drop("id")
+
+    place = F.struct(F.col("id").isNotNull(), "id")
+    heads = cut(ids.groupBy(bucket.alias("g_bucket")).agg(F.min(place).alias("place")).select("g_bucket", F.col("place.id").alias("g_id")))
+    around = Window.orderBy("g_bucket")  # a row of two numbers for each bucket, most_buckets at most
+    after = heads.withColumn("g_of", F.coalesce(F.lag("g_bucket").over(around), F.max("g_bucket").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    first = keyed.join(F.broadcast(after.select("g_id", "g_of", F.col("g_bucket").alias("g_own"))), F.col(id_col).cast("long").eqNullSafe(F.col("g_id")) & (F.col("g_bucket") == F.col("g_own")))
+    heads = first.groupBy(F.col("g_of").alias("g_bucket")).agg(F.min_by(text_col, "g_hash").alias("g_head"))
+
+    led = keyed.withColumn("g_lead", F.lead(text_col).over(Window.partitionBy("g_bucket").orderBy(F.asc_nulls_first(id_col), F.asc("g_hash"))))
     return led.join(heads, "g_bucket", "left").withColumn("next_text", F.coalesce("g_lead", "g_head")).drop("g_lead", "g_head")
 
 

@@ -8,7 +8,6 @@ from collections import Counter
 from collections.abc import Callable, Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +26,8 @@ LEXICON = tuple(
 LEET = str.maketrans("013457@$!", "oieastasi")
 WORD = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1{2,}")
+#: Words that a Python worker remembers.
+KNOWN_WORDS = 50_000
 MARKS = ".,;:!?\"'()"
 PREFIXES = (4, 5, 6, 7, 8)
 #: A sign in so many different words of a text is a sign of its own, with as many marks.
@@ -59,7 +60,7 @@ def known_signs(weights: Iterable[str]) -> Callable[[str], tuple[str, ...]]:
     def of_word(word: str) -> tuple[str, ...]:
         found = known.get(word)
         if found is None:
-            if len(known) > 100_000:
+            if len(known) > KNOWN_WORDS:
                 known.clear()
             core = word.strip(MARKS)
             if core.isalpha() and "!" not in word and not STRETCHED.search(core):
@@ -289,10 +290,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_c
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of docs that the model doesn't call toxic, with all their columns, row by row."""
 
-    @F.pandas_udf("boolean")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         logit = scorer(model)  # once for all batches: it remembers words
         for texts in batches:
-            yield pd.Series([logit(t or "") < 0 for t in texts], dtype=bool)
+            yield pa.array([logit(t.as_py() or "") < 0 for t in texts], pa.bool_())
 
     return docs.where(clean(text_col))
