@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import cut, utf8, written
 
 BITS = 64
+#: Up to so many rows of a number or two are broadcast to pick those that join them; for more, both sides are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def shingle_hashes(raw: bytes, shingle: int):
@@ -220,7 +222,8 @@ class Likeness:
     differences, finds few such pairs. Parts of the shingle set are compared besides: a hash deals shingles out to 2 ** k parts of two to four,
     and of the first `parts` of them a pair at 0.8 has each alike with a chance of 0.41 or more, so that
     none is with one of 3e-6. Texts of under `few` shingles have single ones instead. Large buckets, of over
-    bucket_rows sets or bucket_hashes hashes, are dealt again by each other part that their sets have.
+    bucket_rows sets or bucket_hashes hashes, are dealt again by each other part that their sets have. Sets are compared by the
+    first 32 bits of their hashes, which puts a similarity wrong by under n / 2 ** 32 for n shingles.
     """
 
     shingle: int = 5
@@ -265,13 +268,13 @@ def _sketch(how: Likeness):
             names, prints, parts, sets = [], [], [], []
             for t in b.column(1).to_pylist():
                 found = np.unique(shingle_hashes(t, how.shingle).view(">u8").astype(np.uint64))
-                sets.append(found.tobytes())
-                names.append(xxh64_digest(sets[-1], 7))
+                sets.append(np.unique((found >> np.uint64(32)).astype(np.uint32)).tobytes())
+                names.append(xxh64_digest(found.tobytes(), 7))
                 prints.append(majority(found.astype(">u8").view(np.uint8).reshape(-1, 8)))
                 parts.append(part_keys(found, how).view(np.int64))
             at = pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
             signed = [pa.array(np.frombuffer(b"".join(x), dtype=">i8").astype(np.int64)) for x in (names, prints)]
-            sizes = pa.array([len(s) // 8 for s in sets], pa.int32())
+            sizes = pa.array([len(s) // 4 for s in sets], pa.int32())
             keys = pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
             yield pa.RecordBatch.from_arrays([b.column(0), *signed, sizes, keys, pa.array(sets, pa.binary())], ["id", "cls", "fp", "n", "parts", "hashes"])
 
@@ -293,7 +296,7 @@ def _verified(similarity: float):
         import numpy as np
 
         for rows in batches:
-            read = [[np.frombuffer(x, dtype=np.uint64) for x in rows.column(k).to_pylist()] for k in (2, 3)]
+            read = [[np.frombuffer(x, dtype=np.uint32) for x in rows.column(k).to_pylist()] for k in (2, 3)]
             yield rows.select(["a", "b"]).filter(pa.array([jaccard(x, y) >= similarity for x, y in zip(*read)], pa.bool_()))
 
     return run
@@ -305,7 +308,7 @@ def _bucket_sets(similarity: float):
 
     def within(held):
         names, root = np.array([c for c, *_ in held], dtype=np.int64), np.array([r for _, r, _ in held], dtype=np.int64)
-        sets = [np.frombuffer(s, dtype=np.uint64) for *_, s in held]
+        sets = [np.frombuffer(s, dtype=np.uint32) for *_, s in held]
         sizes = np.array([s.size for s in sets])
         owner = np.repeat(np.arange(len(sets)), sizes)
         _, codes, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -342,6 +345,11 @@ def _bucket_sets(similarity: float):
     return run
 
 
+def small(numbers: DataFrame) -> DataFrame:
+    """A table on disk of a number or two a row, to be broadcast if its rows, which are counted, are few."""
+    return F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
+
+
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Likeness = Likeness()) -> DataFrame:
     """id and least for every row with an id: the smallest id that it is connected to by links of Jaccard similarity how.similarity or more.
 
@@ -359,12 +367,11 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = cut(keyed.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1"))
     near = written(keyed.join(shared, "bucket"))
     weights = cut(near.groupBy("cls").agg(F.sum("held").alias("weight")))
-    near = written(near.join(weights, "cls").select("bucket", "cls", "n", "weight"))
-    centres = cut(near.groupBy("bucket").agg(F.max(F.struct("weight", "cls", "n")).alias("c")))
+    centres = cut(near.join(weights, "cls").groupBy("bucket").agg(F.max(F.struct("weight", "cls", "n")).alias("c")))
     fits = F.least("n", "c.n") >= how.similarity * F.greatest("n", "c.n")
     pairs = near.join(centres, "bucket").where((F.col("cls") != F.col("c.cls")) & fits).groupBy("cls").agg(F.max("c").alias("c")).select(F.col("cls").alias("a"), F.col("c.cls").alias("b"))
 
-    sets = written(base.join(nodes.join(weights, "cls").select("cls", F.col("least").alias("id")), ["id", "cls"], "left_semi").dropDuplicates(["cls"]).select("cls", "hashes"))
+    sets = written(base.join(small(weights), "cls", "left_semi").groupBy("cls").agg(F.first("hashes").alias("hashes")))
     sided = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
     first = cut(sided.mapInArrow(_verified(how.similarity), "a long, b long"))
     linked = components(first).withColumnRenamed("node", "cls")
@@ -372,8 +379,10 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = written(near.join(linked, "cls", "left").select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root")))
 
     def still_open(of: DataFrame) -> DataFrame:
-        found = of.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows"), F.sum("n").alias("all"))
-        return cut(found.where("x <> y").select("bucket", ((F.col("rows") > how.bucket_rows) | (F.col("all") > how.bucket_hashes)).alias("large")))
+        """Buckets of several components; of those that hold the same sets, one."""
+        found = of.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows"), F.sum("n").alias("all"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("held"))
+        one = found.where("x <> y").groupBy("rows", "all", "held").agg(F.min("bucket").alias("bucket"))
+        return cut(one.select("bucket", ((F.col("rows") > how.bucket_rows) | (F.col("all") > how.bucket_hashes)).alias("large")))
 
     left = rooted.join(still_open(rooted), "bucket")
     again = left.where("large").join(nodes.select("cls", "parts"), "cls").select("bucket", "cls", "n", "root", F.explode("parts").alias("part")).where("part <> bucket")
@@ -396,8 +405,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     other; repeated rows stay or go together. An empty table gives no rows.
     """
     found = similar_classes(docs, id_col, text_col, how)
-    gone = found.where(F.col("id") > F.col("least")).select(F.col("id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    gone = cut(found.where(F.col("id") > F.col("least")).select(F.col("id").alias(id_col)).distinct())
+    return docs.join(small(gone), id_col, "left_anti")
 
 
 def fingerprint_hex(fp: str | Column) -> Column:

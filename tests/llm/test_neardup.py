@@ -47,7 +47,7 @@ def test_rows_of_a_bucket_are_compared_across_batches_and_roots():
     import numpy as np
     import pyarrow as pa
 
-    a, b, c = (np.arange(k, k + 100, dtype=np.uint64).tobytes() for k in (0, 50, 55))
+    a, b, c = (np.arange(k, k + 100, dtype=np.uint32).tobytes() for k in (0, 50, 55))
     rows = [(1, 1, 1, a), (1, 2, 2, b), (1, 3, 1, c), (2, 4, 4, a)]
     for size in (1, 2, 4):
         parts = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[k : k + size])], ["bucket", "cls", "root", "s"]) for k in range(0, 4, size)]
