@@ -33,7 +33,9 @@ class Bands:
         (2000, 0.445, 0.70),
         (4500, 0.415, 0.63),
         (20000, 0.385, 0.58),
-        (float("inf"), 0.355, 0.54),
+        (100_000, 0.355, 0.54),
+        (500_000, 0.335, 0.54),
+        (float("inf"), 0.31, 0.54),
     )
 
     def of(self, size: int) -> tuple[float, float]:

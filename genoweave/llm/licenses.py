@@ -229,13 +229,13 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     spark = docs.sparkSession
     model = model or fit(sampled_paragraphs(docs, limits, text_col), limits)
     classes = len(model.families) + 1
-    # without this, a line has no weight from any n-gram that could lift a family over the unknown class
-    weights = inline(spark, [{"gram": g, "w": list(w)} for g, w in model.weights.items() if max(w[:-1]) > w[-1]], "gram string, w array<double>")
+    weights = inline(spark, [{"gram": g, "w": list(w), "lifts": max(w[:-1]) > w[-1]} for g, w in model.weights.items()], "gram string, w array<double>, lifts boolean")
 
     paras = paragraphs(docs, id_col, text_col)
     telling = paras.where(F.exists("words", lambda w: w.isin(*telling_words())))  # no other line can be confirmed, so none is counted
     hits = telling.select("id", "para", F.explode(F.array_distinct(F.concat(_ngrams("words", 2), _ngrams("words", 3)))).alias("gram")).join(F.broadcast(weights), "gram")
-    sums = hits.groupBy("id", "para").agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(classes)])
+    # a line without any n-gram that lifts a family over the unknown class is of none
+    sums = hits.groupBy("id", "para").agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(classes)], F.bool_or("lifts").alias("lifted")).where("lifted")
     logits = [(F.col(f"w{k}") + model.bias[k]) / model.temperature for k in range(classes)]
     top = F.greatest(*logits)
     scored = sums.select("id", "para", F.array(*[F.exp(z - top) for z in logits]).alias("e"))

@@ -97,7 +97,8 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         encode, end, most = words_encoder(tokenizer_file), end_id.to_bytes(4, "little"), 4 * capacity
         for b in batches:
             at, piece, start, length, ids = [], [], [], [], []
-            for i, doc in enumerate(encode(b.column(1).to_pylist())):
+            texts = b.column(1).to_pylist()
+            for i, doc in enumerate(doc for k in range(0, len(texts), 200) for doc in encode(texts[k : k + 200])):
                 doc += end
                 for k, s in enumerate(range(0, len(doc), most)):
                     at.append(i)

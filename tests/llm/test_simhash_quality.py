@@ -118,6 +118,35 @@ def test_base_counts_equal_brute_force_and_bands_judge(spark):
     assert [r.kept for r in out if r.doc_id == 901] == [False]
 
 
+def test_verdicts_equal_brute_force(spark):
+    import zstandard
+
+    bands = compression.Bands()
+    rnd = np.random.default_rng(4)
+    extra = [(910 + k, (rnd.bytes(3 * k + 300).hex() + " ") * 2 + "some plain words here " * k) for k in range(40)] + [(960 + k, " ".join(str(x) for x in rnd.integers(0, 10 ** (k % 5 + 1), 900))) for k in range(20)] + [(980, " ".join("".join(map(chr, rnd.integers(33, 126, 12))) for _ in range(200)))]
+    rows = data.rows() + [r + data.rows()[0][2:] for r in extra]
+
+    def outside(raw):
+        low, high = [(a, b) for most, a, b in bands.bands if len(raw) <= most][0]
+        packed = zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw)
+        return not low <= len(packed) / len(raw) <= high
+
+    def verdict(text):
+        raw, counts = (text or "").encode(), plain_base(text)
+        if counts[0] < 50 or counts[4] > counts[0] / 2:
+            return False
+        pieces = [raw[k : k + 4096] for k in range(0, len(raw), 4096)] if len(raw) > 4096 else []
+        bad = sum(len(p) for p in pieces if len(p) >= 200 and outside(p))
+        return len(raw) < 200 or not outside(raw) and bad <= len(raw) / 2
+
+    out = compression.compression_rules(data.frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.kept) for r in out) == Counter((i, verdict(t)) for i, t, *_ in rows)
+    assert {r.kept for r in out if not r.base_failed} == {True, False}
+    assert Counter(r.doc_id for r in compression.keep_good(data.frame(spark, rows)).collect()) == Counter(i for i, t, *_ in rows if verdict(t))
+    limits = [low for _, low, _ in bands.bands]
+    assert limits == sorted(limits, reverse=True)
+
+
 def test_bands_reject_both_ends():
     import zstandard
 
