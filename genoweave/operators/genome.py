@@ -14,10 +14,8 @@ CHUNK = 1 << 16
 
 def chunked(genome: DataFrame, size: int = CHUNK) -> DataFrame:
     """(assembly, seqid, chunk_no, seq) of a genome (assembly, seqid, seq), in pieces of `size` letters."""
-    n = F.ceil(F.length("seq") / size).cast("int")
-    numbers = F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array(F.lit(0))))
-    rows = genome.select("assembly", "seqid", "seq", numbers.alias("chunk_no"))
-    return rows.withColumn("seq", F.substring(F.col("seq"), F.col("chunk_no") * size + 1, F.lit(size)))
+    pieces = F.when(F.length("seq") > 0, F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{size}}}"), 0)).otherwise(F.array("seq"))  # one pass over a sequence
+    return genome.select("assembly", "seqid", F.posexplode(pieces).alias("chunk_no", "seq"))
 
 
 def genome_index(chunks: DataFrame) -> DataFrame:

@@ -134,7 +134,9 @@ def with_exceptions(df: DataFrame, column: str, exceptions: DataFrame, snapshot:
 
 
 def stem_join(left: DataFrame, right: DataFrame, stem: str, name: str, prefer: Sequence[Column]) -> DataFrame:
-    """left with the first row of right, by prefer, whose name starts with the stem and a dot; for tables of file names."""
-    hits = left.join(F.broadcast(right), F.col(name).startswith(F.concat(F.col(stem), F.lit("."))), "left")  # a listing of files: small by its nature
+    """left with the first row of right, by prefer, whose name starts with the stem and a dot. A name is spread out to all its stems, and joined on equality."""
+    dots = F.size(F.split(name, r"\.")) - 1
+    stems = F.when(dots > 0, F.transform(F.sequence(F.lit(1), dots), lambda k: F.call_function("substring_index", F.col(name), F.lit("."), k)))
+    hits = left.join(right.select("*", F.explode(F.array_distinct(stems)).alias("g_stem")), F.col(stem) == F.col("g_stem"), "left").drop("g_stem")
     w = Window.partitionBy(*left.columns).orderBy(*prefer)
     return hits.withColumn("g_n", F.row_number().over(w)).where("g_n = 1").drop("g_n")

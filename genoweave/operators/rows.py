@@ -51,12 +51,14 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def batches(df: DataFrame, order: Sequence[str], size: int, buckets: int = 64) -> DataFrame:
+def batches(df: DataFrame, order: Sequence[str], size: int, rows: int = 200_000, most_buckets: int = 2_000) -> DataFrame:
     """df with batch: rows in order, `size` to a batch, counted from 0.
 
-    Places are counted in ranges of the first order column, whose counts are then summed up, so no task sees all rows.
+    Places are counted in ranges of the first order column, whose counts are then summed up, so no task sees all rows: a range has
+    about `rows` of them, or more where there would be over most_buckets.
     """
     first = order[0]
+    buckets = max(2, min(most_buckets, -(-df.count() // rows)))
     points = df.agg(F.percentile_approx(first, [k / buckets for k in range(1, buckets)], 50 * buckets)).first()[0] or []
     cuts = sorted(set(points))
     part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda p: p <= F.col(first))), F.lit(0)) if cuts else F.lit(0)

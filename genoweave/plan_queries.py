@@ -57,7 +57,7 @@ _END = '"end"'
 
 @query(f"""WITH s AS ({_ENS[0]}), m AS ({_ENS[1].format(_END)}), v AS (SELECT s.transcript_id, m.*, 1 AS t FROM s JOIN m ON m.transcript = s.transcript_id UNION ALL
 SELECT s.transcript_id, m.*, 0 FROM s JOIN m ON split_part(m.transcript, '.', 1) = split_part(s.transcript_id, '.', 1) WHERE NOT EXISTS (SELECT 1 FROM m x WHERE x.transcript = s.transcript_id)),
-k AS (SELECT * FROM v WHERE species = 'mouse'), r AS (SELECT transcript_id, gene_id, strand, row_number() OVER (PARTITION BY transcript_id ORDER BY t, row_ord) AS n, row_number() OVER (PARTITION BY transcript_id, gene_id ORDER BY t, row_ord) AS again, first_value(gene_id) OVER (PARTITION BY transcript_id ORDER BY t, row_ord) AS p FROM k)
+k AS (SELECT * FROM v), r AS (SELECT transcript_id, gene_id, strand, row_number() OVER (PARTITION BY transcript_id ORDER BY t, row_ord) AS n, row_number() OVER (PARTITION BY transcript_id, gene_id ORDER BY t, row_ord) AS again, first_value(gene_id) OVER (PARTITION BY transcript_id ORDER BY t, row_ord) AS p FROM k)
 SELECT transcript_id, CASE WHEN n = 1 THEN 'primary' WHEN gene_id <> p AND again = 1 THEN 'alternative' ELSE 'repeat' END AS role, gene_id, CASE WHEN strand = 1 THEN '+' ELSE '-' END AS strand, NULL AS reason FROM r
 UNION ALL SELECT transcript_id, 'primary', NULL, NULL, 'ensembl_not_found' FROM s WHERE transcript_id NOT IN (SELECT transcript_id FROM r)""")
 def q_plan_ensembl(spark, d):
@@ -145,7 +145,7 @@ def q_plan_genbank(spark, d):
 @query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 6 = 0 THEN 'no_genomic_accession' WHEN o_custkey % 10 = 0 THEN 'no_assembly' WHEN o_orderkey % 3 > 0 AND o_custkey % 4 > 0 THEN 'not_in_annotation' END AS reason, o_orderkey % 6 > 0 AND o_custkey % 10 > 0 AND o_orderkey % 3 > 0 AND o_custkey % 4 = 0 AS is_ambiguous FROM orders""")
 def q_plan_abandoned(spark, d):
     left = view(spark, d, "SELECT o_orderkey AS k, concat('XM_', o_orderkey) AS transcript_id, 'r' AS reason, 'unresolved' AS status FROM orders")
-    records = view(spark, d, "SELECT concat('XM_', o_orderkey) AS accession, CASE WHEN o_orderkey % 6 > 0 THEN concat('NC_', o_custkey) END AS genomic, array('none', concat('g', o_custkey)) AS gene_ids FROM orders")
+    records = view(spark, d, "SELECT concat('XM_', o_orderkey) AS accession, CASE WHEN o_orderkey % 6 > 0 THEN concat('NC_', o_custkey) END AS genomic, array('none', concat('g', o_custkey), concat('g', o_custkey - 4)) AS gene_ids FROM orders")
     assemblies = view(spark, d, "SELECT concat('NC_', c_custkey) AS genomic, concat('A', c_custkey % 5) AS assembly FROM customer WHERE c_custkey % 10 > 0")
     by_tx = view(spark, d, f"SELECT concat('A', o_custkey % 5) AS assembly, concat('XM_', o_orderkey) AS transcript_id, 'g' AS gene_id, {place('o_orderkey')} FROM orders WHERE o_orderkey % 3 = 0")
     by_gene = view(spark, d, f"SELECT concat('A', c_custkey % 5) AS assembly, concat('g', c_custkey) AS gene, 'g' AS gene_id, {place('c_custkey')} FROM customer WHERE c_custkey % 4 = 0")
@@ -154,7 +154,7 @@ def q_plan_abandoned(spark, d):
 
 # ---- merge and reports ----
 
-_STREAM = "SELECT 't' || cast({k} % {m} AS string) AS transcript_id, '{s}' AS db_source, CASE WHEN {k} % 5 = 0 THEN ' ' ELSE 'c' END AS chrom, {k} AS start, {k} + 9 AS {end}, 'N' || cast({k} % 10 AS string) AS assembly_name, '{s}' || cast({k} AS string) AS gene_id FROM {t}"
+_STREAM = "SELECT {k} * 7919 % 1009 * 10000 + {k} AS row_ord, 't' || cast({k} % {m} AS string) AS transcript_id, '{s}' AS db_source, CASE WHEN {k} % 5 = 0 THEN ' ' ELSE 'c' END AS chrom, {k} AS start, {k} + 9 AS {end}, 'N' || cast({k} % 10 AS string) AS assembly_name, '{s}' || cast({k} AS string) AS gene_id FROM {t}"
 _PARTS = (("s_suppkey", 60, "supplier", "a"), ("c_custkey", 900, "customer", "b"), ("p_partkey", 1700, "part", "z"))
 
 
@@ -162,7 +162,7 @@ def _streams(end: str) -> list[str]:
     return [_STREAM.format(k=k, m=m, t=t, s=s, end=end) for k, m, t, s in _PARTS]
 
 
-@query(f"""WITH u AS ({" UNION ALL ".join(f"SELECT *, {p} AS p FROM ({s})" for p, s in enumerate(_streams(_END)))}), g AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY p, chrom, start, "end", gene_id) AS n FROM u WHERE trim(chrom) <> '')
+@query(f"""WITH u AS ({" UNION ALL ".join(f"SELECT *, {p} AS p FROM ({s})" for p, s in enumerate(_streams(_END)))}), g AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY p, row_ord) AS n FROM u WHERE trim(chrom) <> '')
 SELECT transcript_id, gene_id, CASE WHEN assembly_name IN ('N1', 'N2', 'N3') THEN 'GCF_' || assembly_name END AS assembly_accession, NULL AS reason, 1 AS rows FROM g WHERE n = 1
 UNION ALL SELECT NULL, db_source, NULL, 'missing_coordinates', count(*) FROM u WHERE trim(chrom) = '' GROUP BY 2""")
 def q_plan_merge(spark, d):
@@ -216,3 +216,14 @@ def q_plan_phytozome_species(spark, d):
     p = view(spark, d, "SELECT concat('Zm', p_partkey) AS k, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' ELSE 'x' END AS species_hint FROM part")
     hint = F.when(F.col("species_hint").isin("zea_mays"), F.col("species_hint"))
     return p.select("k", F.coalesce(hint, ids.prefix_species(F.col("k"), rules.PHYTOZOME_PREFIXES)).alias("species"))
+
+
+_SB = "SELECT CASE WHEN p_partkey % 3 = 0 THEN 'Sb' ELSE 'qq' END || cast(p_partkey AS string) AS transcript_id, CASE WHEN p_partkey % 4 = 0 THEN 'zea_mays' ELSE 'none' END AS species_hint, 'plant' AS db_source, CASE WHEN p_partkey % 2 = 0 THEN 'no_gtf_source:x' ELSE 'plant_gtf_not_found' END AS reason, 'unresolved' AS status, p_partkey AS k FROM part"
+
+
+@query("SELECT k, CASE WHEN k % 4 = 0 THEN CASE WHEN k % 5 > 0 THEN NULL ELSE 'phytozome_not_found' END WHEN k % 3 > 0 THEN 'species_unknown' END AS reason, CASE WHEN k % 4 = 0 THEN CASE WHEN k % 5 > 0 THEN 'z' || k END WHEN k % 3 = 0 THEN 's' || k END AS gene_id FROM (SELECT p_partkey AS k FROM part) WHERE k % 2 = 0")
+def q_plan_phytozome(spark, d):
+    left = view(spark, d, _SB)
+    index = [f"SELECT '{s}' AS species, transcript_id AS key, concat('{g}', k) AS gene_id, {place('k')} FROM ({_SB}) t WHERE {w}" for s, g, w in (("zea_mays", "z", "k % 5 > 0"), ("sorghum_bicolor", "s", "k % 3 = 0"))]
+    out = resolve.phytozome(left, view(spark, d, index[0]).unionByName(view(spark, d, index[1])), ["zea_mays"], strict=False)
+    return out.select("k", "reason", F.when(F.col("reason").isNull(), F.col("gene_id")).alias("gene_id"))

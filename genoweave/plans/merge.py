@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.rules import NULL_TOKENS
 from ..functions.text import cache_key, clean_null, log_failure
@@ -19,17 +20,18 @@ URL_COLUMNS = ("assembly_accession", "fasta_url", "gtf_url", "gtf_format")
 
 
 def to_canonical(df: DataFrame, aliases: Mapping[str, str] = ALIASES, defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """A resolver's rows in the columns of all: other names taken up, defaults set, what's missing null."""
+    """A resolver's rows in the columns of all: other names taken up, defaults set, what's missing null. A row_ord, their order, stays."""
     out = with_defaults(alias_filled(df, aliases), defaults or {})
-    out = conform(out, RESOLVED, false=["is_ambiguous"])
+    out = conform(out, StructType([*RESOLVED, StructField("row_ord", LongType())]) if "row_ord" in df.columns else RESOLVED, false=["is_ambiguous"])
     return nulled(out, "assembly_accession", "EnsemblPlants")
 
 
-def merge(streams: Sequence[DataFrame], url_tables: Sequence[tuple[DataFrame, bool]], rejected: Sequence[DataFrame], unknown: DataFrame, row_ord: str = "transcript_id") -> dict[str, DataFrame]:
+def merge(streams: Sequence[DataFrame], url_tables: Sequence[tuple[DataFrame, bool]], rejected: Sequence[DataFrame], unknown: DataFrame) -> dict[str, DataFrame]:
     """resolved, not_found, unmatched and unresolved of all resolvers' canonical rows, in order of priority.
 
     Rows without coordinates go to not_found. Addresses are filled from the tables by assembly name and, where a table allows
-    it, by organism. Of rows with the same identifier that of the first stream counts. Without an accession the address's key is one.
+    it, by organism. Of rows with the same identifier that of the first stream counts, and of a stream's the first by row_ord, or, where
+    it has none, the smallest by its place and gene. Without an accession the address's key is one.
     """
     routed = coordinates_given(in_priority_order(streams))
     good = taken(routed)
@@ -38,7 +40,8 @@ def merge(streams: Sequence[DataFrame], url_tables: Sequence[tuple[DataFrame, bo
         good = fill_from(good, dim, ["assembly_name", "organism"] if by_organism else ["assembly_name"], URL_COLUMNS, ["assembly_name", "organism", "fasta_url"])
     accession = clean_null(F.col("assembly_accession"), NULL_TOKENS)
     good = good.withColumn("assembly_accession", F.coalesce(accession, cache_key(clean_null(F.col("fasta_url"), NULL_TOKENS))))
-    resolved = keep_first(good, ["transcript_id"], ["stream_prio", "chrom", "start", "end", "gene_id", row_ord]).drop("stream_prio")
+    order = ["row_ord"] if "row_ord" in good.columns else []
+    resolved = keep_first(good, ["transcript_id"], ["stream_prio", *order, "chrom", "start", "end", "gene_id"]).drop("stream_prio", "row_ord")
     not_found = lost
     for r in rejected:
         not_found = not_found.unionByName(rejects_of(r))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, rules
 from ..functions.text import ensembl_urls, map_values, non_empty, region, species_of_reason, strand_of_number, whole
-from ..operators.joins import expanded, first_match_join, first_source_join, lookup_chain, two_probes, versioned_then_base
+from ..operators.joins import first_match_join, first_source_join, lookup_chain, two_probes, versioned_then_base
 from ..operators.rows import first_present, keep_first, map_or_reject, matching, prefixed_or_inferred, route
 from ..operators.summaries import ambiguity, ambiguous_by_count, guard, match_rates
 
@@ -99,11 +99,11 @@ def ensembl_species(classified: DataFrame, prefixes: DataFrame) -> tuple[DataFra
 def ensembl(species_map: DataFrame, mart: DataFrame) -> DataFrame:
     """Ensembl identifiers by the marts' rows (species, transcript, COORDS with strand as 1 or -1, row_ord).
 
-    With versions, or, only where that finds nothing, without. Several genes make a row ambiguous: see role.
+    Looked up in the marts of all species: with versions, or, only where that finds nothing, without. Several genes make a row ambiguous: see role.
     """
     signed = mart.withColumn("strand", strand_of_number(F.col("strand").cast("string")))
     hits = versioned_then_base(species_map, signed.withColumnRenamed("species", "mart_species"), "transcript_id", "transcript")
-    ranked = ambiguity(hits.where("species = mart_species"), "transcript_id", "gene_id", ["match_type", "row_ord"])
+    ranked = ambiguity(hits, "transcript_id", "gene_id", ["match_type", "row_ord"])
     lost = species_map.join(ranked.select("transcript_id").distinct(), "transcript_id", "left_anti")
     out = ranked.unionByName(lost, allowMissingColumns=True)
     return route(out.withColumn("role", F.coalesce("role", F.lit("primary"))), [(F.col("matched_transcript").isNull(), "ensembl_not_found")])
@@ -224,8 +224,8 @@ def abandoned_third_pass(unresolved: DataFrame, records: DataFrame, assemblies:
     rows = unresolved.drop("reason", "status").join(records.withColumnRenamed("accession", "transcript_id"), "transcript_id", "left").join(assemblies, "genomic", "left")
     a = by_transcript.select("assembly", "transcript_id", F.struct(*COORDS).alias("g_a"))
     rows = rows.join(a, ["assembly", "transcript_id"], "left")
-    spread = expanded(rows.select("transcript_id", "assembly", "gene_ids"), "gene_ids", by_gene.select("gene", "assembly", F.struct(*COORDS).alias("g_b")).withColumnRenamed("assembly", "g_assembly"), "gene", ["transcript_id"])
-    b = spread.where("assembly = g_assembly").groupBy("transcript_id").agg(F.min_by("g_b", "gene").alias("g_b"))
+    spread = rows.select("transcript_id", "assembly", F.posexplode("gene_ids").alias("g_pos", "gene")).join(by_gene.select("gene", "assembly", F.struct(*COORDS).alias("g_b")), ["gene", "assembly"])
+    b = spread.groupBy("transcript_id").agg(F.min_by("g_b", F.struct("g_pos", "g_b")).alias("g_b"))  # the first gene of the record's list
     rows = rows.join(b, "transcript_id", "left").withColumn("g_hit", F.coalesce("g_a", "g_b"))
     out = rows.select(*[c for c in rows.columns if not c.startswith("g_")], *[F.col(f"g_hit.{c}").alias(c) for c in COORDS], (F.col("g_a").isNull() & F.col("g_b").isNotNull()).alias("is_ambiguous"))
     return route(out, [(F.col("genomic").isNull(), "no_genomic_accession"), (F.col("assembly").isNull(), "no_assembly"), (F.col("chrom").isNull(), "not_in_annotation")])

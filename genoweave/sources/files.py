@@ -41,6 +41,12 @@ def fasta(spark: SparkSession, path: str | Sequence[str], row_ord: bool = True)
     return raw.select(*_record(F.col("value"), F.col("path")), "row_ord") if row_ord else raw.select(*_record(F.col("value"), F.col("path")))
 
 
+def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(value, row_ord) of the lines of text files; row_ord orders them by file name and, in a file, by place, however Spark deals files out."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", place.alias("row_ord"))
+
+
 def fasta_ids(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, id) of the header lines alone."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.col("value").startswith(">"))
@@ -113,7 +119,7 @@ def annotation(spark: SparkSession, path: str | Sequence[str], features: Sequenc
 
     Comments, sequences and lines with fewer than nine fields are left out.
     """
-    lines = spark.read.text(path).withColumn("row_ord", F.monotonically_increasing_id()).where(~F.col("value").rlike("^[#>]") & (F.trim("value") != ""))
+    lines = placed_lines(spark, path).where(~F.col("value").rlike("^[#>]") & (F.trim("value") != ""))
     f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     rows = lines.select(f.alias("f"), "row_ord").where(F.size("f") >= 9)
     if features:
@@ -141,7 +147,7 @@ def annotation_values(gff: DataFrame) -> DataFrame:
 
 def bed(spark: SparkSession, path: str | Sequence[str], one_based: bool = True) -> DataFrame:
     """(name, chrom, start, end, strand, row_ord) of BED lines with six fields or more, start counted from 1 (or as it stands)."""
-    return bed_lines(spark.read.text(path).withColumn("row_ord", F.monotonically_increasing_id()), one_based)
+    return bed_lines(placed_lines(spark, path), one_based)
 
 
 def bed_lines(lines: DataFrame, one_based: bool = True) -> DataFrame:
@@ -160,7 +166,7 @@ def bed_archive(spark: SparkSession, path: str) -> DataFrame:
 def pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(key, value) of a file of two words a line; the last line of a key counts."""
     f = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(path).withColumn("row_ord", F.monotonically_increasing_id()).select(f.alias("f"), "row_ord").where(F.size("f") >= 2)
+    rows = placed_lines(spark, path).select(f.alias("f"), "row_ord").where(F.size("f") >= 2)
     return keep_last(rows.select(F.col("f")[0].alias("key"), F.col("f")[1].alias("value"), "row_ord"), ["key"], ["row_ord"]).drop("row_ord")
 
 
@@ -172,7 +178,7 @@ def fai(spark: SparkSession, path: str | Sequence[str], assembly: str) -> DataFr
 def assembly_report(spark: SparkSession, path: str | Sequence[str], assembly: str) -> DataFrame:
     """(assembly, row_ord, sequence_name, role, molecule, genbank, refseq, ucsc_name) of an assembly report; short lines are left out."""
     f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
-    rows = spark.read.text(path).withColumn("row_ord", F.monotonically_increasing_id()).where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(f.alias("f"), "row_ord").where(F.size("f") > 6)
+    rows = placed_lines(spark, path).where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(f.alias("f"), "row_ord").where(F.size("f") > 6)
     cell = lambda k: F.get("f", F.lit(k))
     return rows.select(F.lit(assembly).alias("assembly"), "row_ord", *[cell(k).alias(n) for k, n in ((0, "sequence_name"), (1, "role"), (2, "molecule"), (4, "genbank"), (6, "refseq"), (9, "ucsc_name"))])
 

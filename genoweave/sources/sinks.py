@@ -6,7 +6,7 @@ import html
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import batches
@@ -35,10 +35,20 @@ def in_batches(df: DataFrame, path: str, order: Sequence[str], size: int, mode:
     return df.sparkSession.read.parquet(path).groupBy("batch").agg(F.count("*").alias("n"))
 
 
+def small_text(text: str, path: str) -> None:
+    """A text of the driver's as one file, on whatever file system the path names."""
+    spark = SparkSession.active()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def status(path: str, **values: object) -> None:
     """key=value lines, written by the driver."""
-    with open(path, "w") as f:
-        f.writelines(f"{k}={v}\n" for k, v in values.items())
+    small_text("".join(f"{k}={v}\n" for k, v in values.items()), path)
 
 
 def manifest(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -62,8 +72,7 @@ def html_table(df: DataFrame, most: int = 25, more: str = "") -> str:
 def html_report(title: str, sections: Sequence[tuple[str, DataFrame]], path: str) -> None:
     """A page of tables, each at most 25 rows."""
     parts = [f"<h2>{html.escape(name)}</h2>{html_table(df)}" for name, df in sections]
-    with open(path, "w") as f:
-        f.write(f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>{''.join(parts)}")
+    small_text(f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>{''.join(parts)}", path)
 
 
 def report_json(df: DataFrame) -> str:

@@ -228,6 +228,30 @@ def test_merging_prefers_early_streams_and_fills_addresses(spark):
     assert report["equations"].first().holds and report["funnel"].first().input == 7
 
 
+def test_first_rows_count_by_their_order(spark, tmp_path):
+    cols = "transcript_id string, db_source string, chrom string, start long, end long, gene_id string, row_ord long"
+    a = merge.to_canonical(spark.createDataFrame([("t", "ncbi", "1", 1, 2, "late", 9), ("t", "ncbi", "7", 5, 6, "early", 3)], cols))
+    b = merge.to_canonical(spark.createDataFrame([("t", "plant", "0", 0, 1, "other", 0), ("u", "plant", "2", 1, 2, "only", 0)], cols))
+    unknown = spark.createDataFrame([], schemas.UNKNOWN)
+    out = merge.merge([a, b], [], [], unknown)["resolved"]
+    assert out.columns == [f.name for f in schemas.RESOLVED] and {(r.transcript_id, r.gene_id) for r in out.collect()} == {("t", "early"), ("u", "only")}
+
+    left = spark.createDataFrame([("x", "r", "unresolved")], "transcript_id string, reason string, status string")
+    records = spark.createDataFrame([("x", "NC", ["none", "zz", "aa"])], "accession string, genomic string, gene_ids array<string>")
+    coords = "gene_id string, gene_symbol string, chrom string, start long, end long, strand string"
+    genes = spark.createDataFrame([("A", g, g, "s", "1", 1, 2, "+") for g in ("aa", "zz")], f"assembly string, gene string, {coords}")
+    none = spark.createDataFrame([], f"assembly string, transcript_id string, {coords}")
+    assert [r.gene_id for r in resolve.abandoned_third_pass(left, records, spark.createDataFrame([("NC", "A")], "genomic string, assembly string"), none, genes).collect()] == ["zz"]
+
+    species = spark.createDataFrame([("ENSMUST1.2", "ENSMUST", "mouse", "m39")], "transcript_id string, prefix string, species string, build string")
+    mart = spark.createDataFrame([("rat", "ENSMUST1.2", "g1", "a", "1", 1, 2, 1, 1), ("mouse", "ENSMUST1.9", "g2", "b", "1", 3, 4, -1, 2)], "species string, transcript string, gene_id string, gene_symbol string, chrom string, start long, end long, strand int, row_ord long")
+    assert [(r.gene_id, r.reason) for r in resolve.ensembl(species, mart).collect()] == [("g1", None)]  # any species' mart
+
+    for k in range(30):
+        (tmp_path / f"f{k:02}.txt").write_text("key v%d\n" % k + "x y\n" * (300 if k % 7 == 0 else 1))
+    assert {r.key: r.value for r in files.pairs(spark, str(tmp_path)).collect()} == {"key": "v29", "x": "y"}
+
+
 def test_species_resolvers(spark):
     cols = "species string, key string, gene_id string, gene_symbol string, chrom string, start long, end long, strand string"
     index = spark.createDataFrame([("zea_mays", f"Zm{i}", f"g{i}", "s", "1", 1, 2, "+") for i in range(3)], cols)
