@@ -230,3 +230,145 @@ NONCODE_V4 = {
     "NONHSA": ("Homo sapiens", "hg19"),
     "NONMMU": ("Mus musculus", "mm9"),
 }
+
+# Places spelt out in headers and identifiers, and the names of each pattern's groups.
+WORMBASE_PLACE = (r"(?i)^([^_]+)_wormbase:known_chromosome:(WBcel\d+):([^:]+):(\d+):(\d+):.*gene:(WBGene\d+)", ("gene_symbol", "assembly_accession", "chrom", "start", "end", "gene_id"))
+TAIR_PLACE = (r"(?i)chromosome:(TAIR10):([^:]+):(\d+):(\d+):([-+_]?1)\s+gene:(AT\dG\d+)", ("assembly_accession", "chrom", "start", "end", "strand", "gene_id"))
+FLYBASE_PLACE = (r"(?i)chromosome:([^:]+):([^:]+):(\d+):(\d+):([-+_]?1)\s+gene:(FBgn\d+).*?gene_symbol:([^\s]+)", ("assembly_accession", "chrom", "start", "end", "strand", "gene_id", "gene_symbol"))
+
+# The features of a yeast annotation that stand for genes.
+YEAST_FEATURES = ("gene", "pseudogene", "transposable_element_gene", "blocked_reading_frame", "long_terminal_repeat")
+
+# Prefix, species and build of Ensembl transcripts. Prefixes that end in a digit or in G are left out: no transcript's prefix does.
+ENSEMBL_PREFIXES = [tuple(line.split(None, 2)) for line in """
+ENST homo_sapiens GRCh38
+ENSPTRT pan_troglodytes Pan_tro_3.0
+ENSPANT pan_paniscus panpan1.1
+ENSGGOT gorilla_gorilla gorGor4
+ENSPPYT pongo_abelii Susie_PABv2
+ENSNLET nomascus_leucogenys Nleu_3.0
+ENSMICT microcebus_murinus Mmur_3.0
+ENSOGAT otolemur_garnettii OtoGar3
+ENSCJAT callithrix_jacchus mCalJac1.pat.X
+ENSMMUT macaca_mulatta Mmul_10
+ENSMFAT macaca_fascicularis Macaca_fascicularis_6.0
+ENSANOT aotus_nancymaae Anan_2.0
+ENSSBOT saimiri_boliviensis_boliviensis SaiBol1.0
+ENSCCET cebus_imitator Cebus_imitator-1.0
+ENSCSAT chlorocebus_sabaeus ChlSab1.1
+ENSPHAT papio_anubis Panubis1.0
+ENSTSYT theropithecus_gelada Tgel_1.0
+ENSMNET mandrillus_leucophaeus Mleu.le_1.0
+ENSCATT colobus_angolensis_palliatus Cang.pa_1.0
+ENSPINGT piliocolobus_tephrosceles ASM277652v2
+ENSREXT rhinopithecus_roxellana Rrox_v1
+ENSNASAT nasalis_larvatus ASM242139v1
+ENSMUST mus_musculus GRCm39
+ENSMSPRT mus_spretus SPRET_EiJ_v1
+ENSMPAHT mus_pahari PAHARI_EiJ_v1
+ENSMCART mus_caroli CAROLI_EiJ_v1
+ENSRNOT rattus_norvegicus mRatBN7.2
+ENSCPOT cavia_porcellus Cavpor3.0
+ENSOCUNT octodon_degus OctDeg1.0
+ENSCAST castor_canadensis C.can_genome_v1.0
+ENSDORT dipodomys_ordii Dord_2.0
+ENSPEMOT peromyscus_maniculatus_bairdii HU_Pman_2.1
+ENSMOCET microtus_ochrogaster MicOch1.0
+ENSNFORT nannospalax_galili S.galili_v1.0
+ENSMAVGT marmota_marmota_marmota marMar2.1
+ENSUAMGT urocitellus_parryii ASM342692v1
+ENSICGT ictidomys_tridecemlineatus SpeTri2.0
+ENSFCDT fukomys_damarensis DMR_v1.0
+ENSHETGT heterocephalus_glaber_female HetGla_female_1.0
+ENSOHANT ochotona_princeps OchPri3.0
+ENSCAFT canis_lupus_familiaris ROS_Cfam_1.0
+ENSVVUT vulpes_vulpes VulVul2.2
+ENSMPET mustela_putorius_furo MusPutFur1.0
+ENSNVIT neovison_vison NNQGG.v01
+ENSAMET ailuropoda_melanoleuca ASM200744v2
+ENSUPMT ursus_maritimus UrsMar_1.0
+ENSUPAT ursus_americanus ASM334442v1
+ENSFCAT felis_catus Felis_catus_9.0
+ENSPLOT puma_concolor PumCon1.0
+ENSLPAT lynx_pardinus mLynPar1.p
+ENSTTRT trichechus_manatus_latirostris TriManLat1.0
+ENSLABT loxodonta_africana loxAfr3
+ENSPVAT procavia_capensis proCap1
+ENSOGAST orycteropus_afer_afer OryAfe1.0
+ENSDDST dasypus_novemcinctus Dasnov3.0
+ENSCHOET choloepus_hoffmanni choHof1
+ENSBTRT bos_taurus ARS-UCD1.3
+ENSBGRT bos_grunniens LU_Bosgru_v3.0
+ENSOGLT ovis_aries_rambouillet Oar_rambouillet_v1.0
+ENSCCHT capra_hircus ARS1
+ENSSSCRT sus_scrofa Sscrofa11.1
+ENSWAFT vicugna_pacos vicPac1
+ENSLCAT lama_glama mLamGla1.p
+ENSECBT equus_caballus EquCab3.0
+ENSEAFT equus_asinus ASM1607732v2
+ENSCDRT camelus_dromedarius CamDro3
+ENSDNOT delphinapterus_leucas ASM228892v3
+ENSOORT orcinus_orca Oorc_1.1
+ENSLHKT lipotes_vexillifer Lipotes_vexillifer_v1
+ENSSHRT sorex_araneus SorAra2.0
+ENSCPUT condylura_cristata ConCri1.0
+ENSTOGT tupaia_belangeri TREESHREW 1.0
+ENSRTPT rhinolophus_ferrumequinum mRhiFer1_v1.p
+ENSMYLT myotis_lucifugus Myoluc2.0
+ENSMVIT miniopterus_natalensis MiniNat1.0
+ENSETST erinaceus_europaeus eriEur1
+ENSSGAT sarcophilus_harrisii mSarHar1.11
+ENSSHAWT monodelphis_domestica monDom5
+ENSMEUGAT macropus_eugenii Meug_1.0
+ENSOANT ornithorhynchus_anatinus mOrnAna1.p.v1
+ENSGALT gallus_gallus bGalGal1.mat.broiler.GRCg7b
+ENSMGALT meleagris_gallopavo Turkey_5.1
+ENSAMPT anas_platyrhynchos CAU_duck1.0
+ENSAACT aquila_chrysaetos_chrysaetos bAquChr1.2
+ENSFALT ficedula_albicollis FicAlb1.5
+ENSGMOT geospiza_fortis GeoFor1.0
+ENSTGUT taeniopygia_guttata bTaeGut2.pat.W
+ENSPCAT pseudopodoces_humilis PseHum1.0
+ENSMLEUT manacus_vitellinus ManVit1.0
+ENSFHETT falco_tinnunculus bFalTin1.pri
+ENSACOT antrostomus_carolinensis ASM69998v1
+ENSANCT anolis_carolinensis AnoCar2.0
+ENSPSVT pogona_vitticeps pVitVit3.0
+ENSCRCT crocodylus_porosus CroPor_comp1
+ENSGGAT gopherus_agassizii ASM289641v1
+ENSCMYT chelonia_mydas CheMyd1.0
+ENSPMYT pelodiscus_sinensis PelSin1.0
+ENSPTYT python_bivittatus Python_molurus_bivittatus-5.0.2
+ENSXETT xenopus_tropicalis UCB_Xtro_10.0
+ENSDART danio_rerio GRCz11
+ENSGMORT gasterosteus_aculeatus BROADS1
+ENSORLT oryzias_latipes ASM223467v1
+ENSONIT oreochromis_niloticus O_niloticus_UMD_NMBU
+ENSAMXT astyanax_mexicanus Astyanax_mexicanus-2.0
+ENSPOCT poecilia_reticulata Guppy_female_1.0_MT
+ENSPFOT poecilia_formosa Poecilia_formosa-5.1.2
+ENSSART sparus_aurata fSpaAur1.1
+ENSSFAT scophthalmus_maximus fScoMax1.pri
+ENSXMAT xiphophorus_maculatus X_maculatus-5.0-male
+ENSLCALT lates_calcarifer ASB_HGAfBa0_CSIRO
+ENSNOBT nothobranchius_furzeri Nfu_20140520
+ENSECALT eptatretus_burgeri Eburgeri_3.2
+ENSPMAT petromyzon_marinus Pmarinus_7.0
+ENSCALT callorhinchus_milii Callorhinchus_milii-6.1.3
+ENSPSIT protopterus_annectens ProtAnn1.0
+ENSLOCT lepisosteus_oculatus LepOcu1
+ENSCCAT cyprinus_carpio common_carp_genome
+ENSICPT ictalurus_punctatus IpCoco_1.2
+ENSASIT astatotilapia_calliptera fAstCal1.2
+ENSOKAT oncorhynchus_kisutch Okis_V2
+ENSOMT oncorhynchus_mykiss Omyk_1.0
+ENSSSAT salmo_salar Ssal_v3.1
+ENSCLACT clupea_harengus Ch_v2.0.2
+ENSMZET maylandia_zebra M_zebra_UMD2a
+ENSHCULT haplochromis_burtoni AstBur1.0
+ENSTRUPT takifugu_rubripes fTakRub1.2
+ENSTNIGET tetraodon_nigroviridis TETRAODON 8.0
+ENSOULT oryzias_melastigma Om_v0.7.RACA
+ENSCSAVT ciona_savignyi CSAV 2.0
+ENSCINTT ciona_intestinalis KH
+""".strip().splitlines()]

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, rules
-from ..functions.text import ensembl_urls, map_values, non_empty, region, species_of_reason, strand_of_number, whole
+from ..functions.text import ensembl_urls, map_values, non_empty, region, species_of_reason, strand, strand_of_number, whole
 from ..operators.joins import first_match_join, first_source_join, lookup_chain, two_probes, versioned_then_base
 from ..operators.rows import first_present, keep_first, map_or_reject, matching, prefixed_or_inferred, route
 from ..operators.summaries import ambiguity, ambiguous_by_count, guard, match_rates
@@ -24,24 +24,58 @@ def by_annotation(classified: DataFrame, index: DataFrame, db_source: str, organ
     """The rows of a source, resolved by the first candidate that the annotation's index has.
 
     assembly gives assembly_name, assembly_accession, fasta_url, gtf_url and gtf_format as far as known. pre_resolved has
-    (transcript_id, COORDS) of rows that need no lookup.
+    (transcript_id, COORDS) of rows that need no lookup, once each; where it has organism, assembly_accession or db_source too,
+    those count, and the assembly's other values are null there.
     """
     rows = classified.where(F.col("db_source") == db_source)
     hit = first_match_join(rows, index, candidates(F.col("transcript_id")), ["transcript_id"])
+    fixed = ("assembly_name", "assembly_accession", "fasta_url", "gtf_url", "gtf_format")
+    values = {k: F.lit(assembly.get(k)).cast("string") for k in fixed} | {"organism": F.lit(organism), "is_ambiguous": F.lit(False)}
+    hit = hit.withColumns(values)
     if pre_resolved is not None:
-        early = pre_resolved.select("transcript_id", *[F.col(c).alias(f"g_{c}") for c in COORDS])
-        hit = hit.join(early, "transcript_id", "left").withColumns({c: F.coalesce(F.col(f"g_{c}"), F.col(c)) for c in COORDS})
-    constant = {k: F.lit(assembly.get(k)).cast("string") for k in ("assembly_name", "assembly_accession", "fasta_url", "gtf_url", "gtf_format")}
-    hit = hit.withColumns(constant | {"organism": F.lit(organism), "is_ambiguous": F.lit(False)})
+        own = [c for c in ("organism", "assembly_accession", "db_source") if c in pre_resolved.columns]
+        early = pre_resolved.select("transcript_id", F.struct(*COORDS, *own).alias("g_early"))
+        there = F.col("g_early").isNotNull()
+        hit = hit.join(early, "transcript_id", "left").withColumns({c: F.when(there, F.col(f"g_early.{c}")).otherwise(F.col(c)) for c in (*COORDS, *own)})
+        if own:
+            hit = hit.withColumns({c: F.when(~there, F.col(c)) for c in fixed if c not in own})
+        hit = hit.drop("g_early")
     return route(hit, [(F.col("chrom").isNull(), reason)])
 
 
-def coordinates_in_id(classified: DataFrame, pattern: str) -> DataFrame:
-    """(transcript_id, COORDS) of identifiers that spell out their place: pattern's groups are chrom, start, end, strand and gene."""
-    part = [F.regexp_extract("raw_header", pattern, k) for k in range(1, 6)]
-    rows = classified.where(F.col("raw_header").rlike(pattern))
-    sign = F.when(part[3].isin("1", "+"), "+").when(part[3].isin("-1", "-"), "-").otherwise(".")
-    return rows.select("transcript_id", part[4].alias("gene_id"), part[4].alias("gene_symbol"), part[0].alias("chrom"), part[1].try_cast("bigint").alias("start"), part[2].try_cast("bigint").alias("end"), sign.alias("strand"))
+def coordinates_in_id(classified: DataFrame, pattern: str, groups: Sequence[str], column: str = "raw_header", **values: Column) -> DataFrame:
+    """(transcript_id, COORDS, and assembly_accession if the pattern has it) of rows whose header or identifier spells out its place.
+
+    groups names the pattern's groups: chrom, start, end, gene_id, and strand, gene_symbol and assembly_accession where it has them. values are
+    columns more. Without a strand it is `.`, without a symbol that is the gene's identifier.
+    """
+    part = {n: F.regexp_extract(column, pattern, k) for k, n in enumerate(groups, 1)}
+    out = {"gene_id": part["gene_id"], "gene_symbol": part.get("gene_symbol", part["gene_id"]), "chrom": part["chrom"], "start": part["start"].try_cast("bigint"), "end": part["end"].try_cast("bigint")}
+    out["strand"] = strand(part["strand"]) if "strand" in part else F.lit(".")
+    if "assembly_accession" in part:
+        out["assembly_accession"] = part["assembly_accession"]
+    return classified.where(F.col(column).rlike(pattern)).select("transcript_id", *[c.alias(n) for n, c in (out | values).items()])
+
+
+def worm(classified: DataFrame, index: DataFrame, assembly: Mapping[str, str], organism: str = "caenorhabditis_elegans") -> DataFrame:
+    """Worm identifiers: those that spell out their place, plants' headers among them, then the annotation's index."""
+    rows = classified.where("db_source = 'wormbase'")
+    plant = F.col("transcript_id").startswith("AT") & F.col("raw_header").rlike(rules.TAIR_PLACE[0])
+    early = coordinates_in_id(rows.where(plant), *rules.TAIR_PLACE, organism=F.lit("arabidopsis_thaliana"), db_source=F.lit("plant"))
+    # a null header is no plant's
+    others = coordinates_in_id(rows.where(~F.coalesce(plant, F.lit(False))), *rules.WORMBASE_PLACE, column="transcript_id", organism=F.lit(organism), db_source=F.lit("wormbase"))
+    return by_annotation(classified, index, "wormbase", organism, assembly, ids.candidates_wormbase, "worm_gtf_not_resolved", early.unionByName(others))
+
+
+def fly(classified: DataFrame, index: DataFrame, assembly: Mapping[str, str], organism: str = "drosophila_melanogaster") -> DataFrame:
+    """Fly identifiers: those whose header spells out their place, then the annotation's index."""
+    early = coordinates_in_id(classified.where("db_source = 'flybase'"), *rules.FLYBASE_PLACE, organism=F.lit(organism))
+    return by_annotation(classified, index, "flybase", organism, assembly, ids.candidates_generic, "fly_gtf_not_resolved", early)
+
+
+def yeast(classified: DataFrame, index: DataFrame, assembly: Mapping[str, str], organism: str = "saccharomyces_cerevisiae") -> DataFrame:
+    """Yeast identifiers by the annotation's index (see rules.YEAST_FEATURES for the features it is made of)."""
+    return by_annotation(classified, index, "sgd", organism, assembly, ids.candidates_yeast, "sgd_gtf_not_resolved")
 
 
 def plants(classified: DataFrame, index: DataFrame, strict: bool = True) -> DataFrame:
@@ -70,14 +104,44 @@ def _by_species(rows: DataFrame, index: DataFrame, candidates: Callable[[Column]
     return out
 
 
-def plant_metadata(classified: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Plants by the marts' table (transcript_id, COORDS, assembly_accession): its transcripts and genes are keys, transcripts first."""
+def plant_metadata(classified: DataFrame, metadata: DataFrame, service: DataFrame | None = None) -> DataFrame:
+    """Plants by the marts' table (transcript_id, COORDS, assembly_accession): its transcripts and genes are keys, transcripts first.
+
+    Where a snapshot of the lookup service is given (key, COORDS, assembly_accession, a key once), its hit overrides the table's.
+    """
     keyed = metadata.select(F.posexplode(F.array_distinct(F.array("transcript_id", F.split_part("transcript_id", F.lit("."), F.lit(1)), "gene_id"))).alias("key_ord", "key"), *COORDS, "assembly_accession")
     index = keep_first(keyed.where("key <> ''"), ["key"], ["key_ord", "chrom", "start", "end"]).drop("key_ord")
-    hit = first_match_join(classified.where("db_source = 'plant'"), index, ids.candidates_plant(F.col("transcript_id")), ["transcript_id"])
+    names = ids.candidates_plant(F.col("transcript_id"))
+    hit = first_match_join(classified.where("db_source = 'plant'"), index, names, ["transcript_id"])
+    if service is not None:
+        found = ("matched_key", "matched_pos", *COORDS, "assembly_accession")
+        late = first_match_join(hit.select("transcript_id").distinct(), service, ids.candidates_plant(F.col("transcript_id")), ["transcript_id"], how="inner")
+        hit = hit.join(late.select("transcript_id", F.struct(*found).alias("g_late")), "transcript_id", "left")
+        hit = hit.withColumns({c: F.when(F.col("g_late").isNotNull(), F.col(f"g_late.{c}")).otherwise(F.col(c)) for c in found}).drop("g_late")
     return route(hit, [(F.col("matched_key").isNull(), "external_not_found")])
 
 
+def plants_by_release(rows: DataFrame, calls: DataFrame, answers: DataFrame) -> DataFrame:
+    """Plants (transcript_id, species) by the first release that answers for their species at all.
+
+    calls (species, release, release_ord, state) says how each release took a species' request: `ok`, or anything else where it failed and the
+    next is tried. answers (species, release, transcript_id, COORDS) are its rows; none is an empty answer, and the next release is tried too.
+    Identifiers that the chosen release lacks stay unresolved: older ones aren't asked for them.
+    """
+    asked = answers.join(rows.select("species", "transcript_id").distinct(), ["species", "transcript_id"], "left_semi")
+    filled = calls.where("state = 'ok'").join(asked.select("species", "release").distinct(), ["species", "release"], "left_semi")
+    chosen = filled.groupBy("species").agg(F.min_by("release", "release_ord").alias("release"))
+    found = keep_first(asked.join(chosen, ["species", "release"], "left_semi"), ["species", "transcript_id"], list(COORDS))
+    known = calls.select("species").distinct().withColumn("g_known", F.lit(True))
+    out = rows.join(known, "species", "left").join(chosen.select("species", F.col("release").alias("g_release")), "species", "left")
+    out = out.join(found.withColumn("g_hit", F.lit(True)), ["species", "transcript_id"], "left")
+    missed = F.concat(F.lit("biomart_no_match_"), F.col("species"))
+    return route(out, [
+        (F.col("species").isNull(), "not_plant_id"), (F.col("g_known").isNull(), F.concat(F.lit("no_biomart_dataset_"), F.col("species"))),
+        (F.col("g_release").isNull(), F.concat(missed, F.lit("_all_releases_exhausted"))), (F.col("g_hit").isNull(), missed),
+    ]).drop("g_known", "g_release", "g_hit")
+
+
 def gramene(unresolved: DataFrame, snapshot: DataFrame) -> DataFrame:
     """What the marts left, by the search service's documents (id, chrom, start, end, strand, region, gene_id, gene_symbol, taxon)."""
     place = region(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand"), F.col("region"))
@@ -88,8 +152,14 @@ def gramene(unresolved: DataFrame, snapshot: DataFrame) -> DataFrame:
     return route(hit, [(F.col("matched_key").isNull(), "gramene_not_found")])
 
 
+def ensembl_prefixes(spark: SparkSession, overrides: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """(prefix, species, build) of the known prefixes of Ensembl transcripts; overrides replace or add some."""
+    table = {prefix: rest for prefix, *rest in rules.ENSEMBL_PREFIXES} | {k.upper(): v for k, v in (overrides or {}).items()}
+    return spark.createDataFrame([(k, *v) for k, v in table.items()], "prefix string, species string, build string")
+
+
 def ensembl_species(classified: DataFrame, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(species_map, unknown_prefixes): the species and build of Ensembl identifiers by prefix (prefix, species, build)."""
+    """(species_map, unknown_prefixes): the species and build of Ensembl identifiers by prefix (see ensembl_prefixes)."""
     rows = classified.where("db_source = 'ensembl'").select("transcript_id", ids.ensembl_prefix(F.col("transcript_id")).alias("prefix"))
     joined = rows.join(prefixes, "prefix", "left")
     unknown = joined.where("species is null").groupBy("prefix").agg(F.min("transcript_id").alias("example_id"), F.count("*").alias("n_transcripts"))
@@ -240,6 +310,21 @@ def gene_assemblies(genes: DataFrame, direct: DataFrame, nucleotide: DataFrame,
     return rows.drop("g_direct", "g_nucleotide").join(metadata, "assembly", "left")
 
 
+def abandoned_debug(resolved: DataFrame, accessions: DataFrame, by_transcript: DataFrame, by_gene: DataFrame) -> DataFrame:
+    """For each accession (transcript_id), what abandoned_third_pass made of it and how: its genome, assembly and genes, status, reason, and the
+    strategy that had an answer, `transcript_id` before `gene_id`, else none. by_transcript and by_gene are that pass's tables."""
+    first = by_transcript.select("assembly", "transcript_id").distinct().withColumn("g_a", F.lit(True))
+    spread = resolved.select("transcript_id", "assembly", F.explode("gene_ids").alias("gene")).join(by_gene.select("assembly", "gene").distinct(), ["assembly", "gene"], "left_semi")
+    second = spread.select("transcript_id").distinct().withColumn("g_b", F.lit(True))
+    rows = resolved.join(first, ["assembly", "transcript_id"], "left").join(second, "transcript_id", "left")
+    told = rows.select(
+        "transcript_id", F.col("genomic").alias("genomic_accession"), F.col("assembly").alias("assembly_accession_found"), F.array_join("gene_ids", ";").alias("gene_ids"),
+        F.col("status").alias("resolution_status"), F.col("reason").alias("unresolved_reason"), F.when(F.col("g_a"), "transcript_id").when(F.col("g_b"), "gene_id").alias("resolution_strategy"),
+    )
+    out = accessions.select("transcript_id").join(told, "transcript_id", "left").withColumn("resolution_status", F.coalesce("resolution_status", F.lit("unresolved")))
+    return out.na.fill("", ["assembly_accession_found", "gene_ids", "unresolved_reason", "resolution_strategy"])
+
+
 def gene_metadata(raw: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """A mart's table under our names, with whole-number coordinates and signs; rows without a transcript go."""
     df = raw.withColumnsRenamed(dict(names)).dropna(subset=["transcript_id"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -194,6 +195,39 @@ def nested_rows(spark: SparkSession, config: dict, columns: Sequence[str]) -> Da
     return spark.createDataFrame([(n, *[None if v.get(c) is None else str(v[c]) for c in columns]) for n, v in config.items()], schema)
 
 
+def config_urls(spark: SparkSession, config: dict | None, db_source: str = "") -> DataFrame:
+    """A section of a configuration (YAML or JSON, read by the caller: a mapping from names to mappings) as a row of addresses each.
+
+    Names stand in for a missing source, assembly name and organism; accessions that say null or none are null; entries that are no mapping are
+    left out. No section gives no rows.
+    """
+    columns = ("db_source", "assembly_name", "assembly_accession", "fasta_url", "gtf_url", "gtf_format", "organism")
+    rows = {}
+    for name, entry in (config or {}).items():
+        if not isinstance(entry, dict):
+            continue
+        accession = entry.get("assembly_accession")
+        own = {"db_source": db_source or name, "assembly_name": entry.get("assembly_name", name), "organism": entry.get("organism", name), "gtf_url": entry.get("url") or entry.get("gtf_url")}
+        rows[name] = entry | own | {"assembly_accession": None if str(accession).lower() in ("null", "none", "") else accession}
+    return nested_rows(spark, rows, columns).drop("name")
+
+
+def orphans(spark: SparkSession, path: str, rules: str | Sequence[str]) -> DataFrame:
+    """(value): files below a folder that no rule file declares.
+
+    Rules name outputs as `f"{RESULTS}/..."` or `"results/..."`; a `{species}` in one of them declares all tables of marts.
+    """
+    inside = F.regexp_extract_all("value", F.lit(r'f"\{RESULTS\}/([^"]+)"'), 1)
+    literal = F.regexp_extract_all("value", F.lit(r'"results/([^"]+)"'), 1)
+    declared = spark.read.text(rules).select(F.explode(F.concat(inside, literal)).alias("value")).distinct()
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    names = found.select(F.regexp_replace("path", r"^.*?/" + re.escape(path.rstrip("/").rsplit("/", 1)[-1]) + "/", "").alias("value"))
+    left = names.join(declared, "value", "left_anti").where("value <> 'ensembl_unknown_prefixes_ACTION_REQUIRED.txt'")
+    mart = F.when(F.col("value").startswith("biomart/") & F.col("value").endswith(".tsv.gz"), "{species}")
+    wild = declared.where(F.col("value").contains("{species}")).select(F.lit("{species}").alias("g_wild")).distinct()
+    return left.withColumn("g_wild", mart).join(wild, "g_wild", "left_anti").select("value")
+
+
 def whole_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, text) of small files."""
     return spark.read.text(path, wholetext=True).select(file_name(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("text"))

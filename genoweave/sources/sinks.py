@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import html
 import json
+import tempfile
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,21 @@ from pyspark.sql import functions as F
 from ..operators.rows import batches
 
 
+#: The columns of a table of rows whose sequence couldn't be cut out, and why.
+FAILED = ("transcript_id", "assembly_accession", "chrom", "db_source", "fail_reason")
+
+
+def failures(parts: Sequence[DataFrame], path: str, columns: Sequence[str] = FAILED, mode: str = "overwrite") -> None:
+    """The unresolved rows of all parts (see operators.rows.route) as one table under one header; without any, or without parts, the header alone.
+
+    A missing column is null, and fail_reason is the parts' reason.
+    """
+    frames = [p.where("status = 'unresolved'").withColumnRenamed("reason", "fail_reason") for p in parts]
+    frames = [f.select(*[F.col(c).cast("string") if c in f.columns else F.lit(None).cast("string").alias(c) for c in columns]) for f in frames]
+    empty = SparkSession.active().createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    tsv(reduce(DataFrame.unionByName, frames, empty), path, mode=mode)
+
+
 def tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite") -> None:
     """Tab-separated files with a header. An empty table gives one file with the header alone."""
     kept = df if not df.isEmpty() else df.repartition(1)
@@ -35,17 +53,32 @@ def in_batches(df: DataFrame, path: str, order: Sequence[str], size: int, mode:
     return df.sparkSession.read.parquet(path).groupBy("batch").agg(F.count("*").alias("n"))
 
 
-def small_text(text: str, path: str) -> None:
-    """A text of the driver's as one file, on whatever file system the path names."""
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share: spark.checkpoint.dir, or on one machine a temporary one where it is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='genoweave-')}"
+    return f"{found}/files-{uuid.uuid4().hex}"
+
+
+def small_bytes(data: bytes, path: str) -> None:
+    """Bytes of the driver's as one file, on whatever file system the path names."""
     spark = SparkSession.active()
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def small_text(text: str, path: str) -> None:
+    """A text of the driver's as one file."""
+    small_bytes(text.encode(), path)
+
+
 def status(path: str, **values: object) -> None:
     """key=value lines, written by the driver."""
     small_text("".join(f"{k}={v}\n" for k, v in values.items()), path)
