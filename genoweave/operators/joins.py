@@ -99,10 +99,12 @@ def overlap_join(records: DataFrame, tools: DataFrame) -> DataFrame:
     """(record_id, tool, prio, tokens): for each record and tool, the first strategy by which they share tokens, and those, sorted.
 
     records has (record_id, prio, token), tools (tool, prio, token): the sets are spread out, so that an overlap is an equality.
+    What a record shares with a tool is at most its own tokens, so one grouping finds the strategy and its tokens.
     """
-    hits = records.distinct().join(tools.distinct(), ["prio", "token"])
-    by_strategy = hits.groupBy("record_id", "tool", "prio").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
-    return by_strategy.groupBy("record_id", "tool").agg(F.min(F.struct("prio", "tokens")).alias("g_best")).select("record_id", "tool", "g_best.prio", "g_best.tokens")
+    hits = records.join(tools.distinct(), ["prio", "token"])
+    shared = hits.groupBy("record_id", "tool").agg(F.min("prio").alias("prio"), F.collect_set(F.struct("prio", "token")).alias("g_all"))
+    first = F.transform(F.filter("g_all", lambda x: x.prio == F.col("prio")), lambda x: x.token)
+    return shared.select("record_id", "tool", "prio", F.array_sort(first).alias("tokens"))
 
 
 def membership(ids: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:

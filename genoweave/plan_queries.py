@@ -211,11 +211,15 @@ def q_first_rows(spark, d):
     return rows.first_rows(view(spark, d, "SELECT o_orderkey AS k FROM orders"), ["k"], 100)
 
 
-@query("SELECT 'Zm' || cast(p_partkey AS string) AS k, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' END AS species FROM part")
+_ZM = "SELECT concat('Zm', p_partkey) AS transcript_id, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' ELSE 'x' END AS species_hint, 'plant' AS db_source, 'plant_gtf_not_found' AS reason, 'unresolved' AS status, p_partkey AS k FROM part"
+
+
+@query("SELECT 'Zm' || cast(p_partkey AS string) AS k, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' END AS species, CASE WHEN p_partkey % 2 > 0 THEN 'species_unknown' WHEN p_partkey % 3 > 0 THEN 'phytozome_not_found' END AS reason FROM part WHERE p_partkey % 2 = 0")
 def q_plan_phytozome_species(spark, d):
-    p = view(spark, d, "SELECT concat('Zm', p_partkey) AS k, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' ELSE 'x' END AS species_hint FROM part")
-    hint = F.when(F.col("species_hint").isin("zea_mays"), F.col("species_hint"))
-    return p.select("k", F.coalesce(hint, ids.prefix_species(F.col("k"), rules.PHYTOZOME_PREFIXES)).alias("species"))
+    # nothing failed for lack of a source, so all rows whose species is told count
+    index = view(spark, d, f"SELECT 'zea_mays' AS species, transcript_id AS key, concat('g', k) AS gene_id, {place('k')} FROM ({_ZM}) t WHERE k % 3 = 0")
+    out = resolve.phytozome(view(spark, d, _ZM), index, ["zea_mays"], strict=False)
+    return out.select(F.col("transcript_id").alias("k"), "species", "reason")
 
 
 _SB = "SELECT CASE WHEN p_partkey % 3 = 0 THEN 'Sb' ELSE 'qq' END || cast(p_partkey AS string) AS transcript_id, CASE WHEN p_partkey % 4 = 0 THEN 'zea_mays' ELSE 'none' END AS species_hint, 'plant' AS db_source, CASE WHEN p_partkey % 2 = 0 THEN 'no_gtf_source:x' ELSE 'plant_gtf_not_found' END AS reason, 'unresolved' AS status, p_partkey AS k FROM part"
@@ -227,3 +231,104 @@ def q_plan_phytozome(spark, d):
     index = [f"SELECT '{s}' AS species, transcript_id AS key, concat('{g}', k) AS gene_id, {place('k')} FROM ({_SB}) t WHERE {w}" for s, g, w in (("zea_mays", "z", "k % 5 > 0"), ("sorghum_bicolor", "s", "k % 3 = 0"))]
     out = resolve.phytozome(left, view(spark, d, index[0]).unionByName(view(spark, d, index[1])), ["zea_mays"], strict=False)
     return out.select("k", "reason", F.when(F.col("reason").isNull(), F.col("gene_id")).alias("gene_id"))
+
+
+# ---- worm, fly, yeast ----
+
+_OWN = {"assembly_name": "own", "assembly_accession": "GCF_1"}
+_SOURCES = {
+    "wormbase": """SELECT o_orderkey AS k, 'wormbase' AS db_source, CASE o_orderkey % 5 WHEN 0 THEN concat('T', o_orderkey, '.1_wormbase:known_chromosome:WBcel235:X:', o_orderkey, ':', o_orderkey + 9, ':1 gene:WBGene', lpad(o_orderkey, 8, '0')) WHEN 1 THEN concat('AT1G', o_orderkey) ELSE concat('F', o_orderkey, '.', o_orderkey % 3 + 1) END AS transcript_id,
+      CASE WHEN o_orderkey % 5 = 1 THEN concat('x chromosome:TAIR10:2:', o_orderkey, ':', o_orderkey + 4, ':-1 gene:AT2G', o_orderkey) WHEN o_orderkey % 5 = 2 THEN 'h' END AS raw_header FROM orders""",
+    "flybase": """SELECT o_orderkey AS k, 'flybase' AS db_source, concat('FBtr', o_orderkey) AS transcript_id, CASE o_orderkey % 4 WHEN 0 THEN concat('x chromosome:BDGP6:3L:', o_orderkey, ':', o_orderkey + 7, ':1 gene:FBgn', o_orderkey, ' biotype:y gene_symbol:s', o_orderkey, ' z') WHEN 1 THEN 'h' END AS raw_header FROM orders""",
+    "sgd": """SELECT o_orderkey AS k, 'sgd' AS db_source, CASE o_orderkey % 3 WHEN 0 THEN concat('Source:SGD;Acc:S', o_orderkey) WHEN 1 THEN concat('YAL', o_orderkey, 'C_A') ELSE concat('YBR', o_orderkey, 'W') END AS transcript_id, 'h' AS raw_header FROM orders""",
+}
+
+
+def _source(spark, d, name, key, where="k % 2 = 0"):
+    rows_ = view(spark, d, _SOURCES[name])
+    index = rows_.where(where).selectExpr(f"{key} AS key", "concat('g', k) AS gene_id", "concat('y', k) AS gene_symbol", "'c' AS chrom", "k AS start", "k + 1 AS end", "'.' AS strand").where("key is not null")
+    return rows_, index
+
+
+def _told(out):
+    return out.select("k", "db_source", "organism", "assembly_accession", "assembly_name", "gene_id", "gene_symbol", "chrom", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "strand", "reason")
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN m = 1 THEN 'plant' ELSE 'wormbase' END AS db_source, CASE WHEN m = 1 THEN 'arabidopsis_thaliana' ELSE 'caenorhabditis_elegans' END AS organism,
+CASE m WHEN 0 THEN 'WBcel235' WHEN 1 THEN 'TAIR10' ELSE 'GCF_1' END AS assembly_accession, CASE WHEN m > 1 THEN 'own' END AS assembly_name,
+CASE WHEN m = 0 THEN 'WBGene' || lpad(cast(o_orderkey AS varchar), 8, '0') WHEN m = 1 THEN 'AT2G' || o_orderkey WHEN hit THEN 'g' || o_orderkey END AS gene_id,
+CASE WHEN m = 0 THEN 'T' || o_orderkey || '.1' WHEN m = 1 THEN 'AT2G' || o_orderkey WHEN hit THEN 'y' || o_orderkey END AS gene_symbol, CASE WHEN m = 0 THEN 'X' WHEN m = 1 THEN '2' WHEN hit THEN 'c' END AS chrom,
+CASE WHEN m < 2 OR hit THEN o_orderkey END AS start_pos, CASE WHEN m = 0 THEN o_orderkey + 9 WHEN m = 1 THEN o_orderkey + 4 WHEN hit THEN o_orderkey + 1 END AS end_pos, CASE WHEN m = 0 THEN '.' WHEN m = 1 THEN '-' WHEN hit THEN '.' END AS strand,
+CASE WHEN m > 1 AND NOT hit THEN 'worm_gtf_not_resolved' END AS reason FROM (SELECT o_orderkey, o_orderkey % 5 AS m, o_orderkey % 2 = 0 AS hit FROM orders)""")
+def q_plan_worm(spark, d):
+    # identifiers of the form F1.2 are found by the gene before the dot
+    classified, index = _source(spark, d, "wormbase", "CASE WHEN k % 5 > 1 THEN concat('F', k) END")
+    return _told(resolve.worm(classified, index, _OWN))
+
+
+@query("""SELECT o_orderkey AS k, 'flybase' AS db_source, 'drosophila_melanogaster' AS organism, CASE WHEN m = 0 THEN 'BDGP6' ELSE 'GCF_1' END AS assembly_accession, CASE WHEN m > 0 THEN 'own' END AS assembly_name,
+CASE WHEN m = 0 THEN 'FBgn' || o_orderkey WHEN hit THEN 'g' || o_orderkey END AS gene_id, CASE WHEN m = 0 THEN 's' || o_orderkey WHEN hit THEN 'y' || o_orderkey END AS gene_symbol, CASE WHEN m = 0 THEN '3L' WHEN hit THEN 'c' END AS chrom,
+CASE WHEN m = 0 OR hit THEN o_orderkey END AS start_pos, CASE WHEN m = 0 THEN o_orderkey + 7 WHEN hit THEN o_orderkey + 1 END AS end_pos, CASE WHEN m = 0 THEN '+' WHEN hit THEN '.' END AS strand,
+CASE WHEN m > 0 AND NOT hit THEN 'fly_gtf_not_resolved' END AS reason FROM (SELECT o_orderkey, o_orderkey % 4 AS m, o_orderkey % 2 = 0 AS hit FROM orders)""")
+def q_plan_fly(spark, d):
+    return _told(resolve.fly(*_source(spark, d, "flybase", "transcript_id"), _OWN))
+
+
+@query("""SELECT o_orderkey AS k, 'sgd' AS db_source, 'saccharomyces_cerevisiae' AS organism, 'GCF_1' AS assembly_accession, 'own' AS assembly_name, CASE WHEN hit THEN 'g' || o_orderkey END AS gene_id, CASE WHEN hit THEN 'y' || o_orderkey END AS gene_symbol,
+CASE WHEN hit THEN 'c' END AS chrom, CASE WHEN hit THEN o_orderkey END AS start_pos, CASE WHEN hit THEN o_orderkey + 1 END AS end_pos, CASE WHEN hit THEN '.' END AS strand, CASE WHEN NOT hit THEN 'sgd_gtf_not_resolved' END AS reason FROM (SELECT o_orderkey, o_orderkey % 2 = 0 AS hit FROM orders)""")
+def q_plan_yeast(spark, d):
+    # names as the annotation has them: with its own prefix, without the suffix, as they are
+    key = "CASE k % 3 WHEN 0 THEN concat('SGD:S', k) WHEN 1 THEN concat('YAL', k, 'C') ELSE transcript_id END"
+    return _told(resolve.yeast(*_source(spark, d, "sgd", key), _OWN))
+
+
+# ---- releases, services, prefixes ----
+
+_ASKED = "SELECT c_custkey AS k, concat('t', c_custkey) AS transcript_id, CASE WHEN c_nationkey = 24 THEN NULL ELSE concat('s', c_nationkey) END AS species FROM customer"
+_ANSWERED = "CASE WHEN c_nationkey % 4 = 0 THEN c_custkey % 2 = 0 WHEN c_nationkey % 4 = 1 THEN c_custkey % 3 = 0 WHEN c_nationkey % 4 = 2 THEN c_custkey % 5 = 0 ELSE false END"
+
+
+@query(f"""SELECT c_custkey AS k, CASE WHEN c_nationkey = 24 THEN 'not_plant_id' WHEN c_nationkey = 23 THEN 'no_biomart_dataset_s23' WHEN NOT any_hit THEN 'biomart_no_match_s' || c_nationkey || '_all_releases_exhausted' WHEN NOT hit THEN 'biomart_no_match_s' || c_nationkey END AS reason,
+CASE WHEN c_nationkey < 23 AND hit THEN 'r' || (CASE WHEN c_nationkey % 4 = 0 THEN 1 ELSE 2 END) || 'g' || c_custkey END AS gene_id FROM (SELECT *, {_ANSWERED} AS hit, bool_or({_ANSWERED}) OVER (PARTITION BY c_nationkey) AS any_hit FROM customer)""")
+def q_plan_plants_by_release(spark, d):
+    # release 1 answers for a quarter of the species, has nothing for another and fails for the rest; release 2 would answer for all
+    calls = view(spark, d, "SELECT concat('s', n_nationkey) AS species, n_nationkey AS n FROM nation WHERE n_nationkey < 23")
+    calls = calls.selectExpr("species", "'r1' AS release", "1 AS release_ord", "CASE WHEN n % 4 < 2 THEN 'ok' ELSE 'failed' END AS state").unionByName(calls.selectExpr("species", "'r2' AS release", "2 AS release_ord", "'ok' AS state"))
+    answered = view(spark, d, f"SELECT concat('s', c_nationkey) AS species, concat('t', c_custkey) AS transcript_id, c_nationkey % 4 AS m, c_custkey AS k, {_ANSWERED} AS hit FROM customer").where("hit")
+    first = answered.where("m = 0").withColumn("release", F.lit("r1"))
+    # a release that failed answered nothing, whatever its rows say
+    failed = answered.where("m = 2").withColumn("release", F.lit("r1"))
+    rows_ = first.unionByName(failed).unionByName(answered.withColumn("release", F.lit("r2")))
+    answers = rows_.selectExpr("species", "release", "transcript_id", "concat(release, 'g', k) AS gene_id", "'s' AS gene_symbol", "'c' AS chrom", "k AS start", "k AS end", "'+' AS strand")
+    return resolve.plants_by_release(view(spark, d, _ASKED), calls, answers).select("k", "reason", "gene_id")
+
+
+@query("""SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'service' || p_partkey WHEN p_partkey % 2 = 0 THEN 'table' || p_partkey END AS gene_id, CASE WHEN p_partkey % 2 > 0 AND p_partkey % 3 > 0 THEN 'external_not_found' END AS reason FROM part""")
+def q_plan_service_over_table(spark, d):
+    rows_ = view(spark, d, "SELECT concat('VIT_', p_partkey) AS transcript_id, 'plant' AS db_source, p_partkey AS k FROM part")
+    table, service = [rows_.where(w).selectExpr(f"transcript_id AS {n}", f"concat('{g}', k) AS gene_id", "'s' AS gene_symbol", "'c' AS chrom", "k AS start", "k AS end", "'+' AS strand", "'a' AS assembly_accession") for w, n, g in (("k % 2 = 0", "transcript_id", "table"), ("k % 3 = 0", "key", "service"))]
+    return resolve.plant_metadata(rows_, table, service).select("k", "gene_id", "reason")
+
+
+@query("SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'homo_sapiens GRCh38' WHEN 1 THEN 'pan_troglodytes Pan_tro_3.0' WHEN 2 THEN 'mus_musculus own' ELSE 'unknown ENSZZZT' END AS told FROM part")
+def q_plan_ensembl_prefixes(spark, d):
+    rows_ = view(spark, d, "SELECT p_partkey AS k, 'ensembl' AS db_source, concat(CASE p_partkey % 4 WHEN 0 THEN 'ENST' WHEN 1 THEN 'ensptrt' WHEN 2 THEN 'ENSMUST' ELSE 'ENSZZZT' END, lpad(p_partkey, 11, '0')) AS transcript_id FROM part")
+    known, unknown = resolve.ensembl_species(rows_, resolve.ensembl_prefixes(spark, {"ensmust": ("mus_musculus", "own")}))
+    told = rows_.join(known, "transcript_id", "left").withColumn("prefix", ids.ensembl_prefix(F.col("transcript_id"))).join(unknown.select("prefix", "action_required"), "prefix", "left")
+    return told.select("k", F.when(F.col("action_required").isNotNull(), F.concat(F.lit("unknown "), "prefix")).otherwise(F.concat_ws(" ", "species", "build")).alias("told"))
+
+
+@query("""SELECT 't' || k AS transcript_id, CASE WHEN k % 5 = 0 THEN NULL ELSE 'NC_' || k END AS genomic_accession, CASE WHEN k % 5 > 0 AND k % 7 > 0 THEN 'A' || (k % 7) ELSE '' END AS assembly_accession_found, 'x;g' || k AS gene_ids,
+CASE WHEN ok AND (k % 2 = 0 OR k % 3 = 0) THEN 'resolved' ELSE 'unresolved' END AS resolution_status, CASE WHEN k % 5 = 0 THEN 'no_genomic_accession' WHEN k % 7 = 0 THEN 'no_assembly' WHEN k % 2 = 0 OR k % 3 = 0 THEN '' ELSE 'not_in_annotation' END AS unresolved_reason,
+CASE WHEN ok AND k % 2 = 0 THEN 'transcript_id' WHEN ok AND k % 3 = 0 THEN 'gene_id' ELSE '' END AS resolution_strategy FROM (SELECT p_partkey AS k, p_partkey % 5 > 0 AND p_partkey % 7 > 0 AS ok FROM part) UNION ALL SELECT 'lost', NULL, '', '', 'unresolved', '', ''""")
+def q_plan_abandoned_debug(spark, d):
+    k = view(spark, d, "SELECT p_partkey AS k FROM part")
+    left = k.selectExpr("concat('t', k) AS transcript_id", "'WITHDRAWN' AS reason", "'unresolved' AS status")
+    records = k.selectExpr("concat('t', k) AS accession", "CASE WHEN k % 5 > 0 THEN concat('NC_', k) END AS genomic", "array('x', concat('g', k)) AS gene_ids")
+    assemblies = k.where("k % 7 > 0").selectExpr("concat('NC_', k) AS genomic", "concat('A', k % 7) AS assembly")
+    found = ["concat('A', k % 7) AS assembly", "'g' AS gene_id", "'s' AS gene_symbol", "'c' AS chrom", "k AS start", "k AS end", "'+' AS strand"]
+    by_transcript = k.where("k % 2 = 0").selectExpr("concat('t', k) AS transcript_id", *found)
+    by_gene = k.where("k % 3 = 0").selectExpr("concat('g', k) AS gene", *found)
+    out = resolve.abandoned_third_pass(left, records, assemblies, by_transcript, by_gene)
+    accessions = left.select("transcript_id").unionByName(spark.createDataFrame([("lost",)], "transcript_id string"))
+    return resolve.abandoned_debug(out, accessions, by_transcript, by_gene)

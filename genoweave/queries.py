@@ -513,14 +513,69 @@ def q_parse_ids(spark, d):
     return known.groupBy("db_source").agg(F.count("*").alias("n")).unionByName(unknown.agg(F.lit("unknown").alias("db_source"), F.count("*").alias("n")))
 
 
-@query()
-def q_map_to_tools(spark, d):
-    h = view(spark, d, HEADERS)
-    seq = F.translate(F.md5(F.col("header").cast("binary")), "0123456789abcdef", "ACGUACGUACGUACGU")
-    records = h.withColumn("seq", seq)
-    tool_records = records.select(F.concat(F.lit("tool"), (F.col("record_id") % 3).cast("string")).alias("tool"), F.concat("header", F.when(F.col("record_id") % 2 == 0, "  x").otherwise("")).alias("header"), "seq").where("record_id % 4 > 0")
+#: Identifiers of many kinds, with the source and species that each is known to have: written by hand, and not by the rules.
+KINDS = [
+    ("'XR_' || {k} || '.3'", "ncbi", "unknown_refseq", "refseq", ""), ("'ENSMUST' || lpad({k}, 11, '0')", "ensembl", "vertebrate", "ensembl", ""), ("'FBtr' || lpad({k}, 7, '0')", "flybase", "drosophila_melanogaster", "flybase", "dm6"),
+    ("'WBGene' || lpad({k}, 8, '0')", "wormbase", "caenorhabditis_elegans", "wormbase", "WBcel235"), ("'Q' || lpad({m}, 4, '0')", "sgd", "saccharomyces_cerevisiae", "sgd", "R64-1-1"), ("'NONHSAT' || {k} || '.2'", "noncode", "unknown_noncode", "noncode", ""),
+    ("'nonhsat' || {k} || '.2'", "unknown", "", "", ""), ("'Solyc01g' || {k} || '.2.1'", "plant", "solanum_lycopersicum", "sgn", "SL4.0"), ("'Glyma.01G' || lpad({k}, 6, '0') || '.1'", "plant", "glycine_max", "phytozome", "Wm82"), ("'at1g' || {k}", "plant", "arabidopsis_thaliana", "tair", "TAIR10"),
+    ("'Zm00001d' || {k} || '_T001'", "plant", "zea_mays", "ensembl_plants", "B73_RefGen_v4"), ("'Zm00002g' || {k}", "plant", "zea_mays", "maizegdb_or_ensembl", "B73"), ("'LOC_Os01g' || {k}", "plant", "oryza_sativa", "msu_tigr", "MSU7"), ("'Os01g' || {k}", "plant", "oryza_sativa", "rapdb", "IRGSP-1.0"),
+    ("'Potri.001G' || {k}", "plant", "populus_trichocarpa", "phytozome", ""), ("'VIT_01s' || {k}", "plant", "vitis_vinifera", "ensembl_plants", ""), ("'PGSC0003DMT' || {k}", "plant", "solanum_tuberosum", "pgsc", "PGSC_DM_v3.4"), ("'Sobic.1G.' || {m}", "plant", "sorghum_bicolor", "phytozome", ""),
+    ("'word' || {k}", "unknown", "", "", ""), ("'Medtr1g' || {k}", "plant", "medicago_truncatula", "phytozome", ""),
+]
+_KIND_IDS = "SELECT k, CASE k % 20 " + " ".join(f"WHEN {i} THEN {t.format(k='cast(k AS string)', m='cast(k % 10 AS string)')}" for i, (t, *_) in enumerate(KINDS)) + " END AS transcript_id FROM (SELECT o_orderkey AS k FROM orders)"
+
+
+@query("SELECT k, (['" + "', '".join("|".join(v) for _, *v in KINDS) + "'])[k % 20 + 1] AS kind FROM (SELECT o_orderkey AS k FROM orders)")
+def q_classify_kinds(spark, d):
+    c = view(spark, d, _KIND_IDS).withColumn("c", ids.classify(F.col("transcript_id")))
+    known = F.concat_ws("|", "c.db_source", "c.species_hint", "c.source_hint", "c.assembly_hint")
+    return c.select("k", F.when(F.col("c").isNull(), "unknown|||").otherwise(known).alias("kind"))
+
+
+#: Records, and tools' records of which some have other headers or only the same sequence.
+RECORDS = f"SELECT record_id, header, translate(md5(header), '0123456789abcdef', 'ACGUACGUACGUACGU') AS seq FROM ({HEADERS})"
+TOOL_RECORDS = f"""SELECT 'tool' || cast(record_id % 3 AS string) AS tool, CASE WHEN record_id % 7 = 0 THEN 'other' || cast(record_id AS string) WHEN record_id % 2 = 0 THEN header || '  x' ELSE header END AS header,
+CASE WHEN record_id % 14 = 0 THEN replace(seq, 'U', 'T') ELSE seq END AS seq FROM ({RECORDS}) WHERE record_id % 4 > 0"""
+_STRIPPED = "regexp_replace(t, '\\.[0-9]+$', '')"
+_FIRST_WORD = f"coalesce(nullif(regexp_extract(header, '{rules.GI}', 2), ''), split_part(regexp_extract(header, '^\\S+'), '|', 1))"
+_ALL_ACCESSIONS = " || ".join(f"regexp_extract_all(header, '{'' if 'NON' in p else '(?i)'}{p}', 1)" for p in rules.ACCESSIONS)
+
+
+def _token_sql(table: str, key: str) -> str:
+    """(key, prio, token) of a table (key, header, seq): a branch for each strategy."""
+    sets = [
+        "[header]", "[trim(regexp_replace(header, '\\s+', ' ', 'g'))]", "gi", f"list_transform(acc || [word], lambda t: 'v:' || t) || list_transform(acc || [word], lambda t: 'b:' || {_STRIPPED})",
+        f"every || list_transform(every, lambda t: {_STRIPPED})", "[md5(upper(seq))]", "[md5(replace(upper(seq), 'U', 'T'))]",
+    ]
+    words = "list_filter(string_split_regex(header, '[|\\s]+'), lambda t: length(t) >= 4 AND regexp_matches(t, '[0-9]') AND NOT contains(t, ':'))"
+    parts = f"(SELECT *, [word] || gi || acc || words AS every FROM (SELECT {key}, header, seq, {_FIRST_WORD} AS word, regexp_extract_all(header, '{rules.GI}', 2) AS gi, {_ALL_ACCESSIONS} AS acc, {words} AS words FROM {table}))"
+    spread = " UNION ALL ".join(f"SELECT {key}, {k} AS prio, unnest({s}) AS token FROM {parts}" for k, s in enumerate(sets))
+    return f"SELECT DISTINCT * FROM ({spread}) WHERE token <> ''"
+
+
+_HITS = f"""records AS ({RECORDS}), tool_records AS ({TOOL_RECORDS}), a AS ({_token_sql("records", "record_id")}), b AS ({_token_sql("tool_records", "tool")}),
+shared AS (SELECT record_id, tool, prio, list(DISTINCT CASE WHEN prio = 3 THEN regexp_replace(token, '^[vb]:', '') ELSE token END) AS tokens FROM a JOIN b USING (prio, token) GROUP BY ALL),
+best AS (SELECT record_id, tool, min(prio) AS prio FROM shared GROUP BY ALL),
+hits AS (SELECT record_id, tool, (['{"', '".join(parse.STRATEGIES)}'])[prio + 1] AS strategy, array_to_string(list_sort(tokens), ';') AS text FROM best JOIN shared USING (record_id, tool, prio))"""
+
+
+def _tools(spark, d):
     tools = spark.range(4).select(F.concat(F.lit("tool"), "id").alias("tool"))
-    return parse.map_to_tools(records, tool_records, tools)[0]
+    return parse.map_to_tools(view(spark, d, RECORDS), view(spark, d, TOOL_RECORDS), tools)
+
+
+@query(f"""WITH {_HITS}, named AS (SELECT record_id, string_agg(strategy, ',' ORDER BY first_tool) AS match_strategy FROM (SELECT record_id, strategy, min(tool) AS first_tool FROM hits GROUP BY ALL) GROUP BY 1),
+joined AS (SELECT record_id, string_agg(tool, ',' ORDER BY tool) AS tools, count(*) AS n_tools, min(tool) AS primary_tool, string_agg(tool || ':' || text, '|' ORDER BY tool) AS matching_tokens FROM hits GROUP BY 1)
+SELECT r.record_id, {_FIRST_WORD} AS transcript_id, header AS raw_header, coalesce(tools, '') AS tools, coalesce(n_tools, 0) AS n_tools, coalesce(primary_tool, '') AS primary_tool, coalesce(match_strategy, '') AS match_strategy, coalesce(matching_tokens, '') AS matching_tokens
+FROM records r LEFT JOIN joined USING (record_id) LEFT JOIN named USING (record_id)""")
+def q_map_to_tools(spark, d):
+    return _tools(spark, d)[0]
+
+
+@query(f"""WITH {_HITS} SELECT t.tool, {", ".join(f"count(*) FILTER (strategy = '{s}') AS {s}" for s in parse.STRATEGIES)}, count(strategy) AS total
+FROM (SELECT 'tool' || range AS tool FROM range(4)) t LEFT JOIN hits h ON h.tool = t.tool GROUP BY 1""")
+def q_tool_strategies(spark, d):
+    return _tools(spark, d)[1]
 
 
 @query("SELECT CASE WHEN k % 4 = 0 THEN 'GCF_' || k ELSE NULL END AS cache_key, CASE WHEN bool_or(has) THEN max(url) END AS fasta_url FROM (SELECT p_partkey % 40 AS k, p_partkey % 3 = 0 AS has, CASE WHEN p_partkey % 3 = 0 THEN 'https://h/' || (p_partkey % 40) END AS url FROM part) WHERE k % 4 = 0 GROUP BY 1")

@@ -20,14 +20,14 @@ FAILED = ("transcript_id", "assembly_accession", "chrom", "db_source", "fail_rea
 
 
 def failures(parts: Sequence[DataFrame], path: str, columns: Sequence[str] = FAILED, mode: str = "overwrite") -> None:
-    """The unresolved rows of all parts (see operators.rows.route) as one table under one header; without any, or without parts, the header alone.
+    """The unresolved rows of all parts (see operators.rows.route) as one table, each of its files under the header; without any, or without parts, the header alone.
 
     A missing column is null, and fail_reason is the parts' reason.
     """
     frames = [p.where("status = 'unresolved'").withColumnRenamed("reason", "fail_reason") for p in parts]
     frames = [f.select(*[F.col(c).cast("string") if c in f.columns else F.lit(None).cast("string").alias(c) for c in columns]) for f in frames]
-    empty = SparkSession.active().createDataFrame([], ", ".join(f"{c} string" for c in columns))
-    tsv(reduce(DataFrame.unionByName, frames, empty), path, mode=mode)
+    frames = frames or [SparkSession.active().createDataFrame([], ", ".join(f"{c} string" for c in columns))]
+    tsv(reduce(DataFrame.unionByName, frames), path, mode=mode)
 
 
 def tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite") -> None:

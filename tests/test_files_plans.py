@@ -281,3 +281,33 @@ def test_headers_are_classified_in_a_stream(spark, tmp_path):
     q.awaitTermination(120)
     assert sorted(got) == [("ENST00000000001.1", "ensembl"), ("NM_1.2", "ncbi"), ("ZZ1", "unknown")]
     assert rows.RESOLVED == "resolved"
+
+
+def test_small_sinks_and_audits_at_their_edges(spark, tmp_path):
+    sinks.failures([], str(tmp_path / "none"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "none")).collect()] == ["\t".join(sinks.FAILED)]
+    rows_ = spark.createDataFrame([("t1", "unresolved", "why", "x"), ("t2", "resolved", None, "x")], "transcript_id string, status string, reason string, extra string")
+    sinks.failures([rows_], str(tmp_path / "some"))
+    assert sorted({r.value for r in spark.read.text(str(tmp_path / "some")).collect()}) == ["t1\t\t\t\twhy", "\t".join(sinks.FAILED)]
+    assert files.config_urls(spark, None).count() == 0
+    out = files.config_urls(spark, {"a": {"url": "u", "assembly_accession": None, "assembly_name": "n"}, "b": "no mapping"}, "db").collect()
+    assert [tuple(r) for r in out] == [("db", "n", None, None, "u", None, "a")]
+    for name in ("kept.tsv", "biomart/x.tsv.gz", "sub/left.tsv"):
+        (tmp_path / "results" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "results" / name).write_text("x")
+    found = lambda rule: sorted(r.value for r in files.orphans(spark, str(tmp_path / "results"), put(tmp_path, "rule.smk", rule)).collect())
+    assert found('a = "results/kept.tsv"\n') == ["biomart/x.tsv.gz", "sub/left.tsv"]
+    assert found('a = f"{RESULTS}/kept.tsv"\nb = "results/biomart/{species}.tsv.gz"\n') == ["sub/left.tsv"]
+
+
+def test_releases_that_fail_or_are_empty_are_passed_over(spark):
+    asked = spark.createDataFrame([("t1", "a"), ("t2", "a"), ("t1", "b"), ("t9", "c"), ("t9", None)], "transcript_id string, species string")
+    calls = spark.createDataFrame([("a", "new", 1, "failed"), ("a", "old", 2, "ok"), ("b", "new", 1, "ok"), ("b", "old", 2, "failed")], "species string, release string, release_ord int, state string")
+    cells = "species string, release string, transcript_id string, gene_id string, gene_symbol string, chrom string, start long, end long, strand string"
+    answers = spark.createDataFrame([("a", "new", "t1", "g0", "s", "1", 1, 2, "+"), ("a", "old", "t1", "g2", "s", "1", 1, 2, "+"), ("a", "old", "t1", "g1", "s", "1", 1, 2, "+"), ("b", "old", "t1", "g3", "s", "1", 1, 2, "+")], cells)
+    got = {(r.transcript_id, r.species): (r.gene_id, r.reason) for r in resolve.plants_by_release(asked, calls, answers).collect()}
+    assert got == {
+        ("t1", "a"): ("g1", None), ("t2", "a"): (None, "biomart_no_match_a"), ("t1", "b"): (None, "biomart_no_match_b_all_releases_exhausted"),
+        ("t9", "c"): (None, "no_biomart_dataset_c"), ("t9", None): (None, "not_plant_id"),
+    }
+    assert resolve.plants_by_release(asked, calls, answers.limit(0)).where("status = 'resolved'").count() == 0
