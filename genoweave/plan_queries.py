@@ -211,14 +211,14 @@ def q_first_rows(spark, d):
     return rows.first_rows(view(spark, d, "SELECT o_orderkey AS k FROM orders"), ["k"], 100)
 
 
-_ZM = "SELECT concat('Zm', p_partkey) AS transcript_id, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' ELSE 'x' END AS species_hint, 'plant' AS db_source, 'plant_gtf_not_found' AS reason, 'unresolved' AS status, p_partkey AS k FROM part"
+_HINTED = "SELECT concat('Zm', p_partkey) AS transcript_id, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' ELSE 'x' END AS species_hint, 'plant' AS db_source, 'plant_gtf_not_found' AS reason, 'unresolved' AS status, p_partkey AS k FROM part"
 
 
 @query("SELECT 'Zm' || cast(p_partkey AS string) AS k, CASE WHEN p_partkey % 2 = 0 THEN 'zea_mays' END AS species, CASE WHEN p_partkey % 2 > 0 THEN 'species_unknown' WHEN p_partkey % 3 > 0 THEN 'phytozome_not_found' END AS reason FROM part WHERE p_partkey % 2 = 0")
 def q_plan_phytozome_species(spark, d):
     # nothing failed for lack of a source, so all rows whose species is told count
-    index = view(spark, d, f"SELECT 'zea_mays' AS species, transcript_id AS key, concat('g', k) AS gene_id, {place('k')} FROM ({_ZM}) t WHERE k % 3 = 0")
-    out = resolve.phytozome(view(spark, d, _ZM), index, ["zea_mays"], strict=False)
+    index = view(spark, d, f"SELECT 'zea_mays' AS species, transcript_id AS key, concat('g', k) AS gene_id, {place('k')} FROM ({_HINTED}) t WHERE k % 3 = 0")
+    out = resolve.phytozome(view(spark, d, _HINTED), index, ["zea_mays"], strict=False)
     return out.select(F.col("transcript_id").alias("k"), "species", "reason")
 
 
