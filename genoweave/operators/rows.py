@@ -6,12 +6,14 @@ Wherever the first row counts, its order is a column: partitions have none.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_null, non_empty
+from ..shared import written
 
 RESOLVED, UNRESOLVED = "resolved", "unresolved"
 
@@ -33,7 +35,10 @@ def taken(routed: DataFrame, status: str = RESOLVED) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Of each key (null is one) the row that comes first by order."""
+    """Of each key (null is one) the row that comes first by order.
+
+    Spark plans this limit on a rank with a partial limit before the shuffle, so a hot key sends one row from each task.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("g_n", F.row_number().over(w)).where("g_n = 1").drop("g_n")
 
@@ -51,22 +56,28 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def batches(df: DataFrame, order: Sequence[str], size: int, rows: int = 200_000, most_buckets: int = 2_000) -> DataFrame:
-    """df with batch: rows in order, `size` to a batch, counted from 0.
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "number") -> DataFrame:
+    """df with name: the place of each row, from 0, among the rows with the same `by` (null is a value), or among all rows where by is empty.
 
-    Places are counted in ranges of the first order column, whose counts are then summed up, so no task sees all rows: a range has
-    about `rows` of them, or more where there would be over most_buckets.
+    The places are row_number's, but no key needs to fit a task. Sampled splitters of by and order, of any type, deal the rows out to
+    ranges, which are written once; places are counted within a range, and a key that reaches into several ranges gets the sums of
+    those before. A range has at most one key that began before it, so these sums are no more rows than there are ranges, and are broadcast.
+    Rows that are equal in by and in order stay in one range: end the order with a column that tells rows apart. An empty table stays empty.
     """
-    first = order[0]
-    buckets = max(2, min(most_buckets, -(-df.count() // rows)))
-    points = df.agg(F.percentile_approx(first, [k / buckets for k in range(1, buckets)], 50 * buckets)).first()[0] or []
-    cuts = sorted(set(points))
-    part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda p: p <= F.col(first))), F.lit(0)) if cuts else F.lit(0)
-    dealt = df.withColumn("g_part", part)
-    counts = dealt.groupBy("g_part").count()
-    before = counts.withColumn("g_before", F.coalesce(F.sum("count").over(Window.orderBy("g_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    place = F.row_number().over(Window.partitionBy("g_part").orderBy(*order)) - 1
-    return dealt.withColumn("g_place", place).join(F.broadcast(before), "g_part").withColumn("batch", F.floor((F.col("g_place") + F.col("g_before")) / size)).drop("g_part", "g_place", "g_before")
+    ranged = written(df.repartitionByRange(*by, *order).withColumn("g_range", F.spark_partition_id()))
+    counts = ranged.groupBy("g_range", *by).agg(F.count("*").alias("g_count"))
+    ahead = F.sum("g_count").over(Window.partitionBy(*by).orderBy("g_range").rowsBetween(Window.unboundedPreceding, -1))
+    before = counts.withColumn("g_before", ahead).where("g_before > 0").drop("g_count")
+    before = before.withColumnsRenamed({c: f"g_of_{k}" for k, c in enumerate(["g_range", *by])})
+    same = reduce(Column.__and__, [ranged[c].eqNullSafe(before[f"g_of_{k}"]) for k, c in enumerate(["g_range", *by])])
+    local = F.row_number().over(Window.partitionBy("g_range", *by).orderBy(*order)) - 1
+    placed = ranged.withColumn("g_local", local)
+    return placed.join(F.broadcast(before), same, "left").select(*[placed[c] for c in df.columns if c != name], (F.col("g_local") + F.coalesce("g_before", F.lit(0))).alias(name))
+
+
+def batches(df: DataFrame, order: Sequence[str | Column], size: int) -> DataFrame:
+    """df with batch: rows in order, `size` to a batch, counted from 0. The order may be of any types; see numbered."""
+    return numbered(df, [], order, "g_place").withColumn("batch", F.floor(F.col("g_place") / size)).drop("g_place")
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

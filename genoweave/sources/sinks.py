@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import html
 import json
-import tempfile
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import batches
+from ..shared import scratch as scratch
 
 
 #: The columns of a table of rows whose sequence couldn't be cut out, and why.
@@ -53,16 +52,6 @@ def in_batches(df: DataFrame, path: str, order: Sequence[str], size: int, mode:
     return df.sparkSession.read.parquet(path).groupBy("batch").agg(F.count("*").alias("n"))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share: spark.checkpoint.dir, or on one machine a temporary one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='genoweave-')}"
-    return f"{found}/files-{uuid.uuid4().hex}"
-
-
 def small_bytes(data: bytes, path: str) -> None:
     """Bytes of the driver's as one file, on whatever file system the path names."""
     spark = SparkSession.active()

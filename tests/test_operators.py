@@ -181,3 +181,22 @@ def test_two_passes_over_an_annotation(spark):
     gff = spark.createDataFrame([("exon", "t1", "g1", "c", 1, 2, "+", 1), ("gene", None, "g1", "c", 1, 9, "+", 2), ("gene", None, "g1", "d", 5, 6, "-", 3), ("exon", "t2", "g7", "c", 1, 2, "+", 4)], "feature string, transcript_id string, gene_id string, chrom string, start long, end long, strand string, row_ord long")
     out = genome.annotations_by_gene(gff, spark.createDataFrame([("t1",), ("t2",), ("t3",)], "transcript_id string")).collect()
     assert [tuple(r) for r in out] == [("t1", "g1", "c", 1, 9, "+")]
+
+
+def test_numbered_is_row_number_for_hot_keys_nulls_and_text(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 50).cast("string")).alias("k"), F.format_string("t%05d", F.col("id") * 79 % 6007).alias("o"), "id")
+    got = {r["id"]: r["number"] for r in rows.numbered(df, ["k"], ["o"]).collect()}
+    groups: dict = {}
+    for r in df.collect():
+        groups.setdefault(r["k"], []).append((r["o"], r["id"]))
+    assert got == {i: n for g in groups.values() for n, (_, i) in enumerate(sorted(g))}
+    assert rows.numbered(df.limit(0), ["k"], ["o"]).count() == 0
+
+
+def test_batches_by_text_and_descending_with_ties(spark):
+    df = spark.range(2500).select((F.col("id") % 9).cast("string").alias("o"), "id")
+    got = sorted(((r["o"], r["id"]), r["batch"]) for r in rows.batches(df, ["o", "id"], 100).collect())
+    assert [b for _, b in got] == [n // 100 for n in range(2500)]
+    down = {r["id"]: r["batch"] for r in rows.batches(df, [F.desc("o"), F.desc("id")], 100).collect()}
+    want = sorted(range(2500), key=lambda i: (str(i % 9), i), reverse=True)
+    assert down == {i: n // 100 for n, i in enumerate(want)}
