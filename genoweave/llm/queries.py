@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunks, compression, licenses, packing, sharding, simhash, spotsigs, toxicity, warc
+from . import audit, bpe, chunks, compression, licenses, packing, sharding, simhash, spotsigs, toxicity, trie, warc
 from .common import table
 
 SHARDS = 24
@@ -76,8 +76,16 @@ def op10_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sharding, op2_bpe, op3_substrings, op4_packing, op5_simhash, op6_licenses, op7_toxicity, op8_spotsigs, op9_warc, op10_compression)
+    own = (op1_sharding, op2_bpe, op3_substrings, op4_packing, op5_simhash, op6_licenses, op7_toxicity, op8_spotsigs, op9_warc, op10_compression, op11_prefix_trie, op12_filter_audit)
     return {f.__name__: f for f in own}
 
 
@@ -95,5 +103,7 @@ def oracle_sql() -> dict[str, str]:
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
 SELECT page_id, strlen(html)::bigint AS payload_bytes, {base32_sql('digest')} AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM p
-"""
+""",
+        "op11_prefix_trie": trie.SQL,
+        "op12_filter_audit": audit.SQL,
     }
