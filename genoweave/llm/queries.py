@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chunks, compression, licenses, packing, sharding, simhash, spotsigs, toxicity, trie, warc
+from . import audit, bpe, chunks, compression, lbl, licenses, packing, sharding, simhash, spotsigs, toxicity, trie, warc
 from .common import table
 
 SHARDS = 24
@@ -84,8 +84,15 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.log_bilinear_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sharding, op2_bpe, op3_substrings, op4_packing, op5_simhash, op6_licenses, op7_toxicity, op8_spotsigs, op9_warc, op10_compression, op11_prefix_trie, op12_filter_audit)
+    own = (
+        op1_sharding, op2_bpe, op3_substrings, op4_packing, op5_simhash, op6_licenses, op7_toxicity, op8_spotsigs, op9_warc, op10_compression,
+        op11_prefix_trie, op12_filter_audit, op13_log_bilinear,
+    )
     return {f.__name__: f for f in own}
 
 
