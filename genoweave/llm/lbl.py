@@ -34,8 +34,8 @@ class Shape:
     endings: units of the others, by a hash of their last three bytes; noise: noise units a batch; batch: tokens a step; rate: of learning;
     rounds: eighths of the texts trained on before the tasks' models are averaged; all texts are in one of them.
 
-    A section is texts, or a part of a long one, with about section_words different words or section_tokens tokens. A training task
-    takes about task_tokens.
+    A section is texts, or a part of a long one, with about section_words different words, section_tokens tokens or section_bytes
+    bytes. A training task takes about task_tokens.
     """
 
     inputs: int = 65535
@@ -48,7 +48,7 @@ class Shape:
     rate: float = 0.1
     rounds: tuple[int, ...] = (1, 3, 4)
     section_words: int = 1 << 18
-    section_bytes: int = 1 << 25
+    section_bytes: int = 1 << 26
     section_tokens: int = 1 << 22
     task_tokens: int = 1 << 26
 
@@ -111,12 +111,10 @@ def sections(docs: DataFrame, shape: Shape, id_col: str, text_col: str) -> DataF
                 self.numbers, self.parts, self.pieces, self.tokens, self.bytes = Numbers(), [], [], 0, 0
                 self.numbers[END]
 
-            def add(self, words: list[bytes]):
-                known = len(self.numbers)
-                ids = np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words))
-                self.parts.append(ids)
-                self.tokens += len(ids)
-                self.bytes += len(words) and (len(self.numbers) - known) * (sum(map(len, words)) // len(words) + 1)
+            def add(self, words: list[bytes], size: int = 0):
+                self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
+                self.tokens += len(words)
+                self.bytes += size
 
             def full(self) -> bool:
                 return len(self.numbers) >= shape.section_words or self.tokens >= shape.section_tokens or self.bytes >= shape.section_bytes
@@ -144,7 +142,7 @@ def sections(docs: DataFrame, shape: Shape, id_col: str, text_col: str) -> DataF
                         yield now.row(first)
                         first, now, start, carry = first + 1, Section(), 0, len(recent)
                         now.add(recent)
-                    now.add(words)
+                    now.add(words, len(piece))
                     recent = [*recent, *words[-shape.context :]][-shape.context :]
                 now.add([END])
                 now.pieces.append((*own, carry, now.tokens - start - carry))
@@ -263,11 +261,15 @@ class Network:
             part = slice(s, s + 4096)
             scores = self.hidden(before[part]) @ self.outputs.T
             scores += self.biases
-            high = scores.max(axis=1, keepdims=True)
-            own = scores[np.arange(len(scores)), units[part]] - high[:, 0]
-            scores -= high
-            np.exp(scores, out=scores)
-            out[part] = own - np.log(scores @ ones)
+            own = scores[np.arange(len(scores)), units[part]]
+            with np.errstate(over="ignore"):
+                total = np.exp(scores, out=scores) @ ones
+            out[part] = own - np.log(np.where(total > 0, total, 1))
+            far = np.flatnonzero(~((total > 1e-30) & (total < 1e30)))
+            if far.size:  # scores too far from logarithms of probabilities for their powers: the highest is taken off first
+                scores = self.hidden(before[part][far]) @ self.outputs.T + self.biases
+                high = scores.max(axis=1)
+                out[s + far] = own[far] - high - np.log(np.exp(scores - high[:, None]) @ ones)
         return out
 
     def _step(self, name: str, rows, gradient: np.ndarray, by_row: bool) -> None:

@@ -137,6 +137,15 @@ def test_a_step_follows_the_gradient_of_noise_contrastive_estimation():
     assert np.allclose((moved.biases - net.biases), shape.rate * np.array(gradient) / np.sqrt(np.square(gradient) + 1e-3), atol=1e-2)
 
 
+def test_scores_of_any_size_are_normalised():
+    net, rng = fixed(SMALL, lbl.Counts(np.array([]), np.array([]), 4, np.arange(1, 10), np.ones(9, int))), np.random.default_rng(3)
+    before = rng.integers(0, 212, (20, 3)).astype(np.uint16)
+    for size in (1, 50, 1e4):
+        net.biases = (rng.standard_normal(9) * size).astype(np.float32)
+        every = np.stack([net.log_probabilities(before, np.full(20, u)) for u in range(9)])
+        assert np.isfinite(every).all() and np.allclose(np.exp(every).sum(axis=0), 1, atol=1e-4)
+
+
 def test_averaging_one_model_gives_that_model():
     counts = lbl.Counts(np.array([]), np.array([]), 4, np.arange(1, 10), np.ones(9, int))
     net = fixed(SMALL, counts)
