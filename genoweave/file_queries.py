@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators import genome, rows
-from .queries import query, view
-from .sources import files, sinks
+from .queries import _EXTRACT_ORACLE, GENOME, extracted, query, view
+from .shared import written
+from .sources import files, indexed, records, sinks
 
 _SEQ = "translate(hex(text), '0123456789ABCDEF', 'ACGTACGTACGTACGN')"
 _DOCS = f"SELECT doc_id, {_SEQ} AS seq FROM documents"
@@ -72,7 +73,7 @@ def _zip(members):
     return out.getvalue()
 
 
-@query("SELECT n_nationkey AS k, CASE WHEN n_nationkey % 2 = 0 THEN 'tgz' ELSE 'zip' END AS kind, upper(n_name) AS id, 'ACGTTT' AS seq FROM nation UNION ALL SELECT NULL, 'broken', NULL, NULL")
+@query("SELECT n_nationkey AS k, CASE WHEN n_nationkey % 2 = 0 THEN 'tgz' ELSE 'zip' END AS kind, replace(upper(n_name), ' ', '_') AS id, 'ACGTTT' AS seq FROM nation UNION ALL SELECT NULL, 'broken', NULL, NULL")
 def q_file_fasta_archives(spark, d):
     nations = view(spark, d, "SELECT n_nationkey AS k, replace(upper(n_name), ' ', '_') AS name FROM nation").collect()  # 25 rows
     path = sinks.scratch(spark)
@@ -82,11 +83,51 @@ def q_file_fasta_archives(spark, d):
     sinks.small_bytes(b"not an archive", f"{path}/c.tar")
     read = files.fasta_archives(spark, path)
     k = F.regexp_extract("file", r"m/(\d+)\.fa", 1).try_cast("int")
-    out = read.select(k.alias("k"), F.when(F.col("file").contains(".tgz"), "tgz").otherwise("zip").alias("kind"), F.replace("id", F.lit("_"), F.lit(" ")).alias("id"), "seq")
+    out = read.select(k.alias("k"), F.when(F.col("file").contains(".tgz"), "tgz").otherwise("zip").alias("kind"), "id", "seq")
     failed = files.archive_members(spark, path).where("error is not null").select(F.lit(None).cast("int").alias("k"), F.lit("broken").alias("kind"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("seq"))
     return out.unionByName(failed)
 
 
+_CHUNK = 500
+_LETTERS = "." * 70
+
+
+@query(f"""WITH s AS (SELECT doc_id, {_SEQ} AS seq FROM documents), c AS (SELECT doc_id, seq, unnest(range(0, greatest(1, (length(seq) + {_CHUNK - 1}) // {_CHUNK}))) AS chunk_no FROM s)
+SELECT 'd' || doc_id AS id, chunk_no::int AS chunk_no, md5(substr(seq, chunk_no * {_CHUNK} + 1, {_CHUNK})) AS seq_md5 FROM c""")
+def q_file_fasta_chunks(spark, d):
+    """Sequences over several lines, read by lines as chunks that lines and splits of files cross."""
+    records_of = view(spark, d, f"SELECT doc_id AS k, concat('>d', doc_id, ' x', chr(10), regexp_replace(seq, '({_LETTERS})', concat('$1', chr(10)))) AS value FROM ({_DOCS})")
+    return records.fasta_chunks(spark, put(records_of, ["k"]), "a", _CHUNK).select(F.col("seqid").alias("id"), "chunk_no", F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
+
+
+@query(f"""SELECT 'd' || doc_id AS seqid, length(seq) AS length, least(length(seq), 70) AS line_bases, CASE WHEN seq = '' THEN 0 ELSE least(length(seq), 70) + 1 END AS line_width, true AS regular FROM (SELECT doc_id, {_SEQ} AS seq FROM documents)""")
+def q_file_fasta_index(spark, d):
+    """The index of FASTA files, worked out by split."""
+    records_of = view(spark, d, f"SELECT doc_id AS k, concat('>d', doc_id, ' x', CASE WHEN seq = '' THEN '' ELSE chr(10) END, regexp_replace(regexp_replace(seq, '({_LETTERS})', concat('$1', chr(10))), '\\n$', '')) AS value FROM ({_DOCS})")
+    return records.fasta_index(spark, put(records_of, ["k"]), "a").select("seqid", "length", "line_bases", "line_width", "regular")
+
+
+@query(_EXTRACT_ORACLE)
+def q_extract_indexed(spark, d):
+    """As q_extract, but regions are read out of FASTA files by their index, and the files as wholes never."""
+    path = sinks.scratch(spark)
+    genome_rows = view(spark, d, GENOME).select("assembly", F.concat(F.lit(">"), "seqid", F.lit("\n"), F.regexp_replace("seq", "(.{61})", "$1\n")).alias("value"))
+    sinks.fasta_by(genome_rows, path, "assembly")
+    index = written(records.fasta_index(spark, f"{path}/*", "").withColumn("assembly", F.regexp_extract("path", "/assembly=([^/]*)/", 1)))
+    return extracted(spark, d, lambda regions: indexed.indexed_slices(regions, index, "transcript_id"), index.select("assembly", "seqid", "length"))
+
+
+@query(f"SELECT 'd' || doc_id AS id, md5(seq) AS seq_md5, CAST(NULL AS varchar) AS failed FROM ({_DOCS}) UNION ALL SELECT NULL, NULL, 'broken.fa.gz' UNION ALL SELECT NULL, NULL, 'broken.zip'")
+def q_file_failures_by_file(spark, d):
+    """FASTA files of which some are broken: the others' records, and a row for each that failed."""
+    path = put(view(spark, d, f"SELECT doc_id AS k, concat('>d', doc_id, chr(10), seq) AS value FROM ({_DOCS})"), ["k"])
+    sinks.small_bytes(gzip.compress(b"no record")[:-9], f"{path}/broken.fa.gz")
+    sinks.small_bytes(b"PK not a directory", f"{path}/broken.zip")
+    found, failed = files.fasta_and_failures(spark, path)
+    good = found.select("id", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), F.lit(None).cast("string").alias("failed"))
+    return good.unionByName(failed.select(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("seq_md5"), files.file_name(F.col("file")).alias("failed")))
+
+
 # ---- annotations ----
 
 _LINES = "SELECT l_orderkey * 10 + l_linenumber AS k, l_partkey AS part, l_suppkey AS supp, l_linenumber AS line, CASE l_linenumber % 3 WHEN 0 THEN 'gene' WHEN 1 THEN 'mRNA' ELSE 'exon' END AS feature, CASE l_returnflag WHEN 'A' THEN '+' WHEN 'R' THEN '-' ELSE '?' END AS sign FROM lineitem"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,11 +79,12 @@ def slices(regions: DataFrame, chunks: DataFrame, row_id: str, size: int = CHUNK
     return regions.join(pieces, row_id, "left").withColumn("seq", F.nullif(F.upper("g_seq"), F.lit(""))).drop("g_seq")
 
 
-def extract(genes: DataFrame, chunks: DataFrame, aliases: DataFrame, index: DataFrame, up: int = 1000, down: int = 1000, row_id: str = "transcript_id", size: int = CHUNK) -> DataFrame:
+def extract(genes: DataFrame, chunks: DataFrame | Callable[[DataFrame], DataFrame], aliases: DataFrame, index: DataFrame, up: int = 1000, down: int = 1000, row_id: str = "transcript_id", size: int = CHUNK) -> DataFrame:
     """genes (row_id, assembly, chrom, start, end, strand, ...) routed, with seqid, ext_start, ext_end and the stranded seq.
 
     Rejects, in this order: missing_coordinates (either end), assembly_not_cached, chrom_not_found, sequence_error. Inverted coordinates are
-    put in order first.
+    put in order first. Instead of chunks, a function of regions (row_id, assembly, seqid, ext_start, ext_end) may give their seq, such as
+    sources.indexed.indexed_slices.
     """
     low, high = ordered(F.col("start"), F.col("end"))
     given = F.col("start").isNotNull() & F.col("end").isNotNull()
@@ -91,7 +94,7 @@ def extract(genes: DataFrame, chunks: DataFrame, aliases: DataFrame, index: Data
     a, b = flanked(F.col("start"), F.col("end"), F.col("strand"), F.col("length"), up, down)
     rows = rows.withColumns({"ext_start": a, "ext_end": b})
     usable = rows.where("seqid is not null and ext_start is not null and ext_end > ext_start").select(row_id, "assembly", "seqid", "ext_start", "ext_end")
-    cut = slices(usable, chunks, row_id, size).select(row_id, "seq")
+    cut = (chunks(usable) if callable(chunks) else slices(usable, chunks, row_id, size)).select(row_id, "seq")
     joined = rows.join(cut, row_id, "left").withColumn("seq", stranded(F.col("seq"), F.col("strand")))
     checks = [
         (F.col("start").isNull() | F.col("end").isNull(), "missing_coordinates"),

@@ -461,15 +461,19 @@ SELECT transcript_id, coalesce(reason, 'ok') AS reason, CASE WHEN reason IS NULL
   md5(CASE WHEN reason IS NULL THEN CASE WHEN strand = '-' THEN reverse(translate(cut, 'ACGTURYKMBVDHacgturykmbvdh', 'TGCAAYRMKVBHDtgcaayrmkvbhd')) ELSE cut END END) AS seq_md5 FROM r"""
 
 
-@query(_EXTRACT_ORACLE)
-def q_extract(spark, d):
-    chunks = genome.chunked(view(spark, d, GENOME), 64)
+def extracted(spark, d, chunks, index):
     no_alias = spark.createDataFrame([], "assembly string, alias string, cand_ord int, seqid string")
-    out = genome.extract(view(spark, d, GENES), chunks, no_alias, genome.genome_index(chunks), 20, 10, size=64)
+    out = genome.extract(view(spark, d, GENES), chunks, no_alias, index, 20, 10, size=64)
     ok = F.col("status") == "resolved"
     return out.select("transcript_id", F.coalesce("reason", F.lit("ok")).alias("reason"), F.when(ok, F.col("ext_start")).alias("ext_start"), F.when(ok, F.col("ext_end")).alias("ext_end"), F.md5(F.when(ok, F.col("seq")).cast("binary")).alias("seq_md5"))
 
 
+@query(_EXTRACT_ORACLE)
+def q_extract(spark, d):
+    chunks = genome.chunked(view(spark, d, GENOME), 64)
+    return extracted(spark, d, chunks, genome.genome_index(chunks))
+
+
 @query(f"WITH g AS ({GENOME}) SELECT seqid, md5(reverse(translate(seq, 'ACGT', 'TGCA'))) AS turned FROM g")
 def q_reverse_complement(spark, d):
     return view(spark, d, GENOME).select("seqid", F.md5(sequence.reverse_complement(F.col("seq")).cast("binary")).alias("turned"))

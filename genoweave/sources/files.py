@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import re
-import tarfile
-import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +14,7 @@ from ..functions.attrs import alias_values, attr_map, first_attr, value_forms
 from ..functions.rules import CSV_NULLS
 from ..functions.text import strand
 from ..operators.rows import keep_first, keep_last, nulls_cleaned
+from . import packed
 
 FASTA_SUFFIXES = (".fa", ".fasta", ".faa", ".fna", ".fa.gz", ".fasta.gz", ".faa.gz", ".fna.gz")
 
@@ -35,9 +33,10 @@ def _record(value: Column, path: Column) -> list[Column]:
 def fasta(spark: SparkSession, path: str | Sequence[str], row_ord: bool = True) -> DataFrame:
     """(file, header, id, description, seq, row_ord) of FASTA files, plain or gz. row_ord orders records within a file by where they are read.
 
-    A record is one row: the files are split at `>` after a line break. Text before the first `>` is no record.
+    A record is one row, for sequences that fit one: the files are split at `>` after a line break. records.fasta_chunks reads any length, and
+    leaves out a text before a file's first `>`, which is taken for a record here.
     """
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value"), F.col("value").startswith(">").alias("marked"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
     raw = raw.withColumn("row_ord", F.monotonically_increasing_id()).where(F.col("value").rlike(r"\S"))
     return raw.select(*_record(F.col("value"), F.col("path")), "row_ord") if row_ord else raw.select(*_record(F.col("value"), F.col("path")))
 
@@ -54,44 +53,36 @@ def fasta_ids(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return lines.select("file", F.split(F.substring("value", 2, 1 << 20), r"\s+")[0].alias("id"))
 
 
-def _members(content: bytes, name: str, suffixes: tuple[str, ...]) -> Iterator[tuple[str, bytes]]:
-    if name.endswith(".zip"):
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            yield from ((m, z.read(m)) for m in z.namelist() if m.lower().endswith(suffixes))
-    else:
-        with tarfile.open(fileobj=io.BytesIO(content)) as t:
-            yield from ((m.name, t.extractfile(m).read()) for m in t if m.isfile() and m.name.lower().endswith(suffixes))
+def archive_members(spark: SparkSession, path: str | Sequence[str], suffixes: tuple[str, ...] = FASTA_SUFFIXES) -> DataFrame:
+    """(file, member, text, error) of tar, tgz and zip files' members with the suffixes, gz ones inflated: a row each, for members that fit one.
 
+    A file or member that can't be read, or not to its end, gives what was read and a row with the error. packed.text_pieces has the
+    same in pieces, whatever a member's size.
+    """
+    pieces = packed.text_pieces(spark, path, suffixes)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))), lambda p: p.text), "\n")
+    whole = pieces.where("error is null").groupBy("file", "member").agg(text.alias("text"), F.lit(None).cast("string").alias("error"))
+    return whole.unionByName(packed.failures(pieces).withColumn("text", F.lit(None).cast("string")))
 
-def archive_members(spark: SparkSession, path: str | Sequence[str], suffixes: tuple[str, ...] = FASTA_SUFFIXES) -> DataFrame:
-    """(file, member, text, error) of tar, tgz and zip files' members with the suffixes, gz ones inflated. An archive that can't
-    be read, or not to its end, gives what was read and a row with the error. A task takes an archive."""
 
-    def run(frames):
-        import gzip
+def fasta_archives(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """fasta's columns, without the order, of the FASTA members of archives: records put together of their chunks."""
+    return whole_records(packed.fasta(packed.text_pieces(spark, path, FASTA_SUFFIXES))).drop("row_ord")
 
-        import pandas as pd
 
-        for pdf in frames:
-            out = []
-            for name, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    for member, data in _members(bytes(content), name.lower(), suffixes):
-                        data = gzip.decompress(data) if member.lower().endswith(".gz") else data
-                        out.append((name, member, data.decode("utf-8", "replace"), None))
-                except (OSError, EOFError, tarfile.TarError, zipfile.BadZipFile) as e:
-                    out.append((name, None, None, str(e)))
-            yield pd.DataFrame(out, columns=["file", "member", "text", "error"])
+def fasta_and_failures(spark: SparkSession, path: str | Sequence[str], **sizes: int) -> tuple[DataFrame, DataFrame]:
+    """(records with fasta's columns, failures (file, member, error)) of FASTA files, plain, gz or in archives, read once.
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, "file string, member string, text string, error string")
+    A file that can't be read, or not to its end, doesn't stop the others: what could be read of it is there, and a row says what failed.
+    """
+    pieces = packed.text_pieces(spark, path, FASTA_SUFFIXES, **sizes)
+    return whole_records(packed.fasta(pieces)), packed.failures(pieces)
 
 
-def fasta_archives(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """fasta's columns, without the order, of the FASTA members of archives."""
-    texts = archive_members(spark, path).where("error is null")
-    records = texts.select(F.concat_ws("/", "file", "member").alias("file"), F.explode(F.split(F.regexp_replace("text", r"^[^>]*>", ""), r"\n>")).alias("value"))
-    return records.where(F.col("value").rlike(r"\S")).select(*_record(F.col("value"), F.col("file")))
+def whole_records(chunks: DataFrame) -> DataFrame:
+    """fasta's columns of chunks (file, header, id, row_ord, chunk_no, seq): a record is one row again."""
+    seq = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "seq"))), lambda c: c.seq), "")
+    return chunks.groupBy("row_ord").agg(*[F.first(c).alias(c) for c in ("file", "header", "id")], F.first("header").alias("description"), seq.alias("seq")).select("file", "header", "id", "description", "seq", "row_ord")
 
 
 def tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, optional: bool = True, header: bool = True, nulls: Sequence[str] = CSV_NULLS) -> DataFrame:
@@ -171,6 +162,12 @@ def pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return keep_last(rows.select(F.col("f")[0].alias("key"), F.col("f")[1].alias("value"), "row_ord"), ["key"], ["row_ord"]).drop("row_ord")
 
 
+def fai_index(spark: SparkSession, path: str | Sequence[str], assembly: str, fasta: str) -> DataFrame:
+    """(assembly, path, seqid, length, offset, line_bases, line_width) of a sequence index of the file `fasta`; see indexed.indexed_slices."""
+    rows = spark.read.schema("seqid string, length long, offset long, line_bases int, line_width int").option("sep", "\t").csv(path)
+    return rows.select(F.lit(assembly).alias("assembly"), F.lit(fasta).alias("path"), "seqid", "length", "offset", "line_bases", "line_width")
+
+
 def fai(spark: SparkSession, path: str | Sequence[str], assembly: str) -> DataFrame:
     """(assembly, seqid, length) of a sequence index."""
     return spark.read.schema("seqid string, length long, offset long, line_bases int, line_width int").option("sep", "\t").csv(path).select(F.lit(assembly).alias("assembly"), "seqid", "length")
