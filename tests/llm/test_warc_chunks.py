@@ -70,33 +70,50 @@ def test_streams_of_several_members_are_inflated_and_cut_ones_refused():
         list(warc.inflated(io.BytesIO(whole[:-9])))
 
 
+def plain_windows(raw, how):
+    """(start, end) of the windows, by going from every edge."""
+    edges = [0, *chunks.chunk_ends(raw, how)]
+    right = {(s, next((e for e in edges if e - s >= how.least_run), None)) for s in edges}
+    left = {(next((s for s in reversed(edges) if e - s >= how.least_run), None), e) for e in edges}
+    return sorted(w for w in right | left if None not in w)
+
+
 def plain_dedup(rows, how):
-    """Every chunk's smallest id; then the same rule, by dictionaries."""
-    first = {}
+    """Bytes of whole windows are compared, with no digest."""
+    least, out = {}, Counter()
     for i, t in rows:
-        if i is not None and t:
-            raw, at = t.encode(), 0
-            for e in chunks.chunk_ends(raw, how):
-                first[raw[at:e]] = min(i, first.get(raw[at:e], i))
-                at = e
-    out = Counter()
+        if i is not None:
+            for s, e in plain_windows((t or "").encode(), how):
+                w = (t or "").encode()[s:e]
+                least[w] = min(least.get(w, i), i)
     for i, t in rows:
-        raw, at, seen, keep, run = (t or "").encode(), 0, set(), [], []
-        for e in [*chunks.chunk_ends(raw, how), None]:
-            c = None if e is None else raw[at:e]
-            if c is not None and (c in seen or (i is not None and first[c] < i)):
-                run.append(c)
-            else:
-                if sum(map(len, run)) < how.least_run:
-                    keep += run
-                run = []
-                keep += [c] if c is not None else []
-            seen.add(c)
-            at = e
-        out[i, None if t is None else b"".join(keep).decode()] += 1
+        raw, seen, gone = (t or "").encode(), {}, set()
+        for s, e in plain_windows(raw, how):
+            w = raw[s:e]
+            if (i is not None and least[w] < i) or seen.get(w, e) <= s:
+                gone.update(range(s, e))
+            seen.setdefault(w, e)
+        out[i, None if t is None else bytes(c for k, c in enumerate(raw) if k not in gone).decode()] += 1
     return out
 
 
+def test_no_byte_goes_that_does_not_stand_in_a_long_stretch_before(spark):
+    """On plain substrings: common phrases in any order make chunks that were seen, but no stretch of 120 bytes that was."""
+    rnd = random.Random(8)
+    phrases = [" ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9))) for _ in range(rnd.randint(3, 8))) for _ in range(60)]
+    passage = " ".join(rnd.choice(phrases) for _ in range(12))
+    rows = [(i, " ".join(rnd.choice(phrases) for _ in range(40)) + (f" {passage} " + " ".join(rnd.choice(phrases) for _ in range(5)) if i % 10 == 0 else "")) for i in range(150)]
+    out = {r.doc_id: r for r in chunks.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    before = ""
+    for i, t in rows:
+        for s, e in out[i].removed_spans:
+            for part in (t[s : s + 120], t[e - 120 : e]):
+                assert part in before or part in t[:s], (i, s, e)
+        before += t + "\0"
+    cut = sum(r.removed_bytes for r in out.values())
+    assert sum(out[i].removed_bytes for i in range(10, 150, 10)) > 0.8 * 14 * len(passage) and cut < 16 * len(passage)
+
+
 def test_substring_dedup_equals_brute_force(spark):
     rnd = random.Random(4)
     words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9))) for _ in range(2000)] + ["größer", "漢字漢字"]
