@@ -36,22 +36,90 @@ def first_of(branches: Sequence[tuple[Column, Column]]) -> Column:
     return reduce(lambda out, b: out.when(*b), rest, F.when(*head))
 
 
-def classify(identifier: Column, rules: Sequence[Rule] = ID_RULES) -> Column:
-    """struct(db_source, species_hint, source_hint, assembly_hint) of the first rule that holds, else null."""
-    return first_of([(identifier.rlike(_flagged(r)), _outcome(r)) for r in rules])
+def needle(pattern: str) -> tuple[str, bool]:
+    """(letters, at the start): the longest run of plain letters that every match of a rule's pattern has, upper-cased, and whether matches
+    of an anchored pattern begin with it. Classes, choices, and what may be left out have no such letters.
+    """
+    runs: list[list] = [[0, ""]]
+    at = 1 if pattern.startswith("^") else 0
+    begin = at
+
+    def part(run: str) -> None:
+        if run:
+            runs[-1][1] += run
+        elif runs[-1][1]:
+            runs.append([-1, ""])
+        else:
+            runs[-1][0] = -1
+
+    while at < len(pattern):
+        c, nxt = pattern[at], at + 1
+        letter = ""
+        if c == "\\":
+            nxt, letter = at + 2, "" if pattern[at + 1].isalnum() else pattern[at + 1]
+        elif c == "[":
+            nxt = pattern.index("]", at + 1) + 1
+        elif c == "(":
+            depth, nxt, choice = 1, at + 1, False
+            while depth:
+                plain = pattern[nxt - 1] != "\\"
+                depth += {"(": 1, ")": -1}.get(pattern[nxt], 0) if plain else 0
+                choice |= plain and depth == 1 and pattern[nxt] == "|"
+                nxt += 1
+            if not choice and pattern[nxt : nxt + 1] not in ("?", "*", "{"):
+                inner = pattern[at + 1 : nxt - 1].removeprefix("?:")
+                pattern, nxt = f"{pattern[:at]}{inner}{pattern[nxt:]}", at  # as if it had no brackets
+                begin = begin if at != begin else at
+                continue
+        elif c not in ".^$":
+            letter = c
+        more = pattern[nxt : nxt + 1]
+        if more in ("?", "*", "{", "+"):
+            if letter and more == "+":
+                part(letter)
+            letter, nxt = "", (pattern.index("}", nxt) if more == "{" else nxt) + 1
+        part(letter)
+        at = nxt
+    first, best = runs[0], max(runs, key=lambda r: len(r[1]))
+    return (first[1].upper(), True) if first[0] == 0 and len(first[1]) > 1 else (best[1].upper(), False)
+
+
+def _may_match(upper: Column, rule: Rule) -> Column | None:
+    """Whether a text, given in upper case, has the letters without which a rule can't hold; null where there are none."""
+    letters, start = needle(rule.pattern)
+    if not letters:
+        return None
+    return upper.startswith(letters) if start and rule.pattern.startswith("^") else upper.contains(letters)
+
+
+def _holds(text: Column, upper: Column, rule: Rule, pattern: str) -> Column:
+    """The pattern, tried only where the letters that it needs are there."""
+    may = _may_match(upper, rule)
+    return text.rlike(pattern) if may is None else may & text.rlike(pattern)
+
+
+def classify(identifier: Column, rules: Sequence[Rule] = ID_RULES, upper: Column | None = None) -> Column:
+    """struct(db_source, species_hint, source_hint, assembly_hint) of the first rule that holds, else null.
+
+    A rule's pattern is tried only on identifiers that have its plain letters, which are few. upper is the identifier in upper case, where a column has it.
+    """
+    big = F.upper(identifier) if upper is None else upper
+    return first_of([(_holds(identifier, big, r, _flagged(r)), _outcome(r)) for r in rules])
 
 
-def embedded(header: Column, rules: Sequence[Rule] = EMBEDDED_RULES, whole_words: bool = False) -> Column:
+def embedded(header: Column, rules: Sequence[Rule] = EMBEDDED_RULES, whole_words: bool = False, upper: Column | None = None) -> Column:
     """struct(transcript_id, and what classify gives) of the first accession found anywhere in a header, else null.
 
-    whole_words asks that no letter or digit stands right before it; without, as `GANC_010`, parts of other names count.
+    whole_words asks that no letter or digit stands right before it; without, as `GANC_010`, parts of other names count. Patterns are tried where
+    their plain letters are; upper as for classify.
     """
 
     def pattern(r: Rule) -> str:
         return f"(?i)(?<![A-Za-z0-9]){r.pattern}" if whole_words else f"(?i){r.pattern}"
 
+    big = F.upper(header) if upper is None else upper
     names = ("db_source", "species_hint", "source_hint", "assembly_hint")
-    found = [(header.rlike(pattern(r)), F.struct(F.regexp_extract(header, pattern(r), 1).alias("transcript_id"), *[F.lit(getattr(r, n)).alias(n) for n in names])) for r in rules]
+    found = [(_holds(header, big, r, pattern(r)), F.struct(F.regexp_extract(header, pattern(r), 1).alias("transcript_id"), *[F.lit(getattr(r, n)).alias(n) for n in names])) for r in rules]
     return first_of(found)
 
 

@@ -143,3 +143,13 @@ def spans(df: DataFrame, row_id: str, chunks: DataFrame, size: int = CHUNK) -> D
     keyed = df.withColumn("g_key", F.concat_ws("\u0001", F.col(row_id).cast("string"), F.col("exon_no").cast("string")))
     cut = slices(keyed, chunks, "g_key", size)
     return cut.groupBy(row_id).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ext_start", "seq"))), lambda x: x.seq), "").alias("seq"))
+
+
+def in_window(exons: DataFrame, row_id: str, strand: str = "strand") -> DataFrame:
+    """exons (row_id, exon_no, ext_start, ext_end, strand) with window_start, window_end, and rel_start and rel_end: their places in the window
+    of their row, which begins at its first exon's start, counted from the row's own beginning: from the right on `-`."""
+    span = exons.groupBy(row_id).agg(F.min("ext_start").alias("window_start"), F.max("ext_end").alias("window_end"))
+    turned = F.col(strand) == "-"
+    rows = exons.join(span, row_id)
+    low = F.when(turned, F.col("window_end") - F.col("ext_end")).otherwise(F.col("ext_start") - F.col("window_start"))
+    return rows.withColumns({"rel_start": low, "rel_end": low + F.col("ext_end") - F.col("ext_start")})

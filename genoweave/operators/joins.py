@@ -107,8 +107,35 @@ def overlap_join(records: DataFrame, tools: DataFrame) -> DataFrame:
     return shared.select("record_id", "tool", "prio", F.array_sort(first).alias("tokens"))
 
 
-def membership(ids: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
-    """ids with match_type: `exact`, `unversioned` (equal without versions) or null."""
+def key_bits(keys: DataFrame, column: str | Column, bits: int = 24) -> DataFrame:
+    """(word, bits): a Bloom filter of the keys, of 2 ** bits bits, two for a key, as rows of 64: at most 2 ** (bits - 6) rows whatever the keys are."""
+    key = F.col(column) if isinstance(column, str) else column
+    place = keys.where(key.isNotNull()).select(F.explode(F.array(*[h.bitwiseAND(F.lit((1 << bits) - 1)) for h in (F.xxhash64(key), F.xxhash64(key, F.lit(1)))])).alias("place"))
+    return place.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
+
+
+def maybe_in(df: DataFrame, column: str | Column, filter_rows: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows of df whose key may be one of key_bits' keys: all that are, and some that aren't. The filter has a bounded size and is broadcast, so
+    df isn't shuffled, and the rows that a join has no use for end at its scan."""
+    key = F.col(column) if isinstance(column, str) else column
+    small = F.broadcast(filter_rows)
+    out = df
+    for k, h in enumerate((F.xxhash64(key), F.xxhash64(key, F.lit(1)))):
+        out = out.withColumn("g_place", h.bitwiseAND(F.lit((1 << bits) - 1))).withColumn("g_word", F.shiftright("g_place", 6))
+        own = small.select(F.col("word").alias("g_word"), F.col("bits").alias("g_bits"))
+        out = out.join(own, "g_word").where(F.expr("(shiftright(g_bits, int(g_place & 63)) & 1L) = 1L")).select(*df.columns)
+    return out
+
+
+def membership(ids: DataFrame, column: str, known: DataFrame, known_column: str, filter_bits: int = 0) -> DataFrame:
+    """ids with match_type: `exact`, `unversioned` (equal without versions) or null.
+
+    With filter_bits, a filter of the ids (see key_bits) goes to the scan of known, of which few rows are left to be shuffled then: for a mapping
+    that is much larger than ids. The rows are the same.
+    """
+    known = known.select(known_column)
+    if filter_bits:
+        known = maybe_in(known, first_part(F.col(known_column)), key_bits(ids, first_part(F.col(column)), filter_bits), filter_bits)
     exact = known.select(F.col(known_column).alias(column)).distinct().withColumn("g_exact", F.lit(True))
     loose = known.select(first_part(F.col(known_column)).alias("g_base")).distinct().withColumn("g_loose", F.lit(True))
     joined = ids.withColumn("g_base", first_part(F.col(column))).join(exact, column, "left").join(loose, "g_base", "left")

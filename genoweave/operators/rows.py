@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_null, non_empty
-from ..shared import written
+from ..shared import scratch, written
 
 RESOLVED, UNRESOLVED = "resolved", "unresolved"
 
@@ -34,6 +34,17 @@ def taken(routed: DataFrame, status: str = RESOLVED) -> DataFrame:
     return rows.drop("reason") if status == RESOLVED else rows
 
 
+def routes(routed: DataFrame, column: str = "status") -> dict[str, DataFrame]:
+    """The rows of every route, each to be read by itself: routed is worked out once and written to the shared folder, parted by the column,
+    without which the routes come. A route without rows has the same columns. The routes are what status may be.
+    """
+    place = scratch(routed.sparkSession)
+    routed.write.partitionBy(column).parquet(place)
+    kept = routed.drop(column).schema
+    found = routed.sparkSession.read.schema(T.StructType([*kept, T.StructField(column, T.StringType())])).parquet(place)
+    return {r: found.where(F.col(column) == r).drop(column) for r in (RESOLVED, UNRESOLVED)}
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Of each key (null is one) the row that comes first by order.
 

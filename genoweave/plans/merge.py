@@ -10,8 +10,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.rules import NULL_TOKENS
 from ..functions.text import cache_key, clean_null, log_failure
-from ..operators.joins import anti, fill_from, membership, semi
-from ..operators.rows import alias_filled, conform, coordinates_given, in_priority_order, keep_first, nulled, prefer_filled, rejects_of, taken, with_defaults
+from ..operators.joins import fill_from, membership
+from ..operators.rows import RESOLVED as ROUTED
+from ..operators.rows import UNRESOLVED, alias_filled, conform, coordinates_given, in_priority_order, keep_first, nulled, prefer_filled, rejects_of, route, routes, with_defaults
 from ..operators.summaries import balanced, counted_share, funnel, pivot_rate, value_counts
 from ..schemas import RESOLVED
 
@@ -33,9 +34,9 @@ def merge(streams: Sequence[DataFrame], url_tables: Sequence[tuple[DataFrame, bo
     it, by organism. Of rows with the same identifier that of the first stream counts, and of a stream's the first by row_ord, or, where
     it has none, the smallest by its place and gene. Without an accession the address's key is one.
     """
-    routed = coordinates_given(in_priority_order(streams))
-    good = taken(routed)
-    lost = routed.where("status = 'unresolved'").select("transcript_id", "db_source", "reason")
+    parts = routes(coordinates_given(in_priority_order(streams)))  # the streams are worked out once
+    good = parts[ROUTED].drop("reason")
+    lost = parts[UNRESOLVED].select("transcript_id", "db_source", "reason")
     for dim, by_organism in url_tables:
         good = fill_from(good, dim, ["assembly_name", "organism"] if by_organism else ["assembly_name"], URL_COLUMNS, ["assembly_name", "organism", "fasta_url"])
     accession = clean_null(F.col("assembly_accession"), NULL_TOKENS)
@@ -59,10 +60,11 @@ def download_manifest(resolved: DataFrame) -> DataFrame:
 
 def downloads(resolved: DataFrame, statuses: DataFrame, logs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, unresolved): rows whose genome (assembly_accession) was fetched (statuses: key, ok), and the others with what their log (key, text) says."""
-    ok = statuses.where("ok").select(F.col("key").alias("assembly_accession"))
+    ok = statuses.where("ok").select(F.col("key").alias("assembly_accession")).distinct().withColumn("g_ok", F.lit(True))
     told = logs.select(F.col("key").alias("assembly_accession"), log_failure(F.col("text")).alias("fail_detail"))
-    failed = anti(resolved, ok, "assembly_accession").join(told, "assembly_accession", "left")
-    return semi(resolved, ok, "assembly_accession"), failed.withColumn("reason", F.lit("assembly_download_failed")).withColumn("fail_detail", F.coalesce("fail_detail", F.lit("unknown error")))
+    known = resolved.join(ok, "assembly_accession", "left").join(told, "assembly_accession", "left").withColumn("fail_detail", F.coalesce("fail_detail", F.lit("unknown error")))
+    parts = routes(route(known, [(F.col("g_ok").isNull(), "assembly_download_failed")]))
+    return parts[ROUTED].select(*resolved.columns), parts[UNRESOLVED].select(*resolved.columns, "reason", "fail_detail")
 
 
 def resolution_report(classified: DataFrame, unknown: DataFrame, resolved: DataFrame, unresolved: DataFrame) -> dict[str, DataFrame]:
@@ -87,4 +89,4 @@ def status_rates(rows: DataFrame, species: str, kind: str, kinds: Sequence[str],
 
 def external_check(ids: DataFrame, mapping: DataFrame) -> DataFrame:
     """By match_type the number of ids that another database's mapping (external_id) knows."""
-    return membership(ids, "transcript_id", mapping, "external_id").groupBy("match_type").agg(F.count("*").alias("n"))
+    return membership(ids, "transcript_id", mapping, "external_id", filter_bits=24).groupBy("match_type").agg(F.count("*").alias("n"))

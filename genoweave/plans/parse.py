@@ -11,7 +11,7 @@ from ..functions.ids import accessions, canonical_blanks, classify, drop_numeric
 from ..functions.rules import EMBEDDED_RULES, ID_RULES
 from ..functions.sequence import digest, digest_rna
 from ..operators.joins import overlap_join, validated_join
-from ..operators.rows import keep_first, route, taken
+from ..operators.rows import RESOLVED, UNRESOLVED, keep_first, route, routes
 from ..operators.summaries import strategy_counts
 
 #: The ways a record and a tool's record may be the same, the surest first.
@@ -22,20 +22,22 @@ def parse_ids(records: DataFrame, rules=ID_RULES, embedded_rules=EMBEDDED_RULES,
     """(classified, unknown) of records (file, file_ord, row_ord, header).
 
     An identifier is classified by its own form, else by an accession anywhere in its header. Of classified rows with
-    the same identifier the first file's first counts; unknown ones all stay.
+    the same identifier the first file's first counts; unknown ones all stay. The rules run once a row: the rows are written by their
+    route, and each table reads its own.
     """
-    token = records.withColumn("g_token", primary_token(F.col("header")))
-    found = token.withColumn("g_class", classify(F.col("g_token"), rules)).withColumn("g_embedded", F.when(F.col("g_class").isNull(), embedded(F.col("header"), embedded_rules, whole_words)))
+    token = records.withColumn("g_token", primary_token(F.col("header"))).withColumn("g_upper", F.upper("g_token"))
+    found = token.withColumn("g_class", classify(F.col("g_token"), rules, F.col("g_upper")))
+    found = found.withColumn("g_big", F.when(F.col("g_class").isNull(), F.upper("header")))  # of the few that are left
+    found = found.withColumn("g_embedded", F.when(F.col("g_class").isNull(), embedded(F.col("header"), embedded_rules, whole_words, F.col("g_big"))))
     names = ("db_source", "species_hint", "source_hint", "assembly_hint")
     rows = found.select(
         F.coalesce("g_embedded.transcript_id", "g_token").alias("transcript_id"), *[F.coalesce(F.col(f"g_class.{n}"), F.col(f"g_embedded.{n}")).alias(n) for n in names],
         F.col("header").alias("raw_header"), F.col("file").alias("source_file"), "file_ord", "row_ord",
     )
-    routed = route(rows, [(F.col("db_source").isNull(), "pattern_unmatched")])
+    parts = routes(route(rows, [(F.col("db_source").isNull(), "pattern_unmatched")]))
     order = ["file_ord", "row_ord"]
-    known = keep_first(taken(routed), ["transcript_id"], order).select("transcript_id", *names, "raw_header", "source_file")
-    unknown = routed.where("status = 'unresolved'").select("transcript_id", "raw_header", "source_file", "reason")
-    return known, unknown
+    known = keep_first(parts[RESOLVED], ["transcript_id"], order).select("transcript_id", *names, "raw_header", "source_file")
+    return known, parts[UNRESOLVED].select("transcript_id", "raw_header", "source_file", "reason")
 
 
 def tokens(records: DataFrame, *keys: str) -> DataFrame:

@@ -16,6 +16,7 @@ from ..functions.text import ensembl_urls, map_values, non_empty, region, specie
 from ..operators.joins import first_match_join, first_source_join, lookup_chain, two_probes, versioned_then_base
 from ..operators.rows import first_present, keep_first, map_or_reject, matching, prefixed_or_inferred, route
 from ..operators.summaries import ambiguity, ambiguous_by_count, guard, match_rates
+from ..shared import written
 
 COORDS = ("gene_id", "gene_symbol", "chrom", "start", "end", "strand")
 
@@ -99,6 +100,7 @@ def _by_species(rows: DataFrame, index: DataFrame, candidates: Callable[[Column]
     known = index.select("species").distinct().withColumn("g_known", F.lit(True))
     out = route(hit.join(known, "species", "left"), [(F.col("species").isNull(), "species_unknown"), (F.col("g_known").isNull(), F.concat(F.lit("no_gtf_source:"), F.col("species"))), (F.col("chrom").isNull(), reason)]).drop("g_known")
     if strict:
+        out = written(out)  # the guard counts what the plan gives, and nothing is worked out twice
         n = lambda df: df.where("species is not null").groupBy("species").agg(F.count("*").alias("n"))
         guard(match_rates(n(out.where("status = 'resolved' or reason = '" + reason + "'")), n(out.where("status = 'resolved'")), "species"), "species")
     return out
@@ -310,6 +312,17 @@ def gene_assemblies(genes: DataFrame, direct: DataFrame, nucleotide: DataFrame,
     return rows.drop("g_direct", "g_nucleotide").join(metadata, "assembly", "left")
 
 
+def genomic_assemblies(genomic: DataFrame, services: Sequence[DataFrame]) -> DataFrame:
+    """genomic (accession) with assembly and service: what the first service in order answers, and its number, from 0. A service is a snapshot
+    (accession, assembly) of one batched lookup; null and empty answers are none, and of several for an accession the smallest counts."""
+    answers = None
+    for k, s in enumerate(services):
+        one = s.select("accession", F.lit(k).alias("service"), non_empty(F.col("assembly")).alias("assembly")).where("assembly is not null")
+        answers = one if answers is None else answers.unionByName(one)
+    best = answers.groupBy("accession").agg(F.min(F.struct("service", "assembly")).alias("g_hit"))
+    return genomic.join(best, "accession", "left").select(*genomic.columns, "g_hit.assembly", "g_hit.service")
+
+
 def abandoned_debug(resolved: DataFrame, accessions: DataFrame, by_transcript: DataFrame, by_gene: DataFrame) -> DataFrame:
     """For each accession (transcript_id), what abandoned_third_pass made of it and how: its genome, assembly and genes, status, reason, and the
     strategy that had an answer, `transcript_id` before `gene_id`, else none. by_transcript and by_gene are that pass's tables."""

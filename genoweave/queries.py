@@ -589,12 +589,12 @@ def q_manifest(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    from . import file_queries, plan_queries  # noqa: F401  they register their own
+    from . import file_queries, lookup_queries, plan_queries  # noqa: F401  they register their own
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import file_queries, plan_queries  # noqa: F401
+    from . import file_queries, lookup_queries, plan_queries  # noqa: F401
 
     return dict(_oracles)

@@ -7,7 +7,7 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import batches
@@ -31,8 +31,11 @@ def failures(parts: Sequence[DataFrame], path: str, columns: Sequence[str] = FAI
 
 def tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite") -> None:
     """Tab-separated files with a header. An empty table gives one file with the header alone."""
-    kept = df if not df.isEmpty() else df.repartition(1)
-    kept.write.mode(mode).options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
+    counted = Observation()
+    df = df.observe(counted, F.count(F.lit(1)).alias("n"))
+    df.write.mode(mode).options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
+    if not counted.get["n"]:  # Spark writes no file, and so no header, for a plan that it knows to be empty
+        df.sparkSession.createDataFrame([], df.schema).repartition(1).write.mode("overwrite").options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
 
 
 def text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,8 +44,9 @@ def text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def fasta_by(df: DataFrame, path: str, column: str, mode: str = "overwrite") -> None:
-    """FASTA records (column, value) in a folder for each of the column's values."""
-    df.select(column, "value").repartition(column).write.mode(mode).partitionBy(column).text(path)
+    """FASTA records (column, value) in a folder for each of the column's values, in as many files as its rows call for: a value that has most
+    rows isn't one task's."""
+    df.select(column, "value").hint("rebalance", column).write.mode(mode).partitionBy(column).text(path)
 
 
 def in_batches(df: DataFrame, path: str, order: Sequence[str], size: int, mode: str = "overwrite") -> DataFrame:

@@ -126,3 +126,30 @@ def test_sequences(spark):
     assert len(set(each(spark, sequence.digest_rna, ["ACGU", "acgt"]))) == 1 and len(set(each(spark, sequence.digest, ["ACGU", "acgt"]))) == 2
     exons = spark.createDataFrame([([(9, "GG"), (1, "AC")],)], "e array<struct<start:int,seq:string>>")
     assert [r[0] for r in exons.select(sequence.exon_concat(F.col("e"), F.lit("-"))).collect()] == ["CCGT"]
+
+
+def test_letters_that_rules_need_change_no_classification(spark):
+    """The ladder with every pattern tried, in Python, over identifiers cut from the patterns and changed at random."""
+    import random
+    import re
+
+    rnd, cases = random.Random(3), set()
+    seeds = ["NM_12.3", "ENSMUST00000012345.2", "uc001aaa.3", "x_wormbase:known_chromosome:WBcel235:", "Solyc01g1.2.1", "OS01T01_02_cdna", "Glyma.01G123456.1", "AT1G1.1", "Zm00001d1_T001", "Zm1g2", "GRMZM2G", "LOC_Os1g1", "Os1g1",
+        "TraesCS1A.1", "Bradi1g2.3", "Bra12", "BnaA1g1", "BnaC1g1", "Bo1g1", "AETx", "Amtr_1", "evm_27.model.A_b", "evm.model.x.1", "Cre1.g1", "Pp3c1_1V3.1", "Pp1s1_1", "Medtr1g1", "GSMUA_x", "OB1g1", "Si1g1", "Thecc1EG1", "orange1.1g1", "12345.m123456",
+        "SM12", "Manes.1A.2", "cassava1.2", "AC1.2", "Potri.1G1", "Sobic.1G.2", "GSVIVT1", "GTVIVG1", "VIT_1s1", "PGSC1DMx", "2L52.1a.1", "FBtr1", "FBgn1", "WBGene1", "YAL1C_A", "Q1234", "Source:SGD;Acc:S1", "NONHSAT1.2", "NONHSAG1.2", "Stub1g2.3", "ref|XM_1.1", "\u017fM12", "\u0131"]
+    for s in seeds:
+        cases |= {s, s.lower(), s.upper()}
+        for _ in range(12):
+            k = rnd.randrange(len(s) + 1)
+            cases.add(s[:k] + rnd.choice(["", "x", ".", "1", " ", "_"]) + s[k + rnd.randint(0, 1) :])
+    cases = sorted(cases)
+
+    def plain(table, text, whole):
+        for r in table:
+            if re.search(r.pattern, text, re.A | (0 if whole and r.db_source == "noncode" else re.I)):
+                return r.db_source, r.species_hint, r.source_hint, r.assembly_hint
+
+    assert [r and tuple(r) for r in each(spark, ids.classify, cases)] == [plain(rules.ID_RULES, c, True) for c in cases]
+    heads = [f"say {c} and more" for c in cases] + cases
+    assert [r and tuple(r)[1:] for r in each(spark, ids.embedded, heads)] == [plain(rules.EMBEDDED_RULES, h, False) for h in heads]
+    assert ids.needle(r"^(A|B)_x+(?:cde)?f") == ("_X", False) and ids.needle(r"(?:ab)?c\d{2}def*g") == ("DE", False) and ids.needle(r"^(ab\.c)\d") == ("AB.C", True)

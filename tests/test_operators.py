@@ -200,3 +200,25 @@ def test_batches_by_text_and_descending_with_ties(spark):
     down = {r["id"]: r["batch"] for r in rows.batches(df, [F.desc("o"), F.desc("id")], 100).collect()}
     want = sorted(range(2500), key=lambda i: (str(i % 9), i), reverse=True)
     assert down == {i: n // 100 for n, i in enumerate(want)}
+
+
+def test_a_filter_of_keys_changes_no_membership(spark):
+    ids = spark.createDataFrame([(f"NM_{k}.{k % 3}",) for k in range(200)] + [(None,)], "transcript_id string")
+    known = spark.range(20_000).select(F.concat(F.lit("NM_"), F.col("id") % 7000, F.lit("."), F.col("id") % 2).alias("external_id")).unionByName(spark.createDataFrame([(None,)], "external_id string"))
+    plain, filtered = (sorted(map(tuple, joins.membership(ids, "transcript_id", known, "external_id", bits).collect()), key=repr) for bits in (0, 14))
+    assert plain == filtered and {m for _, m in plain} == {"exact", "unversioned", None}
+    left = joins.maybe_in(known, "external_id", joins.key_bits(ids, "transcript_id", 20), 20)
+    assert left.join(ids, left.external_id == ids.transcript_id).count() == known.join(ids, known.external_id == ids.transcript_id).count() and left.count() < 1500
+
+
+def test_routes_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    parts = rows.routes(rows.route(spark.range(10).select(counted("id").alias("k")), [(F.col("k") % 3 == 0, "third")]))
+    assert sorted(r.k for r in parts["resolved"].collect()) == [1, 2, 4, 5, 7, 8] and {(r.k, r.reason) for r in parts["unresolved"].collect()} == {(0, "third"), (3, "third"), (6, "third"), (9, "third")}
+    assert seen.value == 10
