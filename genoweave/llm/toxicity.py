@@ -99,12 +99,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, limits: Limits, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, y) of at most about limits.sample_rows labelled rows, by a hash of the id; held-out rows are left out."""
+    """(text, y) of at most about limits.sample_rows labelled rows, by a hash of the id; held-out rows are left out. Of rows with the same id
+    one counts, the one whose text has the smallest hash."""
     usable = labels.where(~held_out(id_col) & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("y"))
     n = usable.count()
     share = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = usable.where(share < F.lit(limits.sample_rows / max(n, 1)))
-    return docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), id_col).select("text", "y")  # about sample_rows rows
+    found = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), id_col)  # about sample_rows ids
+    return found.groupBy(id_col).agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("y").alias("y")).select("text", "y")
 
 
 def count_signs(sample: DataFrame, candidates: Container[str] | None = None) -> DataFrame:
