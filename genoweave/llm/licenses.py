@@ -187,12 +187,13 @@ def inline(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (a struct, so that null ids are equal), para and words of each line, and of each run of several lines, of two words or more.
+    """id (a struct of v, so that null ids are equal, and a hash of the text), para and words of each line, and of each run of several
+    lines, of two words or more.
 
     Runs end at lines without letters or digits of ASCII; comment marks fall away with other signs. para is RUN times the run's
     number, both from 0, and for a line its number in the run, from 1, on top.
     """
-    runs = docs.select(F.struct(F.col(id_col).alias("v")).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), r"\n[^A-Za-z0-9\n]*+(?=\n)")).alias("run", "body"))
+    runs = docs.select(F.struct(F.col(id_col).alias("v"), F.xxhash64(text_col).alias("h")).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), r"\n[^A-Za-z0-9\n]*+(?=\n)")).alias("run", "body"))
     split = F.split("body", "\n")
     worded = F.size(F.filter(split, lambda x: x.rlike("[A-Za-z0-9]")))
     lines = runs.select("id", "run", F.posexplode(F.concat(F.array(F.when(worded > 1, F.col("body")).otherwise("")), split)).alias("at", "line"))
@@ -223,20 +224,20 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     family is that of the surest confirmed paragraph (ties: the first family by name), `unknown` if paragraphs look licensed
     but no template confirms it, `none` otherwise. probability is the classifier's, calibrated; shared is the share of the
     template's word triples that the paragraph has; n_paragraphs counts the confirmed ones. A paragraph is a line, or a
-    run of lines if as a whole it is confirmed (counted if none of its lines is), as texts may be wrapped. Null and empty texts are `none`; null ids are one id; rows with the same id are scanned as one document. Other columns are not
+    run of lines if as a whole it is confirmed (counted if none of its lines is), as texts may be wrapped. Null and empty texts are `none`; null ids are one id; rows with the same id are scanned as one document, of which equal texts are there once. Other columns are not
     returned. An empty table gives no rows.
     """
     spark = docs.sparkSession
     model = model or fit(sampled_paragraphs(docs, limits, text_col), limits)
     classes = len(model.families) + 1
-    weights = inline(spark, [{"gram": g, "w": list(w), "lifts": max(w[:-1]) > w[-1]} for g, w in model.weights.items()], "gram string, w array<double>, lifts boolean")
+    weights = inline(spark, [{"gram": g, "w": list(w), "lifts": max(w[:-1]) > w[-1], "k": k} for k, (g, w) in enumerate(model.weights.items())], "gram string, w array<double>, lifts boolean, k int")
 
     paras = paragraphs(docs, id_col, text_col)
     telling = paras.where(F.exists("words", lambda w: w.isin(*telling_words())))  # no other line can be confirmed, so none is counted
     hits = telling.select("id", "para", F.explode(F.array_distinct(F.concat(_ngrams("words", 2), _ngrams("words", 3)))).alias("gram")).join(F.broadcast(weights), "gram")
     # a line without any n-gram that lifts a family over the unknown class is of none
-    sums = hits.groupBy("id", "para").agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(classes)], F.bool_or("lifts").alias("lifted")).where("lifted")
-    logits = [(F.col(f"w{k}") + model.bias[k]) / model.temperature for k in range(classes)]
+    sums = hits.groupBy("id", "para").agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(classes)], F.bool_or("lifts").alias("lifted"), (F.count("*") / F.size(F.collect_set("k"))).alias("copies")).where("lifted")  # rows that are equal are one
+    logits = [(F.col(f"w{k}") / F.col("copies") + model.bias[k]) / model.temperature for k in range(classes)]
     top = F.greatest(*logits)
     scored = sums.select("id", "para", F.array(*[F.exp(z - top) for z in logits]).alias("e"))
     scored = scored.withColumn("best", F.array_max(F.slice("e", 1, classes - 1))).withColumn("k", F.array_position("e", F.col("best")).cast("int"))
@@ -255,7 +256,7 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     of_run = best.where(is_line | confirmed).groupBy("id", F.expr(f"para div {RUN}").alias("run")).agg(
         F.max_by(verdict, rank).alias("x"), F.max(rank).alias("rank"), F.count_if(confirmed & is_line).alias("lines"), F.count_if(confirmed).alias("all")
     )
-    found = of_run.groupBy("id").agg(F.max_by("x", "rank").alias("x"), F.sum(F.when(F.col("lines") > 0, F.col("lines")).otherwise(F.col("all"))).alias("n_paragraphs"))
+    found = of_run.groupBy(F.struct("id.v").alias("id")).agg(F.max_by("x", "rank").alias("x"), F.sum(F.when(F.col("lines") > 0, F.col("lines")).otherwise(F.col("all"))).alias("n_paragraphs"))
     joined = docs.select(F.struct(F.col(id_col).alias("v")).alias("id")).distinct().join(found, "id", "left")
     return joined.select(
         F.col("id.v").alias(id_col),
