@@ -222,7 +222,8 @@ class Likeness:
     differences, finds few such pairs. Parts of the shingle set are compared besides: a hash deals shingles out to 2 ** k parts of two to four,
     and of the first `parts` of them a pair at 0.8 has each alike with a chance of 0.41 or more, so that
     none is with one of 3e-6. Texts of under `few` shingles have single ones instead. Large buckets, of over
-    bucket_rows sets or bucket_hashes hashes, are dealt again by each other part that their sets have. Sets are compared by the
+    bucket_rows sets or bucket_hashes hashes, are dealt again by each other part that their sets have: pairs that meet only there need two
+    parts alike, and none has with a chance of 5e-5. Those that are large even then are compared piece by piece. Sets are compared by the
     first 32 bits of their hashes, which puts a similarity wrong by under n / 2 ** 32 for n shingles.
     """
 
@@ -307,27 +308,40 @@ def _bucket_sets(similarity: float):
     import numpy as np
 
     def within(held):
+        """Sets that are alike have one of the rarest shingles of each in common, of so many that the others are too few; shingles are
+        rare by their number in the bucket. So only sets that share one of those are compared, and a passage that all have costs nothing."""
         names, root = np.array([c for c, *_ in held], dtype=np.int64), np.array([r for _, r, _ in held], dtype=np.int64)
         sets = [np.frombuffer(s, dtype=np.uint32) for *_, s in held]
         sizes = np.array([s.size for s in sets])
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
         owner = np.repeat(np.arange(len(sets)), sizes)
         _, codes, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        common = often[codes] > 1
-        codes, owner = codes[common], owner[common]
-        starts = np.searchsorted(owner, np.arange(len(sets) + 1))
+        rank = np.empty(len(often), np.int64)
+        rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+        codes = rank[codes]
+        often = np.sort(often)
+        order = np.lexsort((codes, owner))  # a set's shingles, the rarest first
+        codes = codes[order]
+        place = np.arange(len(codes)) - np.repeat(starts, sizes)
+        listed = (place < np.repeat(sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1, sizes)) & (often[codes] > 1)
+        by = np.argsort(codes[listed], kind="stable")
+        key, holder = codes[listed][by], owner[listed][by]  # the sets that have a shingle among their rarest
         roots, n = np.unique(root, return_counts=True)
         flag = np.zeros(len(often), dtype=bool)
         for i in np.flatnonzero(root != roots[n.argmax()]):  # pairs of the commonest root are linked already
-            own = codes[starts[i] : starts[i + 1]]
-            if own.size < similarity * sizes[i]:
-                continue
+            own = codes[starts[i] : ends[i]]
+            rarest = own[listed[starts[i] : ends[i]]]
+            low, high = np.searchsorted(key, rarest, "left"), np.searchsorted(key, rarest, "right")
+            near = np.unique(np.concatenate([np.zeros(0, np.int64), *[holder[x:y] for x, y in zip(low, high)]]))
+            near = near[(root[near] != root[i]) & (np.minimum(sizes[near], sizes[i]) >= similarity * np.maximum(sizes[near], sizes[i]))]
             flag[own] = True
-            both = np.bincount(owner[flag[codes]], minlength=len(sets))
-            flag[own] = False
-            for j in np.flatnonzero((both >= similarity * (sizes + sizes[i] - both)) & (root != root[i])):
-                if root[j] != root[i]:
+            for j in near.tolist():
+                both = np.count_nonzero(flag[codes[starts[j] : ends[j]]])
+                if both >= similarity * (sizes[i] + sizes[j] - both) and root[j] != root[i]:
                     yield int(names[i]), int(names[j])
                     root[root == root[j]] = root[i]
+            flag[own] = False
 
     def run(batches):
         held, last = [], None
@@ -379,15 +393,19 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = written(near.join(linked, "cls", "left").select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root")))
 
     def still_open(of: DataFrame) -> DataFrame:
-        """Buckets of several components; of those that hold the same sets, one."""
+        """Buckets of several components, and how many pieces of a bounded size they make; of those that hold the same sets, one."""
         found = of.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows"), F.sum("n").alias("all"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("held"))
         one = found.where("x <> y").groupBy("rows", "all", "held").agg(F.min("bucket").alias("bucket"))
-        return cut(one.select("bucket", ((F.col("rows") > how.bucket_rows) | (F.col("all") > how.bucket_hashes)).alias("large")))
+        return cut(one.select("bucket", F.greatest(F.ceil(F.col("rows") / how.bucket_rows), F.ceil(F.col("all") / how.bucket_hashes)).cast("int").alias("pieces")))
 
     left = rooted.join(still_open(rooted), "bucket")
-    again = left.where("large").join(nodes.select("cls", "parts"), "cls").select("bucket", "cls", "n", "root", F.explode("parts").alias("part")).where("part <> bucket")
+    again = left.where("pieces > 1").join(nodes.select("cls", "parts"), "cls").select("bucket", "cls", "n", "root", F.explode("parts").alias("part")).where("part <> bucket")
     again = written(again.select(F.xxhash64("bucket", "part").alias("bucket"), "cls", "n", "root"))
-    both = left.where("NOT large").select("bucket", "cls", "root").unionByName(again.join(still_open(again), "bucket").select("bucket", "cls", "root"))
+    # what is large even so is cut into pieces, and each two of them are compared: no task holds more than two
+    cuts = again.join(still_open(again), "bucket").withColumn("own", F.pmod(F.xxhash64("cls"), "pieces").cast("int"))
+    cuts = cuts.select("*", F.explode(F.expr("sequence(0, pieces - 1)")).alias("other"))
+    cuts = cuts.select(F.when(F.col("pieces") > 1, F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))).otherwise(F.col("bucket")).alias("bucket"), "cls", "root")
+    both = left.where("pieces = 1").select("bucket", "cls", "root").unionByName(cuts)
     dealt = both.join(sets, "cls").select("bucket", "cls", "root", "hashes").repartition("bucket").sortWithinPartitions("bucket", "cls")
     second = dealt.mapInArrow(_bucket_sets(how.similarity), "a long, b long")
 

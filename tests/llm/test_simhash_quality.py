@@ -162,3 +162,25 @@ def test_bands_reject_both_ends():
 
 def test_empty_table(spark):
     assert compression.compression_rules(data.frame(spark, [])).count() == 0
+
+
+def test_unlike_texts_that_share_a_head_and_alike_ones_among_them(spark):
+    """Large buckets, dealt again and cut into pieces: the groups are those of all pairs compared."""
+    import random
+
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    head = [word() for _ in range(130)]
+    texts = [[*head, *(word() for _ in range(70))] for _ in range(400)]
+    for k in range(0, 60, 3):  # near copies: one word of the tail is another
+        near = list(texts[k])
+        near[-5] = word()
+        texts.append(near)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    want = {i: min(j for j in range(len(sets)) if alike(sets[i], sets[j])) for i in range(len(sets))}
+    assert sum(i != w for i, w in want.items()) == 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for how in (simhash.Likeness(), simhash.Likeness(bucket_rows=40), simhash.Likeness(bucket_hashes=5000)):
+        assert {r.id: r.least for r in simhash.similar_classes(docs, how=how).collect()} == want

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from genoweave.llm import licenses, spotsigs, toxicity
 
@@ -186,3 +187,21 @@ def test_near_duplicates_lose_no_pair(spark, threshold):
     classes = [(min(g), s) for s, g in sets.items()]
     want = {(a, b) for a, s in classes for b, t in classes if a < b and jaccard(s, t) >= threshold - 1e-12}
     assert {(r.a, r.b) for r in pairs.collect()} == want
+
+
+def test_rows_with_one_id_are_scanned_apart_and_equal_ones_once(spark):
+    def scanned(texts):
+        r = licenses.scan(spark.createDataFrame([(1, t) for t in texts], "doc_id long, text string").repartition(3)).first()
+        return r.family, round(r.probability, 9), r.n_paragraphs
+
+    mit, apache = "Licensed under the MIT license.", "Licensed under the Apache License, Version 2.0 (the \"License\");"
+    assert scanned([mit]) == scanned([mit, mit, mit]) and scanned([mit])[0] == "MIT"
+    both, one, other = scanned([mit, apache]), scanned([mit]), scanned([apache])
+    assert both[2] == one[2] + other[2] == 2 and both[:2] == max((one[:2], other[:2]), key=lambda x: x[1])
+
+
+def test_a_labelled_id_on_many_rows_is_one_row_of_the_sample(spark):
+    docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")).unionByName(spark.createDataFrame([(8, "other"), (9, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(k, 1) for k in range(7, 10)], "doc_id long, toxic int")
+    out = toxicity.sample_labelled(docs, labels, toxicity.Limits(), "doc_id", "text", "toxic").collect()
+    assert len(out) == len([k for k in (7, 8, 9) if zlib.crc32(str(k).encode()) % 5]) and sum(r.text.startswith("text ") for r in out) == 1
