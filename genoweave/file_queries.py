@@ -144,6 +144,13 @@ def q_file_annotation(spark, d):
     return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
 
 
+@query(f"SELECT feature, count(*) AS n FROM ({_LINES}) WHERE k % 2 = 1 AND part % 10 = 7 GROUP BY 1")
+def q_file_annotation_pattern(spark, d):
+    """Lines of an annotation that a pattern finds, whatever their fields."""
+    gff = files.annotation(spark, put(view(spark, d, _GFF), ["k"]), pattern=r'gene_id "g\d*7";')
+    return gff.groupBy("feature").agg(F.count("*").alias("n"))
+
+
 _INDEX = f"""WITH l AS (SELECT * FROM ({_LINES}) WHERE k % 2 = 1), names AS (SELECT k, part, supp, sign, unnest(['t' || part, 'g' || part, 'n' || supp]) AS key FROM l)
 SELECT key, {{0}}('g' || part, k) AS gene_id, {{0}}('n' || supp, k) AS gene_symbol, {{0}}(part, k) AS start_pos, {{0}}(CASE WHEN sign = '?' THEN '.' ELSE sign END, k) AS strand FROM names GROUP BY key"""
 

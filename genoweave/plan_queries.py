@@ -218,7 +218,7 @@ _HINTED = "SELECT concat('Zm', p_partkey) AS transcript_id, CASE WHEN p_partkey
 def q_plan_phytozome_species(spark, d):
     # nothing failed for lack of a source, so all rows whose species is told count
     index = view(spark, d, f"SELECT 'zea_mays' AS species, transcript_id AS key, concat('g', k) AS gene_id, {place('k')} FROM ({_HINTED}) t WHERE k % 3 = 0")
-    out = resolve.phytozome(view(spark, d, _HINTED), index, ["zea_mays"], strict=False)
+    out = resolve.phytozome(view(spark, d, _HINTED), index, ["zea_mays"])
     return out.select(F.col("transcript_id").alias("k"), "species", "reason")
 
 
@@ -229,7 +229,7 @@ _SB = "SELECT CASE WHEN p_partkey % 3 = 0 THEN 'Sb' ELSE 'qq' END || cast(p_part
 def q_plan_phytozome(spark, d):
     left = view(spark, d, _SB)
     index = [f"SELECT '{s}' AS species, transcript_id AS key, concat('{g}', k) AS gene_id, {place('k')} FROM ({_SB}) t WHERE {w}" for s, g, w in (("zea_mays", "z", "k % 5 > 0"), ("sorghum_bicolor", "s", "k % 3 = 0"))]
-    out = resolve.phytozome(left, view(spark, d, index[0]).unionByName(view(spark, d, index[1])), ["zea_mays"], strict=False)
+    out = resolve.phytozome(left, view(spark, d, index[0]).unionByName(view(spark, d, index[1])), ["zea_mays"])
     return out.select("k", "reason", F.when(F.col("reason").isNull(), F.col("gene_id")).alias("gene_id"))
 
 

@@ -106,12 +106,14 @@ def tsv_with_dimension(spark: SparkSession, path: str | Sequence[str], schema: T
     return typed.join(dim, name, "left")
 
 
-def annotation(spark: SparkSession, path: str | Sequence[str], features: Sequence[str] = ()) -> DataFrame:
+def annotation(spark: SparkSession, path: str | Sequence[str], features: Sequence[str] = (), pattern: str | None = None) -> DataFrame:
     """(seqid, source, feature, start, end, score, strand, phase, attrs, cell, row_ord) of GFF3 and GTF files; start counts from 1.
 
-    Comments, sequences and lines with fewer than nine fields are left out.
+    Comments, sequences and lines with fewer than nine fields are left out, and, given a pattern, lines that it isn't found in.
     """
     lines = placed_lines(spark, path).where(~F.col("value").rlike("^[#>]") & (F.trim("value") != ""))
+    if pattern is not None:
+        lines = lines.where(F.col("value").rlike(pattern))
     f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     rows = lines.select(f.alias("f"), "row_ord").where(F.size("f") >= 9)
     if features:
