@@ -114,32 +114,28 @@ def pieces(batches, size: int):
         yield batch()
 
 
-def _block_starts(records: DataFrame, *sums: str) -> DataFrame:
-    """records (key, block, record, file, header, sums) with of_block, of_record and those sums' `before_` columns: the record that a row belongs to, and
-    what of it lies before this block. Rows before a file's first header are left out.
+def _open_records(records: DataFrame, *sums: str) -> DataFrame:
+    """(key, block, of_block, of_record, file, header, before_...): for every block of records (key, block, record, file, header, sums), the record
+    that is open where it begins, and what of it lies before. Blocks before a file's first header aren't there.
 
-    Only rows with record 0 belong to an earlier block's last record. So the blocks are gathered to a row each, and the window that sums them
-    up has as many rows for a file as it has splits.
+    Blocks are gathered to a row each, and the window that sums them up has as many rows for a file as it has splits.
     """
     head = [F.sum(F.when(F.col("record") == 0, F.col(s)).otherwise(0)).alias(f"head_{s}") for s in sums]
     blocks = records.groupBy("key", "block").agg(F.max("record").alias("n"), F.max_by(F.struct("file", "header", "record", *sums), "record").alias("tail"), *head)
     earlier = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumns({f"ahead_{s}": F.coalesce(F.sum(f"head_{s}").over(earlier), F.lit(0)) for s in sums})
     opened = F.when(F.col("n") > 0, F.struct("block", "tail", *[(F.col(f"ahead_{s}") + F.col(f"head_{s}")).alias(f"after_{s}") for s in sums]))
-    blocks = blocks.withColumn("open", F.last(opened, ignorenulls=True).over(earlier))
-    blocks = blocks.select("key", "block", "open", *[f"ahead_{s}" for s in sums])
-    rows = records.join(blocks, ["key", "block"]).where("record > 0 or open is not null")
-    own = F.col("record") > 0
-
-    def of(mine: Column | str, earlier: Column) -> Column:
-        return F.when(own, F.col(mine) if isinstance(mine, str) else mine).otherwise(earlier)
-
-    return rows.select(
-        *[c for c in records.columns if c not in ("file", "header")],
-        of("file", F.col("open.tail.file")).alias("file"), of("header", F.col("open.tail.header")).alias("header"),
-        of("block", F.col("open.block")).alias("of_block"), of("record", F.col("open.tail.record")).alias("of_record"),
-        *[of(F.lit(0), F.col(f"open.tail.{s}") + F.col(f"ahead_{s}") - F.col(f"open.after_{s}")).alias(f"before_{s}") for s in sums],
-    )
+    blocks = blocks.withColumn("open", F.last(opened, ignorenulls=True).over(earlier)).where("open is not null")
+    before = [(F.col(f"open.tail.{s}") + F.col(f"ahead_{s}") - F.col(f"open.after_{s}")).alias(f"before_{s}") for s in sums]
+    return blocks.select("key", "block", F.col("open.block").alias("of_block"), F.col("open.tail.record").alias("of_record"), "open.tail.file", "open.tail.header", *before)
+
+
+def _placed(rows: DataFrame, opened: DataFrame, *sums: str) -> DataFrame:
+    """rows (key, block, record, file, header, ...) with of_block, of_record and before_ columns. Only rows with record 0 belong to an earlier
+    block's record and are joined with it; rows before a file's first header are left out."""
+    own = rows.where("record > 0").withColumns({"of_block": F.col("block"), "of_record": F.col("record"), **{f"before_{s}": F.lit(0).cast("long") for s in sums}})
+    rest = rows.where("record = 0").drop("file", "header").join(opened, ["key", "block"])
+    return own.unionByName(rest)
 
 
 def chunks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
@@ -150,16 +146,15 @@ def chunks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
     their place in the record; a piece then lies in one chunk or two, and chunks are put together by their number.
     """
     found = written(read.mapInArrow(lambda batches: pieces(batches, size), "key long, block long, record int, file string, header string, start long, seq string"))
-    sums = found.groupBy("key", "block", "record").agg(F.first("file").alias("file"), F.first("header").alias("header"), F.sum(F.length("seq").cast("long")).alias("letters"))
-    placed = _block_starts(sums, "letters").drop("letters")
-    rows = found.drop("file", "header").join(placed, ["key", "block", "record"])
+    sums = found.groupBy("key", "block", "record").agg(F.max("file").alias("file"), F.max("header").alias("header"), F.sum(F.length("seq").cast("long")).alias("letters"))
+    rows = _placed(found, _open_records(sums, "letters"), "letters")
     at = F.col("start") + F.col("before_letters")
     rows = rows.select("file", "header", "of_block", "of_record", "key", at.alias("at"), F.floor(at / size).alias("chunk_no"), (size - at % size).cast("int").alias("room"), "seq")
     first = F.struct(F.col("chunk_no").alias("chunk_no"), F.col("at").alias("at"), F.substring("seq", F.lit(1), F.col("room")).alias("seq"))
     rest = F.struct((F.col("chunk_no") + 1).alias("chunk_no"), (F.col("at") + F.col("room")).alias("at"), F.substring("seq", F.col("room") + 1, F.lit(size)).alias("seq"))
     cut = rows.select("file", "header", "of_block", "of_record", "key", F.explode(F.when(F.length("seq") > F.col("room"), F.array(first, rest)).otherwise(F.array(first))).alias("x"))
     whole = cut.groupBy("key", "of_block", "of_record", F.col("x.chunk_no").alias("chunk_no")).agg(
-        F.first("file").alias("file"), F.first("header").alias("header"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x.at", "x.seq"))), lambda p: p.seq), "").alias("seq")
+        F.max("file").alias("file"), F.max("header").alias("header"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x.at", "x.seq"))), lambda p: p.seq), "").alias("seq")
     )
     order = F.struct("file", F.col("of_block").alias("block"), F.col("of_record").alias("record"))
     return whole.select("file", "header", F.split("header", r"\s+")[0].alias("id"), order.alias("row_ord"), F.col("chunk_no").cast("int").alias("chunk_no"), "seq")
@@ -208,7 +203,7 @@ def fasta_index(spark: SparkSession, path: str | Sequence[str], assembly: str) -
     sizes = found.groupBy("key", "block").agg(F.max(F.col("skipped") + F.col("bytes")).alias("total"))
     ahead = F.sum("total").over(Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     begin = sizes.select("key", "block", F.coalesce(ahead, F.lit(0)).alias("begin"))
-    placed = _block_starts(found, "letters").join(begin, ["key", "block"])
+    placed = _placed(found, _open_records(found, "letters"), "letters").join(begin, ["key", "block"])
     one = placed.groupBy("file", "key", "of_block", "of_record").agg(
         F.first("header").alias("header"), F.sum("letters").alias("length"), F.sum("bytes").alias("bytes"),
         F.min_by(F.struct("first", "first_bytes"), F.when(F.col("first").isNotNull(), F.struct("block"))).alias("line"),
