@@ -34,7 +34,7 @@ def tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "o
     counted = Observation()
     df = df.observe(counted, F.count(F.lit(1)).alias("n"))
     df.write.mode(mode).options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
-    if not counted.get["n"]:  # Spark writes no file, and so no header, for a plan that it knows to be empty
+    if not counted.get.get("n"):  # Spark writes no file, and so no header, for a plan that it knows to be empty
         df.sparkSession.createDataFrame([], df.schema).repartition(1).write.mode("overwrite").options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
 
 
