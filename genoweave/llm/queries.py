@@ -63,9 +63,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+    out = spotsigs.edited_likeness(table(spark, sf_dir, "documents"), threshold=0.8)
     prints = [spotsigs.fingerprint(c).alias(n) for c, n in (("signatures", "fingerprint"), ("edited_signatures", "edited_fingerprint"))]
-    return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), *prints, "near_edited", "near_next", "class_id", "n_links")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, without
+from .common import cut, written
+
+#: Residues that signatures and sets are counted by, a byte of the plan each.
+BUCKETS = 1 << 16
+#: Up to so many rows of two numbers are broadcast; for more, both sides are shuffled.
+BROADCAST_ROWS = 200_000
 
 #: Common words of four languages, the anchors; fixed values.
 ANCHORS = tuple(
@@ -106,12 +111,13 @@ def id_bucket(ids: DataFrame, rows: int, most_buckets: int, coarse: int) -> Colu
     return F.coalesce(inside, F.lit(0))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 1_000, most_buckets: int = 100_000, coarse: int = 500) -> DataFrame:
-    """id_col, text_col, g_bucket, g_hash and next_text for every row: the text of the row after it by ascending id; of the first, after the last.
+def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 1_000, most_buckets: int = 100_000, coarse: int = 500, beside: DataFrame | None = None) -> DataFrame:
+    """id_col, text_col, g_bucket, g_hash, g_more and next_text for every row: the text of the row after it by ascending id; of the first, after the last.
 
     Ids are dealt into buckets of neighbours (see id_bucket), so no task sees them all, and texts are shuffled once. A bucket's
     last row takes the first text of the next bucket; those first rows, one a bucket, are found on ids alone. Null ids come first; equal ids go by
-    a hash of the text.
+    a hash of the text. g_more is that of the row of beside (id_col, g_hash, g_more) with the same id and hash, at most one: it comes with
+    the texts' shuffle, right before its rows.
     """
     ids = docs.select(F.col(id_col).cast("long").alias("id"))
     bucket = id_bucket(ids, rows, most_buckets, coarse)
@@ -124,18 +130,27 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 1_000, mo
     first = keyed.join(F.broadcast(after.select("g_id", "g_of", F.col("g_bucket").alias("g_own"))), F.col(id_col).cast("long").eqNullSafe(F.col("g_id")) & (F.col("g_bucket") == F.col("g_own")))
     heads = first.groupBy(F.col("g_of").alias("g_bucket")).agg(F.min_by(text_col, "g_hash").alias("g_head"))
 
-    led = keyed.withColumn("g_lead", F.lead(text_col).over(Window.partitionBy("g_bucket").orderBy(F.asc_nulls_first(id_col), F.asc("g_hash"))))
+    if beside is None:
+        led = keyed.withColumns({"g_more": F.lit(None), "g_lead": F.lead(text_col).over(Window.partitionBy("g_bucket").orderBy(F.asc_nulls_first(id_col), F.asc("g_hash")))})
+    else:
+        own = beside.withColumn("id", F.col(id_col).cast("long")).withColumn("g_bucket", bucket).drop("id")
+        rows_and = keyed.withColumn("g_row", F.lit(1)).unionByName(own.withColumn("g_row", F.lit(0)), allowMissingColumns=True)
+        order = Window.partitionBy("g_bucket").orderBy(F.asc_nulls_first(id_col), F.asc("g_hash"), F.asc("g_row"))
+        more = F.last("g_more", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        spec = f"PARTITION BY g_bucket ORDER BY `{id_col}` ASC NULLS FIRST, g_hash ASC, g_row ASC"
+        led = rows_and.withColumns({"g_more": more, "g_lead": F.expr(f"lead(`{text_col}`) IGNORE NULLS OVER ({spec})")}).where("g_row = 1").drop("g_row")
     return led.join(heads, "g_bucket", "left").withColumn("next_text", F.coalesce("g_lead", "g_head")).drop("g_lead", "g_head")
 
 
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = 3) -> DataFrame:
-    """Per row: id_col, n_chars, edited_text, signatures, edited_signatures, near_edited and near_next.
+def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = 3, threshold: float | None = None) -> DataFrame:
+    """Per row: id_col, n_chars, edited_text, signatures, edited_signatures, near_edited and near_next; given a threshold, class_id and n_links too (see class_links).
 
     The edited text has the last half of the characters replaced by as many of the next row's first; see with_next. near_edited
     and near_next are the likeness of the row's signatures to those of the edited and of the next text. A null text counts as
     empty; equal texts have equal signatures. Other columns are not returned. An empty table gives no rows.
     """
-    rows = with_next(docs, id_col, text_col).withColumn("n_chars", F.char_length(text_col).cast("long"))
+    beside = None if threshold is None else written(class_links(docs, threshold, id_col, text_col, chain))
+    rows = with_next(docs, id_col, text_col, beside=beside).withColumn("n_chars", F.char_length(text_col).cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited_text", F.concat(F.substring(F.col(text_col), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half)))
     rows = rows.withColumn("signatures", spot_signatures(text_col, chain=chain)).withColumn("edited_signatures", spot_signatures("edited_text", chain=chain))
@@ -143,32 +158,101 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the next row's signatures are there already, but for the last row of a bucket
     rows = rows.withColumn("g_lead", F.lead("signatures").over(order))
     rows = rows.withColumn("g_next", F.when(F.col("g_lead").isNotNull(), F.col("g_lead")).otherwise(spot_signatures("next_text", chain=chain)))
-    return rows.select(id_col, "n_chars", "edited_text", "signatures", "edited_signatures", likeness("signatures", "edited_signatures").alias("near_edited"), likeness("signatures", "g_next").alias("near_next"))
+    linked = () if threshold is None else (F.col("g_more.class_id").alias("class_id"), F.col("g_more.n_links").alias("n_links"))
+    return rows.select(id_col, "n_chars", "edited_text", "signatures", "edited_signatures", likeness("signatures", "edited_signatures").alias("near_edited"), likeness("signatures", "g_next").alias("near_next"), *linked)
+
+
+def in_bytes(rows: DataFrame, value: Column, of: Callable[[Column], Column]) -> bytes:
+    """For each of BUCKETS residues of a long: a byte, 64 and of(the number of rows with it), below 192. So many bytes at any input size."""
+    counted = rows.groupBy(F.pmod(value, F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    every = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counted, "b", "left")
+    letters = every.select("b", F.char(64 + of(F.coalesce("n", F.lit(0)))).alias("c"))
+    parts = letters.groupBy(F.floor(F.col("b") / 1024).alias("part")).agg(F.array_sort(F.collect_list(F.struct("b", "c"))).alias("x"))
+    joined = parts.select("part", F.array_join(F.transform("x", lambda x: x.c), "").alias("x"))
+    return "".join(r.x for r in joined.orderBy("part").collect()).encode()
+
+
+def byte_of(table: bytes, value: Column) -> Column:
+    """What in_bytes noted for a long's residue."""
+    at = F.substring(F.lit(bytearray(table)), (F.pmod(value, F.lit(BUCKETS)) + 1).cast("int"), F.lit(1))
+    return F.ascii(at.cast("string")) - 64
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", chain: int = 3) -> tuple[DataFrame, DataFrame]:
+def signature_sets(docs: DataFrame, id_col: str, text_col: str, chain: int) -> DataFrame:
+    """(g_id, g_hash, g_key, n, sigs) for every row: hashes of the text and of its set, the set and its size."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    sets = docs.select(F.col(id_col).alias("g_id"), F.xxhash64(text).alias("g_hash"), spot_signatures(text_col, chain=chain).alias("sigs"))
+    return sets.select("g_id", "g_hash", F.xxhash64("sigs").alias("g_key"), F.size("sigs").alias("n"), "sigs")
+
+
+def candidates(classes: DataFrame, levels: bytes, threshold: float, most: int) -> DataFrame:
+    """(ka, kb), each once: pairs of classes (g_key, n, prefix) that may be of at least threshold, the smaller set first.
+
+    Sets are partitioned by length: a partition's lengths are within the threshold, so a set's larger partners are in its own and in
+    the next one. The smaller and the larger set of a pair share a signature early in both prefixes, early enough for those after it
+    to reach the overlap; others are pruned. A signature that over `most` classes list is cut into pieces of about so many, and each piece
+    of smaller sets meets each of larger ones under a key of its own.
+    """
+    listed = classes.select("g_key", "n", F.posexplode("prefix").alias("i", "sig"))
+    counted = listed.where(byte_of(levels, F.col("sig")) >= int(math.log2(most))).groupBy("sig").agg(F.count("*").alias("often"))
+    hot = cut(counted.where(F.col("often") > most).select("sig", F.ceil(F.col("often") / most).cast("int").alias("pieces")))
+    n_hot = hot.count()
+    if n_hot:
+        listed = listed.join(F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot, "sig", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    else:
+        listed = listed.withColumn("pieces", F.lit(1))
+    own = F.pmod(F.xxhash64("g_key", F.lit(1)), F.col("pieces")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
+    part = F.floor(F.log("n") / F.lit(-math.log(threshold)) + 1e-9).cast("int")
+    early = F.col("i") <= F.col("n") - F.ceil(F.col("n") * (2 * threshold / (1 + threshold)) - 1e-9)
+    small = listed.where(early).select("*", own.alias("own"), other).select("*", F.explode(F.array(part, part + 1)).alias("part"))
+    small = small.select(F.col("g_key").alias("ka"), F.col("n").alias("na"), F.col("i").alias("ia"), F.xxhash64("sig", "part", "own", "other").alias("h"))
+    large = listed.select("*", own.alias("own"), other, part.alias("part"))
+    large = large.select(F.col("g_key").alias("kb"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.xxhash64("sig", "part", "other", "own").alias("h"))
+    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ka") < F.col("kb")))
+    overlap = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9)
+    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= overlap
+    return small.join(large, "h").where(ordered & (F.col("na") >= F.col("nb") * threshold - 1e-9) & reach).select("ka", "kb").distinct()
+
+
+def linked_classes(docs: DataFrame, threshold: float, id_col: str, text_col: str, chain: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(members, links): (g_id, g_hash, g_key) of every row, and (ka, kb, likeness), each pair of different sets of at least threshold once.
+
+    The order of a set's signatures is one of levels, powers of two of how often their residues occur, rare ones first; any order
+    that all sets share gives the same links. Sets are compared whole; those that are in no candidate are left out by their residue before the shuffle.
+    """
+    sets = signature_sets(docs, id_col, text_col, chain)
+    levels = in_bytes(sets.select(F.explode("sigs").alias("sig")), F.col("sig"), lambda n: F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int"))
+    ranked = F.array_sort(F.transform("sigs", lambda s: F.struct(byte_of(levels, s).alias("level"), s.alias("sig"))))
+    prefix = F.transform(F.slice(ranked, F.lit(1), (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")), lambda x: x.sig)
+    rows = written(sets.select("g_id", "g_hash", "g_key", "n", F.when(F.col("n") > 0, prefix).alias("prefix")))
+    classes = rows.where("n > 0").groupBy("g_key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    pairs = written(candidates(classes, levels, threshold, most))
+    wanted = in_bytes(pairs.select(F.explode(F.array("ka", "kb")).alias("k")), F.col("k"), lambda n: (n > 0).cast("int"))
+    found = sets.where(byte_of(wanted, F.col("g_key")) > 0).groupBy("g_key").agg(F.first("sigs").alias("sigs"))
+    both = pairs.join(found.toDF("ka", "sa"), "ka").join(found.toDF("kb", "sb"), "kb").select("ka", "kb", likeness("sa", "sb", threshold).alias("likeness"))
+    return rows.select("g_id", "g_hash", "g_key"), written(both.where(F.col("likeness") >= threshold))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", chain: int = 3, most: int = 2_000) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): each row's id_col and class_id, and (a, b, likeness) for classes a < b of at least threshold.
 
-    A class is all rows with the same signatures, named by the smallest id; copies give no pairs. Sets are partitioned by length,
-    so that a partition and the next one hold all partners, and each set is listed under its rarest signatures only, as many as
-    a partner must share one of. Candidates whose lengths are too far apart are pruned before their sets are compared. Rows with
-    a null id belong to a class but never name it; texts without words form one class without pairs.
+    A class is all rows with the same signatures, named by the smallest id; copies give no pairs. No pair is lost; see candidates. Rows with
+    a null id belong to a class but never name it, and a class without a name has no pairs; texts without words, null ones included, form one
+    class without pairs. An empty table gives none of either.
     """
-    base = without(docs, "sigs").select(id_col, spot_signatures(text_col, chain=chain).alias("sigs"))
-    named = base.withColumn("g_key", F.xxhash64("sigs"))
-    classes = named.groupBy("g_key").agg(F.min(id_col).alias("class_id"), F.first("sigs").alias("sigs")).where(F.col("class_id").isNotNull())
-    members = named.join(classes.select("g_key", "class_id"), "g_key", "left").select(id_col, "class_id")
-
-    spread = classes.where(F.size("sigs") > 0).select("class_id", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
-    often = spread.groupBy("sig").agg(F.count("*").alias("often"))
-    ranked = spread.join(often, "sig").withColumn("k", F.row_number().over(Window.partitionBy("class_id").orderBy("often", "sig")))
-    listed = ranked.where(F.col("k") <= F.col("n") - F.ceil(threshold * F.col("n")) + 1)
-    part = F.floor(F.log("n") / F.lit(-math.log(threshold))).cast("int")
-    left = listed.select(F.col("class_id").alias("a"), F.col("n").alias("na"), "sig", F.explode(F.array(part, part + 1)).alias("part"))
-    right = listed.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), "sig", part.alias("part"))
-    fits = (F.col("a") != F.col("b")) & (F.col("na") <= F.col("nb")) & (F.col("na") >= threshold * F.col("nb")) & ((F.col("na") < F.col("nb")) | (F.col("a") < F.col("b")))
-    candidates = left.join(right, ["sig", "part"]).where(fits).select("a", "b").distinct()
-    sets = classes.select("class_id", "sigs")
-    both = candidates.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").withColumn("likeness", likeness("sa", "sb", threshold))
-    pairs = both.where(F.col("likeness") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
-    return members, pairs
+    members, links = linked_classes(docs, threshold, id_col, text_col, chain, most)
+    names = members.groupBy("g_key").agg(F.min("g_id").alias("class_id"))
+    named = names.where("class_id IS NOT NULL")
+    ends = links.join(named.toDF("ka", "a"), "ka").join(named.toDF("kb", "b"), "kb")
+    pairs = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
+    return members.join(names, "g_key").select(F.col("g_id").alias(id_col), "class_id"), pairs
+
+
+def class_links(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", chain: int = 3, most: int = 2_000) -> DataFrame:
+    """(id_col, g_hash, g_more), a row for each id and hash of a text: class_id as in near_duplicates, and n_links, the number of other classes of at least threshold."""
+    members, links = linked_classes(docs, threshold, id_col, text_col, chain, most)
+    names = members.groupBy("g_key").agg(F.min("g_id").alias("class_id"))
+    counts = links.select(F.explode(F.array("ka", "kb")).alias("g_key")).groupBy("g_key").agg(F.count("*").alias("n_links"))
+    each = names.join(counts, "g_key", "left").select("g_key", F.struct("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")).alias("g_more"))
+    return members.distinct().join(each, "g_key").select(F.col("g_id").alias(id_col), "g_hash", "g_more")

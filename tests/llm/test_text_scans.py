@@ -167,8 +167,8 @@ def test_neighbours_across_buckets(spark):
     assert {(r.doc_id, r.next_text) for r in out.collect()} == {(i, f"text {(i + 4) % 4000}") for i, _ in rows}
 
 
-@pytest.mark.parametrize("threshold", [0.8, 0.5])
-def test_near_duplicates_lose_no_pair(spark, threshold):
+@pytest.mark.parametrize("threshold, most", [(0.8, 2_000), (0.5, 2_000), (0.5, 3)])
+def test_near_duplicates_lose_no_pair(spark, threshold, most):
     rnd = random.Random(1)
     base = [t for _, t in prose(40) if t and len(t) > 60]
     rows = []
@@ -179,14 +179,39 @@ def test_near_duplicates_lose_no_pair(spark, threshold):
             w[rnd.randrange(len(w))] = "edited"
             rows.append((k * 10 + j + 1, " ".join(w)))
     rows += [(5000 + j, base[0]) for j in range(30)]
-    members, pairs = spotsigs.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), threshold)
+    members, pairs = spotsigs.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), threshold, most=most)
     sets = {}
     for i, t in rows:
         sets.setdefault(frozenset(plain_signatures(t)), []).append(i)
     assert {(r.doc_id, r.class_id) for r in members.collect()} == {(i, min(g)) for g in sets.values() for i in g}
     classes = [(min(g), s) for s, g in sets.items()]
     want = {(a, b) for a, s in classes for b, t in classes if a < b and jaccard(s, t) >= threshold - 1e-12}
-    assert {(r.a, r.b) for r in pairs.collect()} == want
+    got = [(r.a, r.b) for r in pairs.collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_each_row_has_its_class_and_number_of_links(spark):
+    rnd, rows = random.Random(5), [(i, t) for i, t in prose(60)]
+    for i, t in list(rows):
+        w = (t or "one word").split()
+        w[rnd.randrange(len(w))] = "edited"
+        rows += [(20_000 + (i or 0), " ".join(w)), (30_000 + (i or 0), t), (None, t)]
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(frozenset(plain_signatures(t or "")), []).append(i)
+    names = {s: min((i for i in g if i is not None), default=None) for s, g in sets.items()}
+    links = {s: sum(jaccard(s, o) >= 0.8 - 1e-12 for o in sets if o != s and o and s) for s in sets}
+    want = Counter((i, names[s], links[s]) for i, t in rows for s in [frozenset(plain_signatures(t or ""))])
+    d = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, class_id int, n_links int")
+    out = spotsigs.edited_likeness(d.repartition(5), threshold=0.8)
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in out.select("doc_id", "class_id", "n_links").collect()) == want
+    assert sum(links.values()) > 20
+    plain = spotsigs.edited_likeness(d).collect()
+    same = ("doc_id", "edited_text", "near_edited", "near_next")
+    assert Counter(tuple(r[c] for c in same) for r in out.collect()) == Counter(tuple(r[c] for c in same) for r in plain)
+    assert spotsigs.edited_likeness(d.limit(0), threshold=0.8).count() == 0
+    members, pairs = spotsigs.near_duplicates(d.limit(0))
+    assert members.count() == pairs.count() == 0
 
 
 def test_rows_with_one_id_are_scanned_apart_and_equal_ones_once(spark):
