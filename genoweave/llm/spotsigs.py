@@ -112,7 +112,7 @@ def id_bucket(ids: DataFrame, rows: int, most_buckets: int, coarse: int) -> Colu
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 1_000, most_buckets: int = 100_000, coarse: int = 500, beside: DataFrame | None = None) -> DataFrame:
-    """id_col, text_col, g_bucket, g_hash, g_more and next_text for every row: the text of the row after it by ascending id; of the first, after the last.
+    """id_col, text_col, g_bucket, g_hash and next_text for every row, and g_more, given beside: the text of the row after it by ascending id; of the first, after the last.
 
     Ids are dealt into buckets of neighbours (see id_bucket), so no task sees them all, and texts are shuffled once. A bucket's
     last row takes the first text of the next bucket; those first rows, one a bucket, are found on ids alone. Null ids come first; equal ids go by
@@ -131,7 +131,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 1_000, mo
     heads = first.groupBy(F.col("g_of").alias("g_bucket")).agg(F.min_by(text_col, "g_hash").alias("g_head"))
 
     if beside is None:
-        led = keyed.withColumns({"g_more": F.lit(None), "g_lead": F.lead(text_col).over(Window.partitionBy("g_bucket").orderBy(F.asc_nulls_first(id_col), F.asc("g_hash")))})
+        led = keyed.withColumn("g_lead", F.lead(text_col).over(Window.partitionBy("g_bucket").orderBy(F.asc_nulls_first(id_col), F.asc("g_hash"))))
     else:
         own = beside.withColumn("id", F.col(id_col).cast("long")).withColumn("g_bucket", bucket).drop("id")
         rows_and = keyed.withColumn("g_row", F.lit(1)).unionByName(own.withColumn("g_row", F.lit(0)), allowMissingColumns=True)
@@ -240,6 +240,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     A class is all rows with the same signatures, named by the smallest id; copies give no pairs. No pair is lost; see candidates. Rows with
     a null id belong to a class but never name it, and a class without a name has no pairs; texts without words, null ones included, form one
     class without pairs. An empty table gives none of either.
+
+    pairs has each pair of different sets that are alike, so its rows grow with the square of a group of different near copies.
     """
     members, links = linked_classes(docs, threshold, id_col, text_col, chain, most)
     names = members.groupBy("g_key").agg(F.min("g_id").alias("class_id"))
