@@ -30,12 +30,14 @@ def failures(parts: Sequence[DataFrame], path: str, columns: Sequence[str] = FAI
 
 
 def tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite") -> None:
-    """Tab-separated files with a header. An empty table gives one file with the header alone."""
+    """Tab-separated files with a header. An empty table gives one file with the header alone, and takes nothing from files that mode keeps."""
     counted = Observation()
     df = df.observe(counted, F.count(F.lit(1)).alias("n"))
-    df.write.mode(mode).options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
+    options = {"sep": "\t", "header": True} | ({"compression": compression} if compression else {})
+    df.write.mode(mode).options(**options).csv(path)
     if not counted.get.get("n"):  # Spark writes no file, and so no header, for a plan that it knows to be empty
-        df.sparkSession.createDataFrame([], df.schema).repartition(1).write.mode("overwrite").options(sep="\t", header=True, **({"compression": compression} if compression else {})).csv(path)
+        again = mode if mode in ("append", "ignore") else "overwrite"
+        df.sparkSession.createDataFrame([], df.schema).repartition(1).write.mode(again).options(**options).csv(path)
 
 
 def text(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -142,6 +142,12 @@ def test_sinks(spark, tmp_path):
     assert spark.read.options(sep="\t", header=True).csv(f"{tmp_path}/t").count() == 2
     sinks.tsv(df.limit(0), f"{tmp_path}/e")
     assert [r.value for r in spark.read.text(f"{tmp_path}/e").collect()] == ["k\tv"]
+    for mode in ("append", "ignore"):  # what is there stays, whether rows are written or not
+        sinks.tsv(df.limit(0), f"{tmp_path}/t", "gzip", mode)
+        sinks.tsv(spark.createDataFrame([], df.schema), f"{tmp_path}/t", "gzip", mode)
+        assert spark.read.options(sep="\t", header=True).csv(f"{tmp_path}/t").count() == 2
+    sinks.tsv(df, f"{tmp_path}/t", "gzip", "ignore")
+    assert spark.read.options(sep="\t", header=True).csv(f"{tmp_path}/t").count() == 2
     assert {tuple(r) for r in sinks.in_batches(spark.range(25).withColumnRenamed("id", "k"), f"{tmp_path}/b", ["k"], 10).collect()} == {(0, 10), (1, 10), (2, 5)}
     failed = spark.createDataFrame([(" GCF_1 ", "assembly_x"), ("GCF_1", "assembly_y"), ("GCF_2", "other"), (None, "assembly_z")], "assembly_accession string, reason string")
     assert [r.value for r in sinks.failed_targets(failed, "assembly_").collect()] == ["GCF_1"]
