@@ -131,8 +131,9 @@ def q_file_failures_by_file(spark, d):
 # ---- annotations ----
 
 _LINES = "SELECT l_orderkey * 10 + l_linenumber AS k, l_partkey AS part, l_suppkey AS supp, l_linenumber AS line, CASE l_linenumber % 3 WHEN 0 THEN 'gene' WHEN 1 THEN 'mRNA' ELSE 'exon' END AS feature, CASE l_returnflag WHEN 'A' THEN '+' WHEN 'R' THEN '-' ELSE '?' END AS sign FROM lineitem"
-_GFF = f"""SELECT k, concat('chr', supp % 7, chr(9), 's', chr(9), feature, chr(9), part, chr(9), part + 9, chr(9), '.', chr(9), sign, chr(9), '.', chr(9),
-CASE WHEN k % 2 = 0 THEN concat('ID=transcript:t', part, ';Name=n', supp, ';Alias=a', line, ',b', part % 5) ELSE concat('gene_id "g', part, '"; transcript_id "t', part, '"; gene_name "n', supp, '";') END) AS value FROM ({_LINES})
+_GFF_LINES = """SELECT {0}, concat('chr', supp % 7, chr(9), 's', chr(9), feature, chr(9), part, chr(9), part + 9, chr(9), '.', chr(9), sign, chr(9), '.', chr(9),
+CASE WHEN k % 2 = 0 THEN concat('ID=transcript:t', part, ';Name=n', supp, ';Alias=a', line, ',b', part % 5) ELSE concat('gene_id "g', part, '"; transcript_id "t', part, '"; gene_name "n', supp, '";') END) AS value FROM ({1})"""
+_GFF = f"""{_GFF_LINES.format("k", _LINES)}
 UNION ALL SELECT -1, '# comment' UNION ALL SELECT -2, 'short line' UNION ALL SELECT -3, '>chr1'"""
 
 
@@ -155,8 +156,15 @@ _INDEX = f"""WITH l AS (SELECT * FROM ({_LINES}) WHERE k % 2 = 1), names AS (SEL
 SELECT key, {{0}}('g' || part, k) AS gene_id, {{0}}('n' || supp, k) AS gene_symbol, {{0}}(part, k) AS start_pos, {{0}}(CASE WHEN sign = '?' THEN '.' ELSE sign END, k) AS strand FROM names GROUP BY key"""
 
 
+#: The lines with their rows' places in the table, which order those with the same k.
+_PLACED = _GFF_LINES.format("k, g_path, g_place", _LINES.replace(" FROM lineitem", ", g_path, g_place FROM lineitem"))
+
+
 def _index(spark, d, on_dup):
-    gff = files.annotation(spark, put(view(spark, d, _GFF).where("k % 2 = 1"), ["k"]))
+    """Of rows with the smallest or largest k, SQL takes the table's first: its line comes first of theirs, or last."""
+    toward = F.asc if on_dup == "first" else F.desc
+    ties = [toward("g_path"), toward("g_place")]
+    gff = files.annotation(spark, put(view(spark, d, _PLACED, placed=True).where("k % 2 = 1"), ["k", *ties]))
     out = files.annotation_index(gff, ["transcript_id"], ["gene_id"], ["gene_name"], on_dup=on_dup)
     return out.select("key", "gene_id", "gene_symbol", F.col("start").alias("start_pos"), "strand")
 

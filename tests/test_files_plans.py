@@ -9,6 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from genoweave import queries as core
 from genoweave import schemas
 from genoweave.functions import ids
 from genoweave.operators import rows
@@ -317,3 +318,23 @@ def test_releases_that_fail_or_are_empty_are_passed_over(spark):
         ("t9", "c"): (None, "no_biomart_dataset_c"), ("t9", None): (None, "not_plant_id"),
     }
     assert resolve.plants_by_release(asked, calls, answers.limit(0)).where("status = 'resolved'").count() == 0
+
+
+@pytest.mark.parametrize("name", ["q_file_annotation_index", "q_file_annotation_index_last"])
+def test_annotation_lines_with_the_same_key_stand_in_the_tables_order(spark, tmp_path, name):
+    """Of two files Spark reads the second, larger one first; the table's first row counts, as in SQL over one file."""
+    pa, pq = pytest.importorskip("pyarrow"), pytest.importorskip("pyarrow.parquet")
+    place = tmp_path / "lineitem.parquet"
+    place.mkdir()
+    table = []
+    for file, n, step in (("a", 20, 1), ("b", 90000, 7)):
+        part = [(i * step % 5, i * step * step % 3, "ARN"[i % 3]) for i in range(n)]
+        table += part
+        columns = dict(zip(("l_partkey", "l_suppkey", "l_returnflag"), map(list, zip(*part))))
+        pq.write_table(pa.table({"l_orderkey": [7] * n, "l_linenumber": pa.array([1] * n, pa.int32()), **columns}), place / f"{file}.parquet")
+    want = {}
+    for p, s, flag in table:
+        for key in (f"t{p}", f"g{p}", f"n{s}"):
+            want.setdefault(key, (key, f"g{p}", f"n{s}", p, {"A": "+", "R": "-", "N": "."}[flag]))
+    got = core.queries()[name](spark, str(tmp_path)).select("key", "gene_id", "gene_symbol", "start_pos", "strand").collect()
+    assert sorted(map(tuple, got)) == sorted(want.values())
