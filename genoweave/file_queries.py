@@ -22,10 +22,10 @@ _SEQ = "translate(hex(text), '0123456789ABCDEF', 'ACGTACGTACGTACGN')"
 _DOCS = f"SELECT doc_id, {_SEQ} AS seq FROM documents"
 
 
-def put(df, order, mode=sinks.text):
-    """df's texts as files in order, part by part; their folder."""
+def put(df, order=(), mode=sinks.text):
+    """df's texts as files in order, part by part, or, where what is read has no order, as they come; their folder."""
     path = sinks.scratch(df.sparkSession)
-    mode(df.orderBy(*order).select("value"), path)
+    mode((df.orderBy(*order) if order else df).select("value"), path)
     return path
 
 
@@ -140,7 +140,7 @@ UNION ALL SELECT -1, '# comment' UNION ALL SELECT -2, 'short line' UNION ALL SEL
 @query(f"""SELECT 'chr' || (supp % 7) AS seqid, feature, part AS start_pos, part + 9 AS end_pos, sign AS strand, CASE WHEN k % 2 = 0 THEN 'transcript:t' || part END AS own_id, CASE WHEN k % 2 = 1 THEN 'g' || part END AS gene_id, count(*) AS n
 FROM ({_LINES}) WHERE feature <> 'exon' GROUP BY ALL""")
 def q_file_annotation(spark, d):
-    gff = files.annotation(spark, put(view(spark, d, _GFF), ["k"]), ["gene", "mRNA"])
+    gff = files.annotation(spark, put(view(spark, d, _GFF)), ["gene", "mRNA"])
     out = gff.select("seqid", "feature", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "strand", F.col("attrs")["ID"].alias("own_id"), F.col("attrs")["gene_id"].alias("gene_id"))
     return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
 
@@ -148,7 +148,7 @@ def q_file_annotation(spark, d):
 @query(f"SELECT feature, count(*) AS n FROM ({_LINES}) WHERE k % 2 = 1 AND part % 10 = 7 GROUP BY 1")
 def q_file_annotation_pattern(spark, d):
     """Lines of an annotation that a pattern finds, whatever their fields."""
-    gff = files.annotation(spark, put(view(spark, d, _GFF), ["k"]), pattern=r'gene_id "g\d*7";')
+    gff = files.annotation(spark, put(view(spark, d, _GFF)), pattern=r'gene_id "g\d*7";')
     return gff.groupBy("feature").agg(F.count("*").alias("n"))
 
 
@@ -181,7 +181,7 @@ def q_file_annotation_index_last(spark, d):
 
 @query(f"""WITH l AS ({_LINES}) SELECT DISTINCT unnest(CASE WHEN k % 2 = 0 THEN ['transcript:t' || part, 't' || part, 'n' || supp, 'a' || line || ',b' || (part % 5)] ELSE ['g' || part, 't' || part, 'n' || supp] END) AS value FROM l""")
 def q_file_annotation_values(spark, d):
-    return files.annotation_values(files.annotation(spark, put(view(spark, d, _GFF), ["k"])))
+    return files.annotation_values(files.annotation(spark, put(view(spark, d, _GFF))))
 
 
 @query("SELECT 'n' || p_partkey AS name, 'c' || (p_partkey % 9) AS chrom, p_partkey + 1 AS start_pos, p_partkey + 20 AS end_pos, '+' AS strand FROM part")

@@ -7,13 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .ids import let
 from .text import first_filled
 
 
 def _last_wins(pairs: Column) -> Column:
-    """A map from an array of struct(k, v) in which a later pair overrides an earlier one."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p.k))
-    return F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.element_at(F.filter(pairs, lambda p: p.k == k), -1).v)))
+    """A map from an array of struct(k, v) in which a later pair overrides an earlier one. The pairs are worked out once."""
+
+    def of(found: Column) -> Column:
+        keys = F.array_distinct(found.k)
+        last = F.transform(keys, lambda k: F.struct(k.alias("k"), F.element_at(F.filter(found, lambda p: p.k == k), -1).v.alias("v")))
+        return F.map_from_entries(F.when(F.size(keys) == F.size(found), found).otherwise(last))
+
+    return let(pairs, of)
 
 
 def attr_map(cell: Column) -> Column:
@@ -43,5 +49,8 @@ def alias_values(attrs: Column, fields: Sequence[str]) -> Column:
 
 def value_forms(cell: Column) -> Column:
     """Every value of a cell, and what follows its first colon: `transcript:ABC` is also `ABC`."""
-    values = F.map_values(attr_map(cell))
-    return F.array_distinct(F.concat(values, F.transform(F.filter(values, lambda v: v.contains(":")), lambda v: F.regexp_replace(v, "^[^:]*:", ""))))
+
+    def of(values: Column) -> Column:
+        return F.array_distinct(F.concat(values, F.transform(F.filter(values, lambda v: v.contains(":")), lambda v: F.regexp_replace(v, "^[^:]*:", ""))))
+
+    return let(F.map_values(attr_map(cell)), of)

@@ -153,3 +153,10 @@ def test_letters_that_rules_need_change_no_classification(spark):
     heads = [f"say {c} and more" for c in cases] + cases
     assert [r and tuple(r)[1:] for r in each(spark, ids.embedded, heads)] == [plain(rules.EMBEDDED_RULES, h, False) for h in heads]
     assert ids.needle(r"^(A|B)_x+(?:cde)?f") == ("_X", False) and ids.needle(r"(?:ab)?c\d{2}def*g") == ("DE", False) and ids.needle(r"^(ab\.c)\d") == ("AB.C", True)
+
+
+def test_attributes_are_worked_out_once_a_cell(spark):
+    cells = spark.createDataFrame([("a=1;b=x:2;a=3;c",), ('k "v"; k "w:z:1"; z "y"',), ("",), ("=v;x=",)], "cell string")
+    forms = cells.select(attrs.value_forms(F.col("cell")).alias("forms"))
+    assert [sorted(r.forms) for r in forms.collect()] == [["2", "3", "x:2"], ["w:z:1", "y", "z:1"], [], ["", "v"]]
+    assert forms._jdf.queryExecution().analyzed().toString().count("regexp_extract_all") == 2  # names and values
