@@ -338,3 +338,13 @@ def test_annotation_lines_with_the_same_key_stand_in_the_tables_order(spark, tmp
             want.setdefault(key, (key, f"g{p}", f"n{s}", p, {"A": "+", "R": "-", "N": "."}[flag]))
     got = core.queries()[name](spark, str(tmp_path)).select("key", "gene_id", "gene_symbol", "start_pos", "strand").collect()
     assert sorted(map(tuple, got)) == sorted(want.values())
+
+
+def test_noncode_plan_of_parts_with_more_than_six_digits(spark, tmp_path):
+    con = pytest.importorskip("duckdb").connect()
+    con.execute(f"COPY (SELECT unnest(range(100000, 100010) || range(1000000, 1000060)) AS p_partkey) TO '{tmp_path}/part.parquet'")
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+    rel = con.execute(core.oracle_sql()["q_plan_noncode"])
+    names = [c[0] for c in rel.description]
+    want = sorted(rel.fetchall(), key=repr)
+    assert sorted(map(tuple, core.queries()["q_plan_noncode"](spark, str(tmp_path)).select(*names).collect()), key=repr) == want
