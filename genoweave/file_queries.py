@@ -120,7 +120,7 @@ def q_extract_indexed(spark, d):
 @query(f"SELECT 'd' || doc_id AS id, md5(seq) AS seq_md5, CAST(NULL AS varchar) AS failed FROM ({_DOCS}) UNION ALL SELECT NULL, NULL, 'broken.fa.gz' UNION ALL SELECT NULL, NULL, 'broken.zip'")
 def q_file_failures_by_file(spark, d):
     """FASTA files of which some are broken: the others' records, and a row for each that failed."""
-    path = put(view(spark, d, f"SELECT doc_id AS k, concat('>d', doc_id, chr(10), seq) AS value FROM ({_DOCS})"), ["k"])
+    path = put(view(spark, d, f"SELECT concat('>d', doc_id, chr(10), seq) AS value FROM ({_DOCS})"))
     sinks.small_bytes(gzip.compress(b"no record")[:-9], f"{path}/broken.fa.gz")
     sinks.small_bytes(b"PK not a directory", f"{path}/broken.zip")
     found, failed = files.fasta_and_failures(spark, path)

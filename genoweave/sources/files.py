@@ -67,7 +67,7 @@ def archive_members(spark: SparkSession, path: str | Sequence[str], suffixes: tu
 
 def fasta_archives(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """fasta's columns, without the order, of the FASTA members of archives: records put together of their chunks."""
-    return whole_records(packed.fasta(packed.text_pieces(spark, path, FASTA_SUFFIXES))).drop("row_ord")
+    return _described(packed.whole_fasta(packed.text_pieces(spark, path, FASTA_SUFFIXES))).drop("row_ord")
 
 
 def fasta_and_failures(spark: SparkSession, path: str | Sequence[str], **sizes: int) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +76,7 @@ def fasta_and_failures(spark: SparkSession, path: str | Sequence[str], **sizes:
     A file that can't be read, or not to its end, doesn't stop the others: what could be read of it is there, and a row says what failed.
     """
     pieces = packed.text_pieces(spark, path, FASTA_SUFFIXES, **sizes)
-    return whole_records(packed.fasta(pieces)), packed.failures(pieces)
+    return _described(packed.whole_fasta(pieces)), packed.failures(pieces)
 
 
 def whole_records(chunks: DataFrame) -> DataFrame:
@@ -85,6 +85,11 @@ def whole_records(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("row_ord").agg(*[F.first(c).alias(c) for c in ("file", "header", "id")], F.first("header").alias("description"), seq.alias("seq")).select("file", "header", "id", "description", "seq", "row_ord")
 
 
+def _described(found: DataFrame) -> DataFrame:
+    """fasta's columns of packed.whole_fasta's."""
+    return found.select("file", "header", "id", F.col("header").alias("description"), "seq", "row_ord")
+
+
 def tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, optional: bool = True, header: bool = True, nulls: Sequence[str] = CSV_NULLS) -> DataFrame:
     """A tab-separated file with a schema; cells that stand for missing values are null. A file that isn't there is empty (optional)."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])

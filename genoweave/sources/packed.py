@@ -246,3 +246,8 @@ def lines(pieces: DataFrame) -> DataFrame:
 def fasta(pieces: DataFrame, size: int = records.CHUNK) -> DataFrame:
     """(file, header, id, row_ord, chunk_no, seq) of text_pieces' FASTA records, in chunks. A record that an error cuts short has what was read."""
     return records.chunks_of(lines(pieces), size)
+
+
+def whole_fasta(pieces: DataFrame) -> DataFrame:
+    """fasta's records, each as one row, without chunk_no."""
+    return records.wholes_of(lines(pieces))

@@ -138,6 +138,31 @@ def _placed(rows: DataFrame, opened: DataFrame, *sums: str) -> DataFrame:
     return own.unionByName(rest)
 
 
+def _placed_pieces(read: DataFrame, size: int) -> DataFrame:
+    """(file, header, of_block, of_record, key, at, seq) of lines as `lines` gives them: pieces of sequences, and the letters of their record before
+    each. Pieces are written once; their sums by block give their place."""
+    found = written(read.mapInArrow(lambda batches: pieces(batches, size), "key long, block long, record int, file string, header string, start long, seq string"))
+    sums = found.groupBy("key", "block", "record").agg(F.max("file").alias("file"), F.max("header").alias("header"), F.sum(F.length("seq").cast("long")).alias("letters"))
+    rows = _placed(found, _open_records(sums, "letters"), "letters")
+    return rows.select("file", "header", "of_block", "of_record", "key", (F.col("start") + F.col("before_letters")).alias("at"), "seq")
+
+
+def _named(rows: DataFrame, *columns: str | Column) -> DataFrame:
+    order = F.struct("file", F.col("of_block").alias("block"), F.col("of_record").alias("record"))
+    return rows.select("file", "header", F.split("header", r"\s+")[0].alias("id"), order.alias("row_ord"), *columns)
+
+
+def _joined() -> Column:
+    """The sequence of a group's pieces."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "seq"))), lambda p: p.seq), "")
+
+
+def wholes_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
+    """(file, header, id, row_ord, seq): chunks_of's records, each as one row, for sequences that fit one. Sequences are shuffled once."""
+    rows = _placed_pieces(read, size)
+    return _named(rows.groupBy("key", "of_block", "of_record").agg(F.max("file").alias("file"), F.max("header").alias("header"), _joined().alias("seq")), "seq")
+
+
 def chunks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
     """(file, header, id, row_ord, chunk_no, seq) of lines as `lines` gives them: each record's sequence in chunks of size letters, an empty one
     as one empty chunk. row_ord orders records by file and place.
@@ -145,19 +170,14 @@ def chunks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
     No row is larger than a chunk, and a record's chunks come from all the tasks that read it. Pieces are written once; their sums by block give
     their place in the record; a piece then lies in one chunk or two, and chunks are put together by their number.
     """
-    found = written(read.mapInArrow(lambda batches: pieces(batches, size), "key long, block long, record int, file string, header string, start long, seq string"))
-    sums = found.groupBy("key", "block", "record").agg(F.max("file").alias("file"), F.max("header").alias("header"), F.sum(F.length("seq").cast("long")).alias("letters"))
-    rows = _placed(found, _open_records(sums, "letters"), "letters")
-    at = F.col("start") + F.col("before_letters")
-    rows = rows.select("file", "header", "of_block", "of_record", "key", at.alias("at"), F.floor(at / size).alias("chunk_no"), (size - at % size).cast("int").alias("room"), "seq")
+    at = F.col("at")
+    rows = _placed_pieces(read, size).select("file", "header", "of_block", "of_record", "key", "at", F.floor(at / size).alias("chunk_no"), (size - at % size).cast("int").alias("room"), "seq")
     first = F.struct(F.col("chunk_no").alias("chunk_no"), F.col("at").alias("at"), F.substring("seq", F.lit(1), F.col("room")).alias("seq"))
     rest = F.struct((F.col("chunk_no") + 1).alias("chunk_no"), (F.col("at") + F.col("room")).alias("at"), F.substring("seq", F.col("room") + 1, F.lit(size)).alias("seq"))
     cut = rows.select("file", "header", "of_block", "of_record", "key", F.explode(F.when(F.length("seq") > F.col("room"), F.array(first, rest)).otherwise(F.array(first))).alias("x"))
-    whole = cut.groupBy("key", "of_block", "of_record", F.col("x.chunk_no").alias("chunk_no")).agg(
-        F.max("file").alias("file"), F.max("header").alias("header"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x.at", "x.seq"))), lambda p: p.seq), "").alias("seq")
-    )
-    order = F.struct("file", F.col("of_block").alias("block"), F.col("of_record").alias("record"))
-    return whole.select("file", "header", F.split("header", r"\s+")[0].alias("id"), order.alias("row_ord"), F.col("chunk_no").cast("int").alias("chunk_no"), "seq")
+    parts = cut.select("file", "header", "of_block", "of_record", "key", "x.*")
+    whole = parts.groupBy("key", "of_block", "of_record", "chunk_no").agg(F.max("file").alias("file"), F.max("header").alias("header"), _joined().alias("seq"))
+    return _named(whole, F.col("chunk_no").cast("int").alias("chunk_no"), "seq")
 
 
 def fasta_chunks(spark: SparkSession, path: str | Sequence[str], assembly: str, size: int = CHUNK) -> DataFrame:

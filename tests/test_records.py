@@ -152,3 +152,13 @@ def test_splits_of_plain_files_have_each_line_once(spark, tmp_path, split):
     assert b"\n".join(got).decode() == text
     rows = packed.text_pieces(spark, str(tmp_path), piece=30, split=split).orderBy("block", "part").collect()
     assert "\n".join(r.text for r in rows) == text and all(r.error is None for r in rows)
+
+
+def test_whole_records_are_put_together_in_one_grouping(spark, tmp_path):
+    long = "ACGTN" * 5000
+    (tmp_path / "a.fa").write_text(f">a x\n{long[:7000]}\n{long[7000:]}\n>b\n>c\nAC\nGT\n")
+    (tmp_path / "broken.zip").write_bytes(b"PK")
+    found, failed = files.fasta_and_failures(spark, [str(tmp_path / n) for n in ("a.fa", "broken.zip")], piece=2000, split=9000)
+    assert sorted((r.id, r.description, r.seq) for r in found.collect()) == [("a", "a x", long), ("b", "b", ""), ("c", "c", "ACGT")]
+    assert failed.count() == 1
+    assert found._jdf.queryExecution().analyzed().toString().count("collect_list") == 1
