@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Sentences by which each family of licences is known; fixed values, a few per family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -230,14 +232,18 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     spark = docs.sparkSession
     model = model or fit(sampled_paragraphs(docs, limits, text_col), limits)
     classes = len(model.families) + 1
-    weights = inline(spark, [{"gram": g, "w": list(w), "lifts": max(w[:-1]) > w[-1], "k": k} for k, (g, w) in enumerate(model.weights.items())], "gram string, w array<double>, lifts boolean, k int")
+    weights = inline(spark, [{"gram": g, "w": list(w)} for g, w in model.weights.items()], "gram string, w array<double>")
 
     paras = paragraphs(docs, id_col, text_col)
     telling = paras.where(F.exists("words", lambda w: w.isin(*telling_words())))  # no other line can be confirmed, so none is counted
-    hits = telling.select("id", "para", F.explode(F.array_distinct(F.concat(_ngrams("words", 2), _ngrams("words", 3)))).alias("gram")).join(F.broadcast(weights), "gram")
-    # a line without any n-gram that lifts a family over the unknown class is of none
-    sums = hits.groupBy("id", "para").agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(classes)], F.bool_or("lifts").alias("lifted"), (F.count("*") / F.size(F.collect_set("k"))).alias("copies")).where("lifted")  # rows that are equal are one
-    logits = [(F.col(f"w{k}") / F.col("copies") + model.bias[k]) / model.temperature for k in range(classes)]
+    # a line without any n-gram that lifts a family over the unknown class is of none; texts are read once, the few lines left are written
+    listed = F.array_distinct(F.filter(F.concat(_ngrams("words", 2), _ngrams("words", 3)), lambda g: g.isin(*model.weights)))
+    lifting = [g for g, w in model.weights.items() if max(w[:-1]) > w[-1]]
+    lines = telling.select("id", "para", "words", F.explode(F.array(listed)).alias("grams"))  # of one, else Spark would work words out for each n-gram
+    lines = written(lines.where(F.exists("grams", lambda g: g.isin(*lifting))).dropDuplicates(["id", "para"]))  # rows that are equal are one
+    hits = lines.select("id", "para", F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram")
+    sums = hits.groupBy("id", "para").agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(classes)])
+    logits = [(F.col(f"w{k}") + model.bias[k]) / model.temperature for k in range(classes)]
     top = F.greatest(*logits)
     scored = sums.select("id", "para", F.array(*[F.exp(z - top) for z in logits]).alias("e"))
     scored = scored.withColumn("best", F.array_max(F.slice("e", 1, classes - 1))).withColumn("k", F.array_position("e", F.col("best")).cast("int"))
@@ -246,7 +252,7 @@ def scan(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", tex
     likely = scored.where((F.col("probability") >= limits.probability) & (F.col("k") < classes)).select("id", "para", names[F.col("k") - 1].alias("family"), "probability")
 
     triples = inline(spark, [{"family": f, "template": i, "triples": sorted({" ".join(w[j : j + 3]) for j in range(max(1, len(w) - 2))})} for f, ts in TEMPLATES.items() for i, t in enumerate(ts) if (w := words_of(t))], "family string, template int, triples array<string>")
-    compared = likely.join(telling, ["id", "para"]).join(F.broadcast(triples), "family")  # a handful of templates a family
+    compared = likely.join(lines, ["id", "para"]).join(F.broadcast(triples), "family")  # a handful of templates a family
     share = F.size(F.array_intersect("triples", F.array_union(_ngrams("words", 3), F.array(F.array_join("words", " "))))) / F.size("triples")
     best = compared.withColumn("shared", share).groupBy("id", "para", "family").agg(F.max("shared").alias("shared"), F.first("probability").alias("probability"))
     confirmed = F.col("shared") >= limits.shared

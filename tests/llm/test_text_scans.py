@@ -230,3 +230,13 @@ def test_a_labelled_id_on_many_rows_is_one_row_of_the_sample(spark):
     labels = spark.createDataFrame([(k, 1) for k in range(7, 10)], "doc_id long, toxic int")
     out = toxicity.sample_labelled(docs, labels, toxicity.Limits(), "doc_id", "text", "toxic").collect()
     assert len(out) == len([k for k in (7, 8, 9) if zlib.crc32(str(k).encode()) % 5]) and sum(r.text.startswith("text ") for r in out) == 1
+
+
+def test_licence_scan_reads_texts_once(spark, tmp_path):
+    """Only lines that n-grams of a licence lift are kept for the comparison with templates, a row each however often they are there."""
+    rows = [(i, t) for i, (t, _) in LICENSED.items() if i is not None] * 2
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    out = licenses.scan(spark.read.parquet(f"{tmp_path}/d"))
+    reads = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert reads and not any("text:string" in x for x in reads)
+    assert {r.doc_id: (r.family, r.n_paragraphs) for r in out.collect()} == {i: (f, int(f != "none")) for i, (_, f) in LICENSED.items()}
