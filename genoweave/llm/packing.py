@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, utf8, without
 
-CACHED_WORDS = 150_000
+#: Words in the younger half of a worker's cache, after which it becomes the older half.
+CACHED_WORDS = 100_000
 #: A word and the ASCII signs after it. The tokenizer always parts the two, so one word isn't encoded anew for each run of signs.
 TAILED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x9f-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
 #: Words that the normalizer leaves as they are and that stay whole: the merges alone make their ids.
@@ -39,13 +40,17 @@ def words_encoder(tokenizer_file: str):
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from array import array
+    from itertools import pairwise
 
+    import numpy as np
+    import pyarrow.compute as pc
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
     merges, letters = tokenizer.model.tokenize, byte_letters()
     special = [t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values()]
     known: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
 
     def packed(ids: list[int]) -> bytes:
         out = array("I", ids)
@@ -56,8 +61,9 @@ def words_encoder(tokenizer_file: str):
     def learn(words: set[bytes]) -> None:
         rest = []
         for w in words:
-            text = w.decode().lower()
-            if LETTERS.fullmatch(text):
+            if w.isalpha():  # ASCII's letters, which stand for themselves
+                known[w] = packed([t.id for t in merges(w.decode())])
+            elif LETTERS.fullmatch(text := w.decode().lower()):
                 known[w] = packed([t.id for t in merges(text.encode().decode("latin-1").translate(letters))])
             else:
                 rest.append(w)
@@ -66,22 +72,31 @@ def words_encoder(tokenizer_file: str):
             ids = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             known.update((w, packed(x.ids)) for w, x in zip(part, ids))
 
+    def recalled(words: list[bytes]) -> list[bytes]:
+        """The words that aren't known; those of the older half are from now on in the younger."""
+        missing = [w for w in words if w not in known]
+        known.update((w, older[w]) for w in missing if w in older)
+        return [w for w in missing if w not in older]
+
     def encode(texts: list[bytes]) -> list[bytes]:
+        nonlocal known, older
         lower = [t.lower() for t in texts]
         whole = {i: packed(tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids) for i, t in enumerate(lower) if any(s in t for s in special)}
-        split = [() if i in whole else t.split() for i, t in enumerate(lower)]
         if len(known) > CACHED_WORDS:
-            known.clear()
-        new, tailed = set(), []
-        for w in {w for words in split for w in words if w not in known}:
-            if m := TAILED.fullmatch(w):
-                tailed.append((w, *m.groups()))
-                new.update(x for x in m.groups() if x not in known)
-            else:
-                new.add(w)
-        learn(new)
-        known.update((w, known[a] + known[b]) for w, a, b in tailed)
-        return [whole[i] if i in whole else b"".join(map(known.__getitem__, words)) for i, words in enumerate(split)]
+            known, older = {}, known
+        split = pc.ascii_split_whitespace(pa.array([b"" if i in whole else t for i, t in enumerate(lower)], pa.string()))
+        each = split.flatten().dictionary_encode()
+        word_at, data = each.dictionary.buffers()[1:]
+        bounds, data = np.frombuffer(word_at or b"", np.int32)[: len(each.dictionary) + 1].tolist(), (data or b"") and data.to_pybytes()
+        words = [data[a:b] for a, b in pairwise(bounds)]  # each once
+        tailed = {w: m.groups() for w in recalled(words) if (m := TAILED.fullmatch(w))}
+        learn(set(recalled([x for w in words for x in tailed.get(w, (w,))])))
+        known.update((w, known[a] + known[b]) for w, (a, b) in tailed.items())
+        ids = pa.array(map(known.__getitem__, words), pa.large_binary()).take(each.indices)
+        # where each text's words begin, and where their ids do
+        at = np.frombuffer(ids.buffers()[1], np.int64)[split.offsets.to_numpy()] if len(ids) else np.zeros(len(texts) + 1, np.int64)
+        packed_ids = memoryview(ids.buffers()[2] or b"")
+        return [whole[i] if i in whole else bytes(packed_ids[at[i] : at[i + 1]]) for i in range(len(texts))]
 
     return encode
 
@@ -98,7 +113,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         for b in batches:
             at, piece, start, length, ids = [], [], [], [], []
             texts = b.column(1).to_pylist()
-            for i, doc in enumerate(doc for k in range(0, len(texts), 200) for doc in encode(texts[k : k + 200])):
+            for i, doc in enumerate(encode(texts)):
                 doc += end
                 for k, s in enumerate(range(0, len(doc), most)):
                     at.append(i)

@@ -70,6 +70,28 @@ def test_words_get_the_ids_that_whole_texts_get():
     assert len(encode([b"<|endoftext|>"])[0]) == 4
 
 
+def test_a_full_cache_keeps_words_in_use(monkeypatch):
+    import tokenizers
+
+    plain, merged = tokenizers.Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), []
+
+    class Counted:
+        from_file = staticmethod(lambda file: Counted())
+        model = property(lambda self: self)
+        tokenize = lambda self, w: merged.append(w) or plain.model.tokenize(w)
+
+        def __getattr__(self, name):
+            return getattr(plain, name)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 4)
+    encode = packing.words_encoder.__wrapped__("")
+    for k in range(5):
+        text = " ".join(["river", *(f"{a}{b}{chr(97 + k)}" for a in "xyz" for b in "pq"), "river"])
+        assert encode([text.encode()]) == [np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()]
+    assert merged.count("river") == 1
+
+
 def test_best_two_fit_replaces_the_smallest_by_two_that_fit_better():
     assert best({6: 1, 3: 1, 2: 2}, 10) == [[6, 2, 2], [3]]  # 6 + 3 leaves 1; 2 + 2 in place of 3 fills it
     assert best({}, 10) == [] and best({10: 3}, 10) == [[10]] * 3
