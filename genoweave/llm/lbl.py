@@ -65,14 +65,6 @@ def held_out(id_col: str, folds: int = 7, fold: int = 2) -> Column:
 # ---- texts as numbers ----
 
 
-class Numbers(dict):
-    """Numbers words as they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
-
-
 def signature(word: bytes, shape: Shape) -> int:
     """The unit of a word and its input row are functions of this."""
     return signatures([word], shape)[0]
@@ -95,6 +87,43 @@ def slices(raw: bytes):
         at = end
 
 
+class Words:
+    """The words of a few texts, A-Z in lower case: those of text k are ids[ends[k]:ends[k + 1]], numbers in the list of different words."""
+
+    def __init__(self, texts: pa.Array):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        texts = texts.cast(pa.binary())
+        plain = pa.StringArray.from_buffers(len(texts), texts.buffers()[1], texts.buffers()[2], offset=texts.offset)  # bytes of any kind: the kernels look at ASCII only
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        flat, self.ends = parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        some = pc.not_equal(pc.binary_length(flat), 0)  # blanks at an end have empty words beside them
+        self.ends = np.concatenate(([0], np.cumsum(some.to_numpy(zero_copy_only=False))))[self.ends]
+        coded = flat.filter(some).dictionary_encode()
+        self.ids, found = coded.indices.to_numpy(), coded.dictionary
+        at = np.frombuffer(found.buffers()[1], np.int32)[found.offset : found.offset + len(found) + 1].tolist() if len(found) else [0]
+        raw = found.buffers()[2].to_pybytes() if at[-1] else b""
+        self.words = [raw[s:e] for s, e in zip(at, at[1:])]
+
+
+def runs(texts: pa.Array):
+    """(first text, texts, whether they end there): texts side by side, and long ones alone, piece by piece."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    begin = 0
+    for k in [*np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False) > SLICE_BYTES).tolist(), len(texts)]:
+        if k > begin:
+            yield begin, texts.slice(begin, k - begin), True
+        if k < len(texts):
+            at, raw = 0, texts[k].as_buffer().to_pybytes()
+            for piece in slices(raw):
+                at += len(piece)
+                yield k, pa.array([piece], pa.binary()), at == len(raw)
+        begin = k + 1
+
+
 SECTION = "section long, words array<binary>, counts array<int>, signatures array<int>, ids binary, rows array<long>, docs array<{kind}>, held array<boolean>, lens array<int>, carries array<int>"
 
 
@@ -105,6 +134,7 @@ def sections(docs: DataFrame, shape: Shape, id_col: str, text_col: str) -> DataF
 
     def run(batches):
         import numpy as np
+        import pyarrow.compute as pc
         from pyspark import TaskContext
         from zstandard import ZstdCompressor
 
@@ -113,12 +143,27 @@ def sections(docs: DataFrame, shape: Shape, id_col: str, text_col: str) -> DataF
 
         class Section:
             def __init__(self):
-                self.numbers, self.parts, self.pieces, self.tokens, self.bytes = Numbers(), [], [], 0, 0
-                self.numbers[END]
+                self.numbers, self.parts, self.pieces, self.tokens, self.bytes = {END: 0}, [], [], 0, 0
+                self.words, self.known = None, None  # the words that were added last, and their numbers here, -1 for those without
 
-            def add(self, words: list[bytes], size: int = 0):
-                self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
+            def numbered(self, words: list[bytes]) -> list[int]:
+                numbers = self.numbers
+                return [numbers.setdefault(w, len(numbers)) for w in words]
+
+            def add(self, words: list[bytes]):
+                self.parts.append(np.array(self.numbered(words), np.uint32))
                 self.tokens += len(words)
+
+            def add_text(self, words: Words, ids: np.ndarray, size: int):
+                if self.words is not words:
+                    self.words, self.known = words, np.full(len(words.words), -1, np.int64)
+                numbers = self.known[ids]
+                new = list(dict.fromkeys(ids[numbers < 0].tolist()))
+                if new:
+                    self.known[new] = self.numbered([words.words[w] for w in new])
+                    numbers = self.known[ids]
+                self.parts.append(numbers.astype(np.uint32))
+                self.tokens += len(ids)
                 self.bytes += size
 
             def full(self) -> bool:
@@ -137,23 +182,29 @@ def sections(docs: DataFrame, shape: Shape, id_col: str, text_col: str) -> DataF
             if schema is None:
                 kinds = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(b.column(1).type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 schema = pa.schema(list(zip(["section", "words", "counts", "signatures", "ids", "rows", "docs", "held", "lens", "carries"], kinds)))
-            for k in range(b.num_rows):
-                own, start, carry = [b.column(c)[k].as_py() for c in range(3)], now.tokens, 0
-                recent: list[bytes] = []
-                for piece in slices(b.column(3)[k].as_buffer().to_pybytes()):
-                    words = piece.lower().split()
-                    if now.full() and now.tokens > start + carry and words:  # a long text goes on in a new section
+            keys, begun = [b.column(c).to_pylist() for c in range(3)], None
+            for begin, texts, last in runs(b.column(3)):
+                words, sizes = Words(texts), pc.binary_length(texts).to_pylist()
+                ends = words.ends.tolist()
+                for k in range(len(texts)):
+                    if begun != begin + k:
+                        begun, start, carry = begin + k, now.tokens, 0
+                        own, recent = [c[begun] for c in keys], []
+                    ids = words.ids[ends[k] : ends[k + 1]]
+                    if now.full() and now.tokens > start + carry and len(ids):  # a long text goes on in a new section
                         now.pieces.append((*own, carry, now.tokens - start - carry))
                         yield now.row(first)
                         first, now, start, carry = first + 1, Section(), 0, len(recent)
                         now.add(recent)
-                    now.add(words, len(piece))
-                    recent = [*recent, *words[-shape.context :]][-shape.context :]
-                now.add([END])
-                now.pieces.append((*own, carry, now.tokens - start - carry))
-                if now.full():
-                    yield now.row(first)
-                    first, now = first + 1, Section()
+                    now.add_text(words, ids, sizes[k])
+                    if not last:
+                        recent = [*recent, *(words.words[w] for w in ids[-shape.context :])][-shape.context :]
+                        continue
+                    now.add([END])
+                    now.pieces.append((*own, carry, now.tokens - start - carry))
+                    if now.full():
+                        yield now.row(first)
+                        first, now = first + 1, Section()
         if now.pieces:
             yield now.row(first)
 
@@ -264,20 +315,21 @@ class Network:
         """Natural logarithms of P(unit | before), normalised over all units, by products of matrices."""
         import numpy as np
 
-        out, ones = np.empty(len(units)), np.ones(self.shape.units, np.float32)
-        for s in range(0, len(units), 4096):
-            part = slice(s, s + 4096)
-            scores = self.hidden(before[part]) @ self.outputs.T
-            scores += self.biases
-            own = scores[np.arange(len(scores)), units[part]]
-            with np.errstate(over="ignore"):
-                total = np.exp(scores, out=scores) @ ones
-            out[part] = own - np.log(np.where(total > 0, total, 1))
-            far = np.flatnonzero(~((total > 1e-30) & (total < 1e30)))
-            if far.size:  # scores too far from logarithms of probabilities for their powers: the highest is taken off first
-                scores = self.hidden(before[part][far]) @ self.outputs.T + self.biases
-                high = scores.max(axis=1)
-                out[s + far] = own[far] - high - np.log(np.exp(scores - high[:, None]) @ ones)
+        out, step = np.empty(len(units)), 1024  # what a step works on stays in the processor's cache
+        by_unit, room = np.ascontiguousarray(self.outputs.T), np.empty((step, self.shape.units), np.float32)
+        with np.errstate(over="ignore", invalid="ignore"):
+            powers = np.exp(self.biases)
+            for s in range(0, len(units), step):
+                part = slice(s, s + step)
+                scores = np.matmul(self.hidden(before[part]), by_unit, out=room[: len(units) - s])
+                own = scores[np.arange(len(scores)), units[part]] + self.biases[units[part]]
+                total = np.exp(scores, out=scores) @ powers
+                out[part] = own - np.log(np.where(total > 0, total, 1))
+                far = np.flatnonzero(~((total > 1e-30) & (total < 1e30)))
+                if far.size:  # scores too far from logarithms of probabilities for their powers: the highest is taken off first
+                    scores = self.hidden(before[part][far]) @ by_unit + self.biases
+                    high = scores.max(axis=1)
+                    out[s + far] = own[far] - high - np.log(np.exp(scores - high[:, None]).sum(axis=1))
         return out
 
     def _step(self, name: str, rows, gradient: np.ndarray, by_row: bool) -> None:
@@ -289,13 +341,19 @@ class Network:
         now += np.einsum("rd,rd->r", gradient, gradient) / gradient.shape[1] if by_row else gradient * gradient
         scale = self.shape.rate / np.sqrt(now)
         value += gradient * (scale[:, None] if by_row else scale)
-        squares[rows], values[rows] = now, value
+        squares[rows] = now
+        if by_row:  # a row as one item: numpy puts it in its place at once
+            item = f"V{values[0].nbytes}"
+            values.view(item)[rows] = value.view(item)
+        else:
+            values[rows] = value
 
     def learn(self, before: np.ndarray, units: np.ndarray, rng) -> None:
         """A step of noise-contrastive estimation: each token's unit is told from noise units, which the batch shares."""
         import numpy as np
 
-        shape, e = self.shape, [rows_of(self.inputs, before[:, k]) for k in range(self.shape.context)]
+        shape, flat = self.shape, before.T.reshape(-1)
+        e = [rows_of(self.inputs, rows) for rows in flat.reshape(shape.context, -1)]
         h = e[0] * self.places[0]
         for k in range(1, shape.context):
             h += e[k] * self.places[k]
@@ -320,9 +378,8 @@ class Network:
         rows = units[order[at]]
         outputs[rows] += np.add.reduceat(rows_of(hit[:, None] * h, order), at)
         biases[rows] += np.add.reduceat(hit[order], at)
-        flat = before.T.reshape(-1)
         order, at = grouped(flat)
-        of_inputs = np.add.reduceat(rows_of(np.concatenate([of_hidden * p for p in self.places]), order), at)
+        of_inputs = group_sums((of_hidden * self.places[:, None]).reshape(-1, shape.width), order, at)
         places = np.stack([np.einsum("td,td->d", of_hidden, x) for x in e]) * np.float32(0.3)
         self._step("inputs", flat[order[at]], of_inputs, True)
         self._step("outputs", slice(None), outputs, True)
@@ -365,6 +422,19 @@ def grouped(keys: np.ndarray):
     return order, np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
 
 
+def group_sums(values: np.ndarray, order: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of each group's rows. Most groups have one row, which is taken as it is: numpy's sums cost as much for a row as for many."""
+    import numpy as np
+
+    sizes = np.diff(at, append=len(order))
+    several = sizes > 1
+    out = rows_of(values, order[at])
+    if several.any():
+        inside, sizes = np.repeat(several, sizes), sizes[several]
+        out[several] = np.add.reduceat(rows_of(values, order[inside]), np.cumsum(sizes) - sizes)
+    return out
+
+
 def windows(ids: np.ndarray, lens: np.ndarray, rows: np.ndarray, context: int, pad: int) -> np.ndarray:
     """For each number of texts one after another, the input rows of the `context` words before it in its text, the nearest first."""
     import numpy as np

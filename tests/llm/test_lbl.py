@@ -95,6 +95,30 @@ def test_counts_and_scores_equal_plain_python(spark, cut, monkeypatch):
     assert [s for _, s in mine] == pytest.approx([s for _, s in theirs], rel=1e-4)
 
 
+def test_words_of_many_texts_at_once_are_those_of_each(monkeypatch):
+    """A batch's texts are split together, whatever bytes they hold, and long ones by pieces; a word of a batch is a number in one list."""
+    monkeypatch.setattr(lbl, "SLICE_BYTES", 20)
+    rnd = random.Random(5)
+    texts = [bytes(rnd.randrange(256) for _ in range(rnd.randrange(15))) for _ in range(300)] + [b"", b" ", b" a ", b"\x1cA\x00 \xff\x85\xa0 a\n", b"one two A " * 30, b"x" * 90]
+    rnd.shuffle(texts)
+    found = [[] for _ in texts]
+    for begin, some, last in lbl.runs(lbl.pa.array([b"before", *texts], lbl.pa.binary()).slice(1)):
+        words = lbl.Words(some)
+        assert len(set(words.words)) == len(words.words)
+        for k in range(len(some)):
+            found[begin + k] += [words.words[w] for w in words.ids[words.ends[k] : words.ends[k + 1]]]
+    assert found == [t.lower().split() for t in texts]
+
+
+def test_sums_of_groups():
+    rng = np.random.default_rng(2)
+    keys, values = np.array([5, 1, 5, 2, 5, 9, 1], np.uint16), rng.standard_normal((7, 3)).astype(np.float32)
+    order, at = lbl.grouped(keys)
+    assert np.allclose(lbl.group_sums(values, order, at), [values[keys == k].sum(axis=0) for k in (1, 2, 5, 9)])
+    order, at = lbl.grouped(keys[[0, 1]])
+    assert np.array_equal(lbl.group_sums(values[:2], order, at), values[[1, 0]])
+
+
 def test_training_passes_over_every_training_text_and_no_other(spark, monkeypatch):
     seen = spark.sparkContext.accumulator(0)
     learn = lbl.Network.learn
