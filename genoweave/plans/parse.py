@@ -44,7 +44,8 @@ def tokens(records: DataFrame, *keys: str) -> DataFrame:
     """(keys, prio, token): what each record (header, seq) may be recognised by, by strategy."""
     h = F.col("header")
     # step by step, as columns: each is worked out once
-    rows = records.select(*keys, "seq", h, accessions(h).alias("g_acc"), gi_accessions(h).alias("g_gi"), header_tokens(h).alias("g_words"), F.array(normalise_id(h)).alias("g_id"))
+    upper = records.select(*keys, "seq", h, F.upper(h).alias("g_upper"))
+    rows = upper.select(*keys, "seq", h, accessions(h, F.col("g_upper")).alias("g_acc"), gi_accessions(h).alias("g_gi"), header_tokens(h).alias("g_words"), F.array(normalise_id(h)).alias("g_id"))
     rows = rows.withColumns({"g_exact": F.array_union("g_acc", "g_id"), "g_all": F.flatten(F.array("g_id", "g_gi", "g_acc", "g_words"))})
     sets = [
         F.array(h),
