@@ -157,13 +157,13 @@ SELECT key, {{0}}('g' || part, k) AS gene_id, {{0}}('n' || supp, k) AS gene_symb
 
 
 #: The lines with their rows' places in the table, which order those with the same k.
-_PLACED = _GFF_LINES.format("k, g_path, g_place", _LINES.replace(" FROM lineitem", ", g_path, g_place FROM lineitem"))
+_PLACED = _GFF_LINES.format("k, g_file, g_place", _LINES.replace(" FROM lineitem", ", g_file, g_place FROM lineitem"))
 
 
 def _index(spark, d, on_dup):
     """Of rows with the smallest or largest k, SQL takes the table's first: its line comes first of theirs, or last."""
     toward = F.asc if on_dup == "first" else F.desc
-    ties = [toward("g_path"), toward("g_place")]
+    ties = [toward("g_file"), toward("g_place")]
     gff = files.annotation(spark, put(view(spark, d, _PLACED, placed=True).where("k % 2 = 1"), ["k", *ties]))
     out = files.annotation_index(gff, ["transcript_id"], ["gene_id"], ["gene_name"], on_dup=on_dup)
     return out.select("key", "gene_id", "gene_symbol", F.col("start").alias("start_pos"), "strand")

@@ -14,6 +14,7 @@ from ..functions.attrs import alias_values, attr_map, first_attr, value_forms
 from ..functions.rules import CSV_NULLS
 from ..functions.text import strand
 from ..operators.rows import keep_first, keep_last, nulls_cleaned
+from ..shared import with_file_start
 from . import packed
 
 FASTA_SUFFIXES = (".fa", ".fasta", ".faa", ".fna", ".fa.gz", ".fasta.gz", ".faa.gz", ".fna.gz")
@@ -42,9 +43,19 @@ def fasta(spark: SparkSession, path: str | Sequence[str], row_ord: bool = True)
 
 
 def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(value, row_ord) of the lines of text files; row_ord orders them by file name and, in a file, by place, however Spark deals files out."""
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    return spark.read.text(path).select("value", place.alias("row_ord"))
+    """(value, row_ord) of the lines of text files; row_ord orders them by file name and, in a file, by place, however Spark deals files out.
+
+    It is a struct of the place of the line's split in all files, one after another, and a number of the line that grows within a split.
+    """
+    read = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("g_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = with_file_start(read, "g_path", path, "start")
+    return lines.select("value", F.struct((F.col("start") + F.col("block")).alias("split"), "line").alias("row_ord"))
+
+
+def _apart(rows: DataFrame) -> dict[str, Column]:
+    """row_ord as columns to order by: a struct's fields one by one, which take half the struct's room in a sort."""
+    kind = rows.schema["row_ord"].dataType
+    return {f"g_{f}": F.col("row_ord")[f] for f in kind.names} if isinstance(kind, T.StructType) else {"g_row_ord": F.col("row_ord")}
 
 
 def fasta_ids(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -134,9 +145,10 @@ def annotation_index(gff: DataFrame, transcript_fields: Sequence[str], gene_id_f
     rows = gff.withColumns({"gene_id": gene, "gene_symbol": first_attr(F.col("attrs"), gene_symbol_fields, gene)})
     names = [F.trim(F.coalesce(F.col("attrs")[f], F.lit(""))) for f in (*transcript_fields, *gene_id_fields, *gene_symbol_fields)]
     keys = F.filter(F.array_distinct(F.concat(F.array(*names), alias_values(F.col("attrs"), alias_fields))), lambda k: k != "")
-    spread = rows.select(F.explode(keys).alias("key"), "gene_id", "gene_symbol", F.col("seqid").alias("chrom"), "start", "end", strand(F.col("strand")).alias("strand"), "row_ord")
+    order = _apart(rows)
+    spread = rows.select(F.explode(keys).alias("key"), "gene_id", "gene_symbol", F.col("seqid").alias("chrom"), "start", "end", strand(F.col("strand")).alias("strand"), *[c.alias(n) for n, c in order.items()])
     pick = keep_first if on_dup == "first" else keep_last
-    return pick(spread, ["key"], ["row_ord"]).drop("row_ord")
+    return pick(spread, ["key"], list(order)).drop(*order)
 
 
 def annotation_values(gff: DataFrame) -> DataFrame:
@@ -166,7 +178,8 @@ def pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(key, value) of a file of two words a line; the last line of a key counts."""
     f = F.split(F.trim("value"), r"\s+")
     rows = placed_lines(spark, path).select(f.alias("f"), "row_ord").where(F.size("f") >= 2)
-    return keep_last(rows.select(F.col("f")[0].alias("key"), F.col("f")[1].alias("value"), "row_ord"), ["key"], ["row_ord"]).drop("row_ord")
+    order = _apart(rows)
+    return keep_last(rows.select(F.col("f")[0].alias("key"), F.col("f")[1].alias("value"), *[c.alias(n) for n, c in order.items()]), ["key"], list(order)).drop(*order)
 
 
 def fai_index(spark: SparkSession, path: str | Sequence[str], assembly: str, fasta: str) -> DataFrame:

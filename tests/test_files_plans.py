@@ -340,6 +340,28 @@ def test_annotation_lines_with_the_same_key_stand_in_the_tables_order(spark, tmp
     assert sorted(map(tuple, got)) == sorted(want.values())
 
 
+def test_lines_places_are_numbers_that_order_files_splits_and_lines(spark, tmp_path):
+    """A path in every row would be most of what a sort by places holds."""
+    want = []
+    for name, n in (("a b.gff", 50), ("a%20c.gff", 9000), ("sub/a b.gff", 700), ("sub/d.gff", 20000), ("z.gff", 0)):
+        lines = [f"{name}\t{k}" for k in range(n)]
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("".join(f"{x}\n" for x in lines))
+        want += lines
+    sizes = {"spark.sql.files.maxPartitionBytes": "50k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {c: spark.conf.get(c) for c in sizes}
+    try:
+        for c, v in sizes.items():
+            spark.conf.set(c, v)
+        lines = files.placed_lines(spark, [str(tmp_path / "*.gff"), str(tmp_path / "sub")])
+        assert {f.dataType.typeName() for f in lines.schema["row_ord"].dataType} == {"long"}
+        assert lines.rdd.getNumPartitions() > 5
+        assert [r.value for r in lines.orderBy("row_ord").collect()] == want
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def test_noncode_plan_of_parts_with_more_than_six_digits(spark, tmp_path):
     con = pytest.importorskip("duckdb").connect()
     con.execute(f"COPY (SELECT unnest(range(100000, 100010) || range(1000000, 1000060)) AS p_partkey) TO '{tmp_path}/part.parquet'")
